@@ -32,36 +32,40 @@ def _one_per_pro_and_gig(apps: DataFrame, newest: str) -> DataFrame:
     )
 
 
+def upcoming_standing(apps: DataFrame, as_of: datetime) -> DataFrame:
+    return _standing(apps).filter(F.col("start_time") >= moment(as_of))
+
+
 def confirmed_applications(
     apps: DataFrame, shifts: DataFrame | None, as_of: datetime
 ) -> DataFrame:
     """Standing confirmed applications from `as_of` on, one per (gig, pro), with skill keys.
 
     With `shifts`, only gigs listed there. The list only selects, so it is a semi-join: two names
-    for one gig cannot multiply its applications.
+    for one gig cannot multiply its applications. It follows the deduplication, which then shuffles
+    on (gig, pro) rather than inheriting a shuffle on the gig alone.
     """
-    rows = _standing(apps).filter(F.col("start_time") >= moment(as_of))
+    rows = _one_per_pro_and_gig(upcoming_standing(apps, as_of), "confirmation_timestamp")
     if shifts is not None:
         rows = rows.join(shifts.select(F.col("shift_id").alias("gig_id")), "gig_id", "left_semi")
     return (
-        _one_per_pro_and_gig(rows, "confirmation_timestamp")
-        .withColumn("skill_key", skill_key(F.col("skill")))
+        rows.withColumn("skill_key", skill_key(F.col("skill")))
         .withColumnsRenamed({"gig_id": "shift_id", "gigster_id": "pro_id"})
     )
 
 
+def starting_within(apps: DataFrame, as_of: datetime, days: int) -> DataFrame:
+    until = moment(as_of) + F.make_dt_interval(F.lit(days))
+    local = F.col("gig_start_time_local")
+    return _standing(apps).filter((local >= moment(as_of)) & (local < until))
+
+
 def elevated_shifts(
     apps: DataFrame, locations: DataFrame, as_of: datetime, days: int = 3
 ) -> DataFrame:
     """Standing confirmed applications at VIP locations starting within the next days."""
-    until = moment(as_of) + F.make_dt_interval(F.lit(days))
-    local = F.col("gig_start_time_local")
     vip = locations.filter(F.col("currently_elevated_status") == "VIP").select("location_id")
-    rows = (
-        _standing(apps)
-        .filter((local >= moment(as_of)) & (local < until))
-        .join(vip, "location_id", "left_semi")
-    )
+    rows = starting_within(apps, as_of, days).join(vip, "location_id", "left_semi")
     return _one_per_pro_and_gig(rows, "confirmation_timestamp").withColumn(
         "skill_key", skill_key(F.col("skill"))
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import rounded
 from .candidates import moment
+from .skew import hot_keys, spread_join
 
 ANYWHERE, SAME_PLACE = 0, 1
 SERIES = ["pro_id", "matched_key", "scope", "place"]
@@ -79,8 +80,8 @@ def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
     )
 
 
-def _totals_before(lookups: DataFrame, points: DataFrame) -> DataFrame:
-    """Add to each lookup the totals of the points of its series that start strictly earlier.
+def _totals_before(probes: DataFrame, points: DataFrame) -> DataFrame:
+    """Totals of each series' points that start strictly earlier, per (series, start_time) probe.
 
     Running totals in two steps, so that a hot series is never one task's work: within a calendar
     day over distinct start times, and over whole days, of which a series has at most one row per
@@ -88,56 +89,61 @@ def _totals_before(lookups: DataFrame, points: DataFrame) -> DataFrame:
     """
     day = F.col("start_time").cast("date").alias("day")
     per_start = _sum_totals(points, *SERIES, "start_time").withColumn("day", day)
-    probes = lookups.select(*lookups.columns, day)
-
     zero = {c: F.lit(0).cast(per_start.schema[c].dataType) for c in TOTALS}
+    blank = probes.select(*SERIES, "start_time", day).withColumns(zero)
+
     timeline = per_start.withColumn("is_point", F.lit(1)).unionByName(
-        probes.withColumns({**zero, "is_point": F.lit(0)}), allowMissingColumns=True
+        blank.withColumn("is_point", F.lit(0))
     )
     # At equal start times probes sort ahead of points, which keeps "earlier" strict.
     within = Window.partitionBy(*SERIES, "day").orderBy("start_time", "is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    same_day = timeline.withColumns(
-        {f"{c}_today": F.coalesce(F.sum(c).over(within), zero[c]) for c in TOTALS}
+    same_day = timeline.select(
+        *SERIES, "day", "start_time", "is_point",
+        *[F.coalesce(F.sum(c).over(within), zero[c]).alias(f"{c}_today") for c in TOTALS],
     ).filter(F.col("is_point") == 0)
 
-    per_day = _sum_totals(
-        _sum_totals(per_start, *SERIES, "day").unionByName(
-            probes.select(*SERIES, "day").distinct().withColumns(zero)
-        ),
-        *SERIES, "day",
-    )
+    per_day = _sum_totals(per_start.drop("start_time").unionByName(blank.drop("start_time")),
+                          *SERIES, "day")
     earlier = Window.partitionBy(*SERIES).orderBy("day").rowsBetween(
         Window.unboundedPreceding, -1
     )
     earlier_days = per_day.select(
-        *SERIES, "day", *[F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before")
-                          for c in TOTALS]
+        *SERIES, "day",
+        *[F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in TOTALS],
     )
     return same_day.join(earlier_days, [*SERIES, "day"]).select(
-        *lookups.columns,
+        *SERIES,
+        "start_time",
         *[(F.col(f"{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
     )
 
 
 def experience_totals(
-    conf: DataFrame, hist: DataFrame, closure: DataFrame, floor: datetime | None = None
+    conf: DataFrame,
+    hist: DataFrame,
+    closure: DataFrame,
+    floor: datetime | None = None,
+    hot_pros: DataFrame | None = None,
 ) -> DataFrame:
     """Per (shift, pro): qualifying shifts, those at the same location, and own-skill ratings.
 
     Only history starting strictly before the application counts. `floor` is a time no application
     starts before: history older than it precedes every application, so plain sums are enough and
-    only the later rest needs running totals.
+    only the later rest needs running totals. `hot_pros` lists pros with very many applications.
     """
+    hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
     lookups, points = _lookups(conf, closure), _history_points(hist)
-    if floor is None:
-        parts = [_totals_before(lookups, points)]
-    else:
+    recent = points if floor is None else points.filter(F.col("start_time") >= moment(floor))
+    probes = lookups.select(*SERIES, "start_time").distinct()
+    found = spread_join(
+        lookups, _totals_before(probes, recent), [*SERIES, "start_time"], hot, "pro_id",
+        ["shift_id"],
+    )
+    if floor is not None:
         old = _sum_totals(points.filter(F.col("start_time") < moment(floor)), *SERIES)
-        recent = points.filter(F.col("start_time") >= moment(floor))
-        parts = [lookups.join(old, SERIES), _totals_before(lookups, recent)]
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        found = found.unionByName(spread_join(lookups, old, SERIES, hot, "pro_id", ["shift_id"]))
 
     anywhere, own = F.col("scope") == ANYWHERE, F.col("own_skill")
     sums = found.groupBy("shift_id", "pro_id").agg(
@@ -157,10 +163,14 @@ def _average(total: str, count: str) -> Column:
 
 
 def prior_experience(
-    conf: DataFrame, hist: DataFrame, closure: DataFrame, floor: datetime | None = None
+    conf: DataFrame,
+    hist: DataFrame,
+    closure: DataFrame,
+    floor: datetime | None = None,
+    hot_pros: DataFrame | None = None,
 ) -> DataFrame:
     """Qualifying earlier shifts per (shift, pro); pros without history get zeros."""
-    totals = experience_totals(conf, hist, closure, floor)
+    totals = experience_totals(conf, hist, closure, floor, hot_pros)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
         "pro_id",
@@ -172,10 +182,14 @@ def prior_experience(
 
 
 def position_ratings(
-    conf: DataFrame, hist: DataFrame, closure: DataFrame, floor: datetime | None = None
+    conf: DataFrame,
+    hist: DataFrame,
+    closure: DataFrame,
+    floor: datetime | None = None,
+    hot_pros: DataFrame | None = None,
 ) -> DataFrame:
     """Average and count of earlier ratings from 1 to 5 in the same skill, per (shift, pro)."""
-    totals = experience_totals(conf, hist, closure, floor)
+    totals = experience_totals(conf, hist, closure, floor, hot_pros)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
         "pro_id",
@@ -185,10 +199,14 @@ def position_ratings(
 
 
 def experience_and_ratings(
-    conf: DataFrame, hist: DataFrame, closure: DataFrame, floor: datetime | None = None
+    conf: DataFrame,
+    hist: DataFrame,
+    closure: DataFrame,
+    floor: datetime | None = None,
+    hot_pros: DataFrame | None = None,
 ) -> DataFrame:
     """Both reports from one pass; only (shift, pro) with a usable skill are present."""
-    return experience_totals(conf, hist, closure, floor).select(
+    return experience_totals(conf, hist, closure, floor, hot_pros).select(
         "shift_id",
         "pro_id",
         "qualifying_shifts",
@@ -209,23 +227,37 @@ def prior_position(hist: DataFrame) -> DataFrame:
 
 
 def _accepted_positions(
-    elevated: DataFrame, positions: DataFrame, closure: DataFrame, how: str
+    elevated: DataFrame,
+    positions: DataFrame,
+    closure: DataFrame,
+    how: str,
+    hot_pros: DataFrame | None,
 ) -> DataFrame:
+    hot = hot_keys(elevated, "gigster_id") if hot_pros is None else hot_pros
     rows = elevated.select("gigster_id", "gig_id", "skill_key").join(
         F.broadcast(closure), "skill_key", how
     )
     rows = rows.withColumn("matched_key", F.coalesce("matched_key", "skill_key"))
-    return rows.join(
+    return spread_join(
+        rows,
         positions.withColumnRenamed("skill_key", "matched_key"),
         ["gigster_id", "matched_key"],
+        hot,
+        "gigster_id",
+        ["gig_id"],
         "left",
     )
 
 
-def prior_qualifying(elevated: DataFrame, positions: DataFrame, closure: DataFrame) -> DataFrame:
+def prior_qualifying(
+    elevated: DataFrame,
+    positions: DataFrame,
+    closure: DataFrame,
+    hot_pros: DataFrame | None = None,
+) -> DataFrame:
     """Qualifying paid shifts per (pro, gig); skills off the ladder have no row."""
     return (
-        _accepted_positions(elevated, positions, closure, "inner")
+        _accepted_positions(elevated, positions, closure, "inner", hot_pros)
         .groupBy("gigster_id", "gig_id")
         .agg(
             F.coalesce(F.sum("prior_paid_same_position_shifts"), F.lit(0)).alias(
@@ -235,14 +267,19 @@ def prior_qualifying(elevated: DataFrame, positions: DataFrame, closure: DataFra
     )
 
 
-def position_summary(elevated: DataFrame, positions: DataFrame, closure: DataFrame) -> DataFrame:
+def position_summary(
+    elevated: DataFrame,
+    positions: DataFrame,
+    closure: DataFrame,
+    hot_pros: DataFrame | None = None,
+) -> DataFrame:
     """Qualifying shifts and own-skill ratings per (pro, gig) from one join.
 
     A skill off the ladder accepts only itself, which is its same-position count.
     """
     own = F.col("matched_key") == F.col("skill_key")
     return (
-        _accepted_positions(elevated, positions, closure, "left")
+        _accepted_positions(elevated, positions, closure, "left", hot_pros)
         .groupBy("gigster_id", "gig_id")
         .agg(
             F.coalesce(F.sum("prior_paid_same_position_shifts"), F.lit(0)).alias(

@@ -25,6 +25,16 @@ def profile_text(experience: Column, bio: Column) -> Column:
     )
 
 
+def profiles_of_anyone(snapshot: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Every pro with a snapshot or a profile; the text of a missing part is blank."""
+    bios = latest_profiles(profiles).withColumnRenamed("user_id", "pro_id")
+    return (
+        snapshot.join(bios, "pro_id", "full")
+        .withColumn("profile_text", profile_text(F.col("experience"), F.col("bio")))
+        .drop("bio")
+    )
+
+
 def pro_profiles(snapshot: DataFrame, profiles: DataFrame) -> DataFrame:
     """The snapshot with each pro's searchable text."""
     bios = latest_profiles(profiles).withColumnRenamed("user_id", "pro_id")

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import clean
+from .skew import hot_from_counts, spread_join
+
 
 def shift_level(apps: DataFrame, gigs: DataFrame) -> DataFrame:
     """One row per (business, name, location, gig) with its latest created and start times.
@@ -69,32 +72,31 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return first_n(df, keys, order, 1, "_position").drop("_position")
 
 
-def group_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def with_group_count(
     df: DataFrame, keys: Sequence[str], name: str, of: DataFrame | None = None
 ) -> DataFrame:
     """Attach each row's group size, counted over `of` (by default the rows themselves).
 
-    A whole-group window would hold the largest group in one task. The counts are aggregated
-    instead and joined back on a null-safe key; the join can split a skewed key.
+    A whole-group window would hold the largest group in one task. The counts are aggregated with
+    map-side combine and joined back, with the rows of large groups spread over several tasks. The
+    key travels as a struct, in which missing values are equal to each other.
     """
-    counts = group_counts(df if of is None else of, keys, name).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], name
+    keyed = F.struct(*keys)
+    counts = (df if of is None else of).groupBy(keyed.alias("_group")).agg(
+        F.count(F.lit(1)).alias(name)
     )
-    on = None
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_{k}"))
-        on = same if on is None else on & same
-    return df.join(counts, on).drop(*[f"_{k}" for k in keys])
+    return spread_join(
+        df.withColumn("_group", keyed),
+        counts,
+        ["_group"],
+        hot_from_counts(counts, "_group", name),
+        "_group",
+        [F.col(c) for c in df.columns],
+    ).drop("_group")
 
 
 def notes_by_key(notes: DataFrame, key: str = "row_key", order: str = "row_no") -> DataFrame:
     """The last note of each key in file order; blank keys are dropped."""
-    from ..functions.text import clean
-
     cleaned = notes.select(
         clean(F.col(key)).alias(key),
         clean(F.col("notes")).alias("notes"),

@@ -23,6 +23,7 @@ from ..functions.clock import (
 from ..functions.text import strip
 from ..functions.vocabulary import WEEKDAYS
 from .ranking import latest_by
+from .skew import hot_keys, spread_join
 
 DATE_CELL = r"^\d{1,2}/\d{1,2}/\d{2}$"
 
@@ -46,11 +47,14 @@ def roster_long(rows: DataFrame) -> DataFrame:
         rows.filter(~is_header & (cell(0) != ""))
         .select("sheet", "row_no", cell(0).alias("name"), codes.alias("codes"))
         .filter(F.exists("codes", lambda c: c != ""))
-        .join(header, "sheet")
-        .filter(F.col("row_no") > F.col("header_no"))
     )
+    # A name whose last row precedes the header has no row below it, so the rows can be reduced
+    # to the last per name before they meet the header.
     latest = latest_by(agents, ["sheet", "name"], [F.col("row_no").desc_nulls_last()])
-    return latest.select("sheet", "name", F.posexplode("codes").alias("weekday", "code"))
+    below = spread_join(
+        latest, header, ["sheet"], hot_keys(rows, "sheet"), "sheet", ["name"]
+    ).filter(F.col("row_no") > F.col("header_no"))
+    return below.select("sheet", "name", F.posexplode("codes").alias("weekday", "code"))
 
 
 def with_shift_hours(roster: DataFrame) -> DataFrame:
@@ -105,8 +109,10 @@ def open_sessions(rows: DataFrame) -> DataFrame:
         return strip(F.coalesce(F.get("cells", position), F.lit("")))
 
     sessions = (
-        rows.filter(cell(1) != "")
-        .join(columns, "sheet")
+        spread_join(
+            rows.filter(cell(1) != ""), columns, ["sheet"], hot_keys(rows, "sheet"), "sheet",
+            ["row_no"],
+        )
         .select(
             "sheet", "row_no", cell(1).alias("full_name"), cell(2).alias("schedule"), "cells",
             F.explode("date_columns").alias("date_column"),

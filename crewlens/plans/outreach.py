@@ -22,10 +22,12 @@ from ..operators.candidates import (
     historical_paid,
     moment,
     restrict_to_keys,
+    starting_within,
 )
 from ..operators.experience import position_summary, prior_position
-from ..operators.profiles import latest_profiles, profile_text
+from ..operators.profiles import profiles_of_anyone
 from ..operators.ranking import ordered
+from ..operators.skew import hot_keys, spread_join
 
 PUBLISHED_COLUMNS = [
     "row_key", "pro_name", "pro_phone_number", "outreach_status", "verified_status",
@@ -50,19 +52,23 @@ def elevated_signals(
     history = historical_paid(
         restrict_to_keys(apps, elevated, "gigster_id"), before=as_of
     )
+    hot_pros = hot_keys(starting_within(apps, as_of, days), "gigster_id")
     earlier = position_summary(
         elevated,
         prior_position(history),
         ladder_closure(skill_ladder(apps.sparkSession)),
+        hot_pros,
     )
-    snapshot = tables["pro_snapshot"].withColumnRenamed("pro_id", "gigster_id")
-    bios = latest_profiles(tables["profiles"]).withColumnRenamed("user_id", "gigster_id")
-    rows = (
-        elevated.join(earlier, ["gigster_id", "gig_id"], "left")
-        .join(snapshot, "gigster_id", "left")
-        .join(bios, "gigster_id", "left")
-        .withColumn("profile_text", profile_text(F.col("experience"), F.col("bio")))
-    )
+    people = profiles_of_anyone(tables["pro_snapshot"], tables["profiles"])
+    rows = spread_join(
+        elevated.join(earlier, ["gigster_id", "gig_id"], "left"),
+        people.withColumnRenamed("pro_id", "gigster_id"),
+        ["gigster_id"],
+        hot_pros,
+        "gigster_id",
+        ["gig_id"],
+        "left",
+    ).withColumn("profile_text", F.coalesce("profile_text", F.lit(" ")))
     flags = rows.withColumns(
         {
             "profile_flag": profile_evidence(

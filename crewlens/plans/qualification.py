@@ -18,10 +18,15 @@ from ..functions.skills import (
     skill_ladder,
     yes_no,
 )
-from ..operators.candidates import confirmed_applications, historical_paid
+from ..operators.candidates import (
+    confirmed_applications,
+    historical_paid,
+    upcoming_standing,
+)
 from ..operators.experience import experience_and_ratings
 from ..operators.profiles import pro_profiles
 from ..operators.ranking import first_shifts, ordered, shift_level
+from ..operators.skew import hot_keys, spread_join
 
 # Report columns and the names they are published under.
 PUBLISHED_NAMES = {
@@ -78,12 +83,18 @@ SHIFT_LINK_COLUMNS = [
 ]
 
 
-def with_evidence(candidates: DataFrame, profiles: DataFrame) -> DataFrame:
+def with_evidence(
+    candidates: DataFrame, profiles: DataFrame, hot_pros: DataFrame | None = None
+) -> DataFrame:
     """Candidates with their pro's profile and the profile and badge flags.
 
     A pro without a snapshot has no text, hence a zero profile flag.
     """
-    return candidates.join(profiles, "pro_id", "left").withColumns(
+    hot = hot_keys(candidates, "pro_id") if hot_pros is None else hot_pros
+    joined = spread_join(
+        candidates, profiles, ["pro_id"], hot, "pro_id", ["shift_id"], "left"
+    )
+    return joined.withColumns(
         {
             "profile_experience_qualifying_flag": profile_evidence(
                 F.col("profile_text"), F.col("skill_key"), F.col("skill")
@@ -112,14 +123,19 @@ def first_shift_candidates(tables: Mapping[str, DataFrame], as_of: datetime) ->
 def first_five_qualification(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
     """Evidence, experience, ratings and reliability of each confirmed first-shifts pro."""
     confirmed = first_shift_candidates(tables, as_of)
+    # Counted before the shifts are chosen: any list of hot pros will do, and this one is a scan.
+    hot_pros = hot_keys(upcoming_standing(tables["applications"], as_of), "gigster_id")
     experience = experience_and_ratings(
         confirmed,
         historical_paid(tables["applications"]),
         ladder_closure(skill_ladder(tables["applications"].sparkSession)),
-        floor=as_of,
+        as_of,
+        hot_pros,
     )
     profiles = pro_profiles(tables["pro_snapshot"], tables["profiles"])
-    rows = with_evidence(confirmed.join(experience, ["shift_id", "pro_id"], "left"), profiles)
+    rows = with_evidence(
+        confirmed.join(experience, ["shift_id", "pro_id"], "left"), profiles, hot_pros
+    )
 
     profile_flag, badge_flag = (
         F.col("profile_experience_qualifying_flag"), F.col("confirmed_skill_badged_flag")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.skew import hot_keys, spread_join
 
 # A cell with its leading comma: quoted, or plain up to the next comma.
 CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'
@@ -128,7 +129,8 @@ def _below_header(
         .agg(F.min("row_no").alias("header_no"), F.min_by("cells", "row_no").alias("header"))
         .withColumn("header", F.transform("header", form))
     )
-    return kept.join(headers, "sheet").filter(F.col("row_no") > F.col("header_no"))
+    below = spread_join(kept, headers, ["sheet"], hot_keys(rows, "sheet"), "sheet", ["row_no"])
+    return below.filter(F.col("row_no") > F.col("header_no"))
 
 
 def sheet_columns(
