@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import bind, strip
 from .vocabulary import DAY_TOKENS, WEEKDAYS, ZONE_LABELS
 
 SHIFT_CODE = r"^(\d{1,2})-(\d{1,2})$"
@@ -55,25 +55,30 @@ def _hour24(hour: Column, half: Column) -> Column:
 
 def clock_micros(value: Column) -> Column:
     """Microseconds since midnight of a clock-in cell; NULL for anything but a valid time."""
-    text = strip(value)
-    hour, minute, second = (_number(text, CLOCK, g) for g in (1, 2, 3))
-    micros = F.rpad(F.regexp_extract(text, CLOCK, 4), 6, "0").try_cast("bigint")
-    half = F.upper(F.regexp_extract(text, CLOCK, 5))
-    in_range = (minute <= 59) & (second <= 59) & F.when(
-        half == "", hour <= 23
-    ).otherwise(hour.between(1, 12))
-    hour = F.when(half == "", hour).otherwise(_hour24(hour, half))
-    total = ((hour * 60 + minute) * 60 + second) * 1_000_000 + micros
-    return F.when(text.rlike(CLOCK) & in_range, total)
+
+    def decode(text: Column) -> Column:
+        hour, minute, second = (_number(text, CLOCK, g) for g in (1, 2, 3))
+        micros = F.rpad(F.regexp_extract(text, CLOCK, 4), 6, "0").try_cast("bigint")
+        half = F.upper(F.regexp_extract(text, CLOCK, 5))
+        in_range = (minute <= 59) & (second <= 59) & F.when(half == "", hour <= 23).otherwise(
+            hour.between(1, 12)
+        )
+        hour24 = F.when(half == "", hour).otherwise(_hour24(hour, half))
+        total = ((hour24 * 60 + minute) * 60 + second) * 1_000_000 + micros
+        return F.when(text.rlike(CLOCK) & in_range, total)
+
+    return bind(strip(value), decode)
 
 
 def start_minutes(value: Column) -> Column:
     """Minutes since midnight of a schedule start such as '12 PM'; NULL when out of range."""
-    text = strip(value)
-    hour, minute = _number(text, START_TIME, 1), _number(text, START_TIME, 2)
-    half = F.upper(F.regexp_extract(text, START_TIME, 3))
-    valid = text.rlike(START_TIME) & hour.between(1, 12) & (minute <= 59)
-    return F.when(valid, _hour24(hour, half) * 60 + minute)
+    def decode(text: Column) -> Column:
+        hour, minute = _number(text, START_TIME, 1), _number(text, START_TIME, 2)
+        half = F.upper(F.regexp_extract(text, START_TIME, 3))
+        valid = text.rlike(START_TIME) & hour.between(1, 12) & (minute <= 59)
+        return F.when(valid, _hour24(hour, half) * 60 + minute)
+
+    return bind(strip(value), decode)
 
 
 def day_index(token: Column) -> Column:
@@ -91,14 +96,17 @@ def segment_days(text: Column) -> Column:
     Exactly two days joined by a hyphen span an inclusive range, which may wrap the week; any
     other list names just its own days.
     """
-    tokens = F.transform(F.regexp_extract_all(text, F.lit("(?i)" + DAY), F.lit(1)), day_index)
-    first, last = F.get(tokens, 0), F.get(tokens, 1)
-    span = F.transform(
-        F.sequence(F.lit(0), F.pmod(last - first, F.lit(7))),
-        lambda step: F.pmod(first + step, F.lit(7)),
-    )
-    is_range = (F.size(tokens) == 2) & text.rlike(DAY_RANGE)
-    return F.array_sort(F.array_distinct(F.when(is_range, span).otherwise(tokens)))
+    found = F.transform(F.regexp_extract_all(text, F.lit("(?i)" + DAY), F.lit(1)), day_index)
+
+    def listed(days: Column) -> Column:
+        first, last = F.get(days, 0), F.get(days, 1)
+        span = F.transform(
+            F.sequence(F.lit(0), F.pmod(last - first, F.lit(7))),
+            lambda step: F.pmod(first + step, F.lit(7)),
+        )
+        return F.when((F.size(days) == 2) & text.rlike(DAY_RANGE), span).otherwise(days)
+
+    return F.array_sort(F.array_distinct(bind(found, listed)))
 
 
 def zone_name(text: Column) -> Column:
@@ -110,11 +118,10 @@ def zone_name(text: Column) -> Column:
 
 
 def parse_segment(segment: Column) -> Column:
-    """Struct of one segment: its days, start minutes and own zone (NULLs without a time range)."""
-    before = F.regexp_extract(segment, SEGMENT, 1)
+    """Struct of one segment with a time range: its days, start minutes and own zone."""
+    days = bind(F.regexp_extract(segment, SEGMENT, 1), segment_days)
     return F.struct(
-        segment.rlike("(?i)" + TIME_RANGE).alias("has_range"),
-        segment_days(before).alias("days"),
+        days.alias("days"),
         start_minutes(F.regexp_extract(segment, SEGMENT, 2)).alias("start_minute"),
         zone_name(segment).alias("zone"),
     )
@@ -122,8 +129,10 @@ def parse_segment(segment: Column) -> Column:
 
 def schedule_segments(schedule: Column) -> Column:
     """All segments of a schedule cell that hold a time range, in order."""
-    parsed = F.transform(F.split(strip(schedule), r"\|"), parse_segment)
-    return F.filter(parsed, lambda s: s["has_range"])
+    timed = F.filter(
+        F.split(strip(schedule), r"\|"), lambda segment: segment.rlike("(?i)" + TIME_RANGE)
+    )
+    return F.transform(timed, parse_segment)
 
 
 def scheduled_start(
@@ -133,10 +142,13 @@ def scheduled_start(
     covering = F.filter(
         schedule_segments(schedule), lambda s: F.array_contains(s["days"], weekday)
     )
-    chosen = F.get(covering, 0)
-    zone = F.coalesce(chosen["zone"], zone_name(schedule), sheet_zone)
-    local = F.timestamp_add("MINUTE", chosen["start_minute"], work_date.cast("timestamp_ntz"))
-    return F.convert_timezone(zone, sheet_zone, local)
+
+    def start_of(segment: Column) -> Column:
+        zone = F.coalesce(segment["zone"], zone_name(schedule), sheet_zone)
+        local = F.timestamp_add("MINUTE", segment["start_minute"], work_date.cast("timestamp_ntz"))
+        return F.convert_timezone(zone, sheet_zone, local)
+
+    return F.get(F.transform(F.slice(covering, 1, 1), start_of), 0)
 
 
 def time_of_day_micros(moment: Column) -> Column:

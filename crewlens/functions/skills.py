@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .text import bind
 from .vocabulary import (
+    BADGES,
     GUARDED_PHRASES,
     SKILL_ALIASES,
     SKILL_BADGES,
@@ -28,9 +30,24 @@ def skill_key(skill: Column) -> Column:
     return folded.otherwise(plain)
 
 
+def _fixed_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A small literal table the optimizer knows the size of."""
+    values = ", ".join(
+        "(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")"
+        for row in rows
+    )
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def skill_ladder(spark: SparkSession) -> DataFrame:
     """The 35 (track, skill_key, tier) rungs."""
-    return spark.createDataFrame(ladder_rows(), "track string, skill_key string, tier int")
+    return _fixed_table(spark, ladder_rows(), "track, skill_key, tier")
+
+
+def qualifying_pairs(spark: SparkSession) -> DataFrame:
+    """The closure of the fixed ladder as a literal table of 85 (skill_key, matched_key) rows."""
+    pairs = [(skill, above) for skill in SKILL_PHRASES for above in qualifying_skills(skill)]
+    return _fixed_table(spark, pairs, "skill_key, matched_key")
 
 
 def ladder_closure(ladder: DataFrame) -> DataFrame:
@@ -50,18 +67,28 @@ def ladder_closure(ladder: DataFrame) -> DataFrame:
     )
 
 
-def _any_phrase(text: Column, phrases: list[str]) -> Column:
-    # One alternation per skill keeps the generated method small enough for the JIT.
-    return text.rlike("|".join(phrases))
+def _by_skill(entries: dict[str, list], key: Column) -> Column:
+    """Look a skill up in a literal map; it folds to one constant in the plan."""
+    return F.create_map(
+        *[
+            part
+            for skill, items in entries.items()
+            for part in (F.lit(skill), F.array(*map(F.lit, items)))
+        ]
+    )[key]
 
 
-def _phrase_test(text: Column, skill: str) -> Column:
-    reachable = qualifying_skills(skill)
-    test = _any_phrase(text, [p for s in reachable for p in SKILL_PHRASES[s]])
-    if skill in GUARDED_PHRASES:
-        bare, blockers = GUARDED_PHRASES[skill]
-        test = test | (text.contains(bare) & ~_any_phrase(text, blockers))
-    return test
+def _listed_phrase(text: Column, key: Column) -> Column:
+    """Whether a phrase of the skill, or of one above it, occurs in the text."""
+    phrases = {
+        skill: [p for above in qualifying_skills(skill) for p in SKILL_PHRASES[above]]
+        for skill in SKILL_PHRASES
+    }
+    found = F.exists(_by_skill(phrases, key), lambda phrase: F.contains(text, phrase))
+    for skill, (bare, blockers) in GUARDED_PHRASES.items():
+        blocked = reduce(lambda a, b: a | b, [text.contains(b) for b in blockers])
+        found = found | ((key == skill) & text.contains(bare) & ~blocked)
+    return found
 
 
 def _names_skill(text: Column, raw_skill: Column) -> Column:
@@ -81,26 +108,31 @@ def profile_evidence(
     missing = text.isNull()
     if blank_counts_as_missing:
         missing = missing | (F.trim(text) == "")
-    flag = F.when(missing, 0)
-    for skill in SKILL_PHRASES:
-        flag = flag.when((key == skill) & _phrase_test(text, skill), 1)
-    return flag.when(_names_skill(text, raw_skill), 1).otherwise(0)
+    return (
+        F.when(missing, 0)
+        .when(_listed_phrase(text, key), 1)
+        .when(_names_skill(text, raw_skill), 1)
+        .otherwise(0)
+    )
 
 
 def badge_evidence(
     key: Column, badge: Callable[[str], Column] = lambda name: F.col(f"cert_{name}")
 ) -> Column:
     """Highest badge value among the skill and those above it; NULL off the ladder."""
-    flag = None
-    for skill in SKILL_BADGES:
-        held = [
-            F.coalesce(badge(name), F.lit(0))
+    positions = {
+        skill: [
+            BADGES.index(name)
             for above in qualifying_skills(skill)
             for name in SKILL_BADGES[above]
         ]
-        start = F if flag is None else flag
-        flag = start.when(key == skill, F.greatest(*held) if len(held) > 1 else held[0])
-    return flag
+        for skill in SKILL_BADGES
+    }
+    held = F.array(*[F.coalesce(badge(name), F.lit(0)) for name in BADGES])
+    wanted = _by_skill(positions, key)
+    return bind(
+        held, lambda values: F.array_max(F.transform(wanted, lambda i: F.get(values, i)))
+    )
 
 
 def badge_status(profile_flag: Column, badge_flag: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,12 +12,22 @@ US_24H = r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2}):(\d{2})$"
 ISO = r"^(\d{4})-(\d{2})-(\d{2})(?:\s+(\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
 SERIAL = r"^\d+(\.\d+)?$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# The characters Unicode counts as white space.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 LAST_SERIAL = 2958466  # first day after 9999-12-31 in spreadsheet days
 
 
+def bind(value: Column, build: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times inside `build`."""
+    return F.get(F.transform(F.array(value), build), 0)
+
+
 def strip(text: Column) -> Column:
     """Drop white space of every kind from both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def clean(text: Column) -> Column:

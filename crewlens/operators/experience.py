@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import rounded
 from .candidates import moment
-from .skew import hot_keys, spread_join
+from .skew import PART, hot_keys, spread_copies, spread_join, spread_rows
 
 ANYWHERE, SAME_PLACE = 0, 1
+BEGINNING = datetime(1, 1, 1)
 SERIES = ["pro_id", "matched_key", "scope", "place"]
 TOTALS = ["shifts", "rated", "rating_sum"]
 
@@ -49,21 +50,25 @@ def _sum_totals(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in TOTALS])
 
 
-def _history_points(hist: DataFrame) -> DataFrame:
-    rows = hist.filter(
-        F.col("gigster_id").isNotNull()
-        & F.col("skill_key").isNotNull()
-        & F.col("start_time").isNotNull()
-    ).select(
+def _with_day(df: DataFrame) -> DataFrame:
+    """The calendar day; the filter is stated so that every use of the rows has the same plan."""
+    return df.withColumn("day", F.col("start_time").cast("date")).filter(F.col("day").isNotNull())
+
+
+def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
+    start = F.col("start_time")
+    if floor is not None:
+        start = F.when(start < moment(floor), moment(BEGINNING)).otherwise(start)
+    rows = hist.filter(F.col("gigster_id").isNotNull() & F.col("skill_key").isNotNull()).select(
         F.col("gigster_id").alias("pro_id"),
         F.col("skill_key").alias("matched_key"),
         "location_id",
-        "start_time",
+        start.alias("start_time"),
         F.lit(1).cast("bigint").alias("shifts"),
         _in_range(F.col("rating")).cast("bigint").alias("rated"),
         F.when(_in_range(F.col("rating")), F.col("rating")).alias("rating_sum"),
     )
-    return _scoped(rows)
+    return _scoped(_with_day(rows))
 
 
 def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
@@ -73,49 +78,47 @@ def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("matched_key", F.coalesce("matched_key", "skill_key"))
     return _scoped(
-        rows.filter(F.col("matched_key").isNotNull() & F.col("start_time").isNotNull())
+        _with_day(rows.filter(F.col("pro_id").isNotNull() & F.col("matched_key").isNotNull()))
     ).select(
-        "shift_id", "pro_id", "matched_key", "scope", "place", "start_time",
+        "shift_id", "pro_id", "matched_key", "scope", "place", "day", "start_time",
         (F.col("matched_key") == F.col("skill_key")).alias("own_skill"),
     )
 
 
-def _totals_before(probes: DataFrame, points: DataFrame) -> DataFrame:
-    """Totals of each series' points that start strictly earlier, per (series, start_time) probe.
+def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[str]) -> DataFrame:
+    """Add to each lookup the totals of its series' points that start strictly earlier.
 
     Running totals in two steps, so that a hot series is never one task's work: within a calendar
     day over distinct start times, and over whole days, of which a series has at most one row per
     calendar day.
     """
-    day = F.col("start_time").cast("date").alias("day")
-    per_start = _sum_totals(points, *SERIES, "start_time").withColumn("day", day)
     zero = {c: F.lit(0).cast(per_start.schema[c].dataType) for c in TOTALS}
-    blank = probes.select(*SERIES, "start_time", day).withColumns(zero)
-
     timeline = per_start.withColumn("is_point", F.lit(1)).unionByName(
-        blank.withColumn("is_point", F.lit(0))
+        lookups.withColumns({**zero, "is_point": F.lit(0)}), allowMissingColumns=True
     )
     # At equal start times probes sort ahead of points, which keeps "earlier" strict.
-    within = Window.partitionBy(*SERIES, "day").orderBy("start_time", "is_point").rowsBetween(
+    within = Window.partitionBy(*series, "day").orderBy("start_time", "is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    same_day = timeline.select(
-        *SERIES, "day", "start_time", "is_point",
-        *[F.coalesce(F.sum(c).over(within), zero[c]).alias(f"{c}_today") for c in TOTALS],
+    same_day = timeline.withColumns(
+        {f"{c}_today": F.coalesce(F.sum(c).over(within), zero[c]) for c in TOTALS}
     ).filter(F.col("is_point") == 0)
 
-    per_day = _sum_totals(per_start.drop("start_time").unionByName(blank.drop("start_time")),
-                          *SERIES, "day")
-    earlier = Window.partitionBy(*SERIES).orderBy("day").rowsBetween(
+    per_day = _sum_totals(
+        per_start.select(*series, "day", *TOTALS).unionByName(
+            lookups.select(*series, "day").withColumns(zero)
+        ),
+        *series, "day",
+    )
+    earlier = Window.partitionBy(*series).orderBy("day").rowsBetween(
         Window.unboundedPreceding, -1
     )
     earlier_days = per_day.select(
-        *SERIES, "day",
+        *series, "day",
         *[F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in TOTALS],
     )
-    return same_day.join(earlier_days, [*SERIES, "day"]).select(
-        *SERIES,
-        "start_time",
+    return same_day.join(earlier_days, [*series, "day"]).select(
+        *[c for c in lookups.columns if c not in ("day", "start_time")],
         *[(F.col(f"{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
     )
 
@@ -130,20 +133,17 @@ def experience_totals(
     """Per (shift, pro): qualifying shifts, those at the same location, and own-skill ratings.
 
     Only history starting strictly before the application counts. `floor` is a time no application
-    starts before: history older than it precedes every application, so plain sums are enough and
-    only the later rest needs running totals. `hot_pros` lists pros with very many applications.
+    starts before: history older than it precedes every application, so each series' older points
+    fold into one at the beginning of time before anything is shuffled. `hot_pros` lists pros with
+    very many applications; their lookups are spread over parts, each with a copy of the points.
     """
     hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
-    lookups, points = _lookups(conf, closure), _history_points(hist)
-    recent = points if floor is None else points.filter(F.col("start_time") >= moment(floor))
-    probes = lookups.select(*SERIES, "start_time").distinct()
-    found = spread_join(
-        lookups, _totals_before(probes, recent), [*SERIES, "start_time"], hot, "pro_id",
-        ["shift_id"],
+    per_start = _sum_totals(_history_points(hist, floor), *SERIES, "day", "start_time")
+    found = _with_totals_before(
+        spread_rows(_lookups(conf, closure), hot, "pro_id", ["shift_id"]),
+        spread_copies(per_start, hot, "pro_id"),
+        [*SERIES, PART],
     )
-    if floor is not None:
-        old = _sum_totals(points.filter(F.col("start_time") < moment(floor)), *SERIES)
-        found = found.unionByName(spread_join(lookups, old, SERIES, hot, "pro_id", ["shift_id"]))
 
     anywhere, own = F.col("scope") == ANYWHERE, F.col("own_skill")
     sums = found.groupBy("shift_id", "pro_id").agg(

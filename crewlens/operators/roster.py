@@ -25,7 +25,7 @@ from ..functions.vocabulary import WEEKDAYS
 from .ranking import latest_by
 from .skew import hot_keys, spread_join
 
-DATE_CELL = r"^\d{1,2}/\d{1,2}/\d{2}$"
+DATE_CELL = r"^\s*\d{1,2}/\d{1,2}/\d{2}\s*$"
 
 
 def cell(position: int) -> Column:
@@ -88,7 +88,7 @@ def open_sessions(rows: DataFrame) -> DataFrame:
     the next one the clock-out. Column 1 is the name, column 2 the schedule. Among a name's open
     rows the last one wins. Text that is not a real date is dropped.
     """
-    dated = rows.filter(F.exists("cells", lambda c: strip(c).rlike(DATE_CELL)))
+    dated = rows.filter(F.exists("cells", lambda c: c.rlike(DATE_CELL)))
     first = dated.groupBy("sheet").agg(F.min_by("cells", "row_no").alias("header"))
     columns = first.select("sheet", F.posexplode("header").alias("position", "title")).select(
         "sheet",

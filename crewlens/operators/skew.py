@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 250_000
 MAX_HOT_KEYS = 1_000
 MAX_PARTS = 4_096
+PART = "_part"
 
 
 def hot_from_counts(
@@ -47,6 +48,22 @@ def _with_parts(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     )
 
 
+def spread_rows(
+    rows: DataFrame, hot: DataFrame, hot_key: str, by: Sequence[str | Column]
+) -> DataFrame:
+    """Number the parts of hot keys' rows by the hash of `by`; other rows get part 0."""
+    part = F.pmod(F.xxhash64(*by), F.col("parts")).cast("int")
+    return _with_parts(rows, hot, hot_key).withColumn(PART, F.coalesce(part, F.lit(0))).drop(
+        "parts"
+    )
+
+
+def spread_copies(table: DataFrame, hot: DataFrame, hot_key: str) -> DataFrame:
+    """Copy a hot key's table rows once per part."""
+    copies = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    return _with_parts(table, hot, hot_key).withColumn(PART, F.explode(copies)).drop("parts")
+
+
 def spread_join(
     rows: DataFrame,
     table: DataFrame,
@@ -58,11 +75,10 @@ def spread_join(
 ) -> DataFrame:
     """Join rows with a table that has at most one row per key, splitting the hot keys.
 
-    Rows of a hot key are spread over its parts by the hash of `spread_by`, and its table row is
-    copied once per part. Any list of hot keys gives the same result; only the balance differs.
+    Any list of hot keys gives the same result; only the balance differs.
     """
-    part = F.pmod(F.xxhash64(*spread_by), F.col("parts")).cast("int")
-    salted = _with_parts(rows, hot, hot_key).withColumn("_part", F.coalesce(part, F.lit(0)))
-    copies = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
-    copied = _with_parts(table, hot, hot_key).withColumn("_part", F.explode(copies))
-    return salted.drop("parts").join(copied.drop("parts"), [*on, "_part"], how).drop("_part")
+    return (
+        spread_rows(rows, hot, hot_key, spread_by)
+        .join(spread_copies(table, hot, hot_key), [*on, PART], how)
+        .drop(PART)
+    )

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.skills import (
     badge_evidence,
-    ladder_closure,
     profile_evidence,
     profile_match_source,
-    skill_ladder,
+    qualifying_pairs,
     yes_no,
 )
 from ..operators.candidates import (
@@ -56,7 +55,7 @@ def elevated_signals(
     earlier = position_summary(
         elevated,
         prior_position(history),
-        ladder_closure(skill_ladder(apps.sparkSession)),
+        qualifying_pairs(apps.sparkSession),
         hot_pros,
     )
     people = profiles_of_anyone(tables["pro_snapshot"], tables["profiles"])

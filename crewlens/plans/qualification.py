@@ -13,9 +13,8 @@ from ..functions.skills import (
     any_true,
     badge_evidence,
     badge_status,
-    ladder_closure,
     profile_evidence,
-    skill_ladder,
+    qualifying_pairs,
     yes_no,
 )
 from ..operators.candidates import (
@@ -128,7 +127,7 @@ def first_five_qualification(tables: Mapping[str, DataFrame], as_of: datetime) -
     experience = experience_and_ratings(
         confirmed,
         historical_paid(tables["applications"]),
-        ladder_closure(skill_ladder(tables["applications"].sparkSession)),
+        qualifying_pairs(tables["applications"].sparkSession),
         as_of,
         hot_pros,
     )

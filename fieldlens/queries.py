@@ -14,6 +14,7 @@ from crewlens.functions.skills import (
     badge_status,
     ladder_closure,
     profile_match_source,
+    qualifying_pairs,
     skill_key,
     skill_ladder,
 )
@@ -370,7 +371,7 @@ def _history_inputs(spark, d):
     return (
         confirmed_applications(apps, None, AS_OF),
         historical_paid(apps),
-        ladder_closure(skill_ladder(spark)),
+        qualifying_pairs(spark),
     )
 
 
@@ -395,7 +396,7 @@ def qualifying_history(spark, d):
     return prior_qualifying(
         elevated_shifts(t["applications"], t["locations"], AS_OF, AHEAD_DAYS),
         prior_position(historical_paid(t["applications"], AS_OF)),
-        ladder_closure(skill_ladder(spark)),
+        qualifying_pairs(spark),
     )
 
 

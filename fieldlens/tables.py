@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from crewlens.functions.vocabulary import BADGES, SKILL_ALIASES, SKILL_PHRASES
@@ -273,23 +276,43 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lens(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every lens table as a lazy DataFrame; sheet tables get row_no = struct(block, line)."""
-    sources = {name: base(spark, sf_dir, name) for name in BASE_TABLES}
-    tables = {}
-    for name in DEFINITIONS:
-        statement = _statement(name, Spark())
-        used = {t: df for t, df in sources.items() if t in statement}
-        for table in used:
-            statement = statement.replace(f"FROM {table}", f"FROM {{{table}}}")
-            statement = statement.replace(f"JOIN {table} ", f"JOIN {{{table}}} ")
-        used = {t: df for t, df in used.items() if f"{{{t}}}" in statement}
-        tables[name] = spark.sql(statement, **used)
-    for name in ("roster", "clockins"):
-        tables[name] = tables[name].selectExpr(
-            "sheet", "named_struct('block', block, 'line', line) AS row_no", "cells"
-        )
-    return tables
+class Lens(Mapping):
+    """The lens tables by name, each built as a lazy DataFrame when asked for.
+
+    Sheet tables get row_no = struct(block, line).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(DEFINITIONS)
+
+    def __len__(self):
+        return len(DEFINITIONS)
+
+    def _build(self, name: str) -> DataFrame:
+        statement, used = _statement(name, Spark()), {}
+        for table in BASE_TABLES:
+            named = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", statement)
+            if named != statement:
+                statement, used[table] = named, base(self._spark, self._dir, table)
+        df = self._spark.sql(statement, **used)
+        if name in ("roster", "clockins"):
+            df = df.selectExpr(
+                "sheet", "named_struct('block', block, 'line', line) AS row_no", "cells"
+            )
+        return df
+
+
+def lens(spark: SparkSession, sf_dir: str) -> Lens:
+    return Lens(spark, sf_dir)
 
 
 def lens_sql(*names: str) -> str:
