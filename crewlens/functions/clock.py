@@ -90,13 +90,16 @@ def day_index(token: Column) -> Column:
     return index
 
 
+def _day_tokens(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit("(?i)" + DAY), F.lit(1)), day_index)
+
+
 def segment_days(text: Column) -> Column:
     """Sorted weekday numbers of one schedule segment.
 
     Exactly two days joined by a hyphen span an inclusive range, which may wrap the week; any
     other list names just its own days.
     """
-    found = F.transform(F.regexp_extract_all(text, F.lit("(?i)" + DAY), F.lit(1)), day_index)
 
     def listed(days: Column) -> Column:
         first, last = F.get(days, 0), F.get(days, 1)
@@ -106,33 +109,52 @@ def segment_days(text: Column) -> Column:
         )
         return F.when((F.size(days) == 2) & text.rlike(DAY_RANGE), span).otherwise(days)
 
-    return F.array_sort(F.array_distinct(bind(found, listed)))
+    return F.array_sort(F.array_distinct(bind(_day_tokens(text), listed)))
+
+
+def covers_day(text: Column, weekday: Column) -> Column:
+    """Whether a segment text names the weekday: segment_days without building the list."""
+
+    def named(days: Column) -> Column:
+        first, last = F.get(days, 0), F.get(days, 1)
+        within = F.pmod(weekday - first, F.lit(7)) <= F.pmod(last - first, F.lit(7))
+        is_range = (F.size(days) == 2) & text.rlike(DAY_RANGE)
+        return F.when(is_range, within).otherwise(F.array_contains(days, weekday))
+
+    return bind(_day_tokens(text), named)
 
 
 def zone_name(text: Column) -> Column:
     """Time zone of the first zone label in the text, NULL without one."""
-    label = F.upper(F.regexp_extract(text, ZONE, 1))
-    eastern = [k for k, zone in ZONE_LABELS.items() if zone == "America/New_York"]
-    manila = [k for k, zone in ZONE_LABELS.items() if zone == "Asia/Manila"]
-    return F.when(label.isin(eastern), "America/New_York").when(label.isin(manila), "Asia/Manila")
-
-
-def parse_segment(segment: Column) -> Column:
-    """Struct of one segment with a time range: its days, start minutes and own zone."""
-    days = bind(F.regexp_extract(segment, SEGMENT, 1), segment_days)
-    return F.struct(
-        days.alias("days"),
-        start_minutes(F.regexp_extract(segment, SEGMENT, 2)).alias("start_minute"),
-        zone_name(segment).alias("zone"),
+    labels = F.create_map(*[F.lit(part) for pair in ZONE_LABELS.items() for part in pair])
+    return labels[F.upper(F.regexp_extract(text, ZONE, 1))]
+
+
+def timed_segments(schedule: Column) -> Column:
+    """The texts of a schedule cell's segments that hold a time range, in order."""
+    return F.filter(
+        F.split(strip(schedule), r"\|"), lambda segment: segment.rlike("(?i)" + TIME_RANGE)
     )
 
 
+def days_text(segment: Column) -> Column:
+    return F.regexp_extract(segment, SEGMENT, 1)
+
+
+def segment_start(segment: Column) -> Column:
+    return start_minutes(F.regexp_extract(segment, SEGMENT, 2))
+
+
 def schedule_segments(schedule: Column) -> Column:
-    """All segments of a schedule cell that hold a time range, in order."""
-    timed = F.filter(
-        F.split(strip(schedule), r"\|"), lambda segment: segment.rlike("(?i)" + TIME_RANGE)
+    """Structs of days, start minutes and own zone of the segments with a time range."""
+    return F.transform(
+        timed_segments(schedule),
+        lambda segment: F.struct(
+            bind(days_text(segment), segment_days).alias("days"),
+            segment_start(segment).alias("start_minute"),
+            zone_name(segment).alias("zone"),
+        ),
     )
-    return F.transform(timed, parse_segment)
 
 
 def scheduled_start(
@@ -140,12 +162,13 @@ def scheduled_start(
 ) -> Column:
     """Zone-less scheduled start in the sheet's zone, from the first segment covering the weekday."""
     covering = F.filter(
-        schedule_segments(schedule), lambda s: F.array_contains(s["days"], weekday)
+        timed_segments(schedule),
+        lambda segment: bind(days_text(segment), lambda text: covers_day(text, weekday)),
     )
 
     def start_of(segment: Column) -> Column:
-        zone = F.coalesce(segment["zone"], zone_name(schedule), sheet_zone)
-        local = F.timestamp_add("MINUTE", segment["start_minute"], work_date.cast("timestamp_ntz"))
+        zone = F.coalesce(zone_name(segment), zone_name(schedule), sheet_zone)
+        local = F.timestamp_add("MINUTE", segment_start(segment), work_date.cast("timestamp_ntz"))
         return F.convert_timezone(zone, sheet_zone, local)
 
     return F.get(F.transform(F.slice(covering, 1, 1), start_of), 0)

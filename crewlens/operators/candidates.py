@@ -16,12 +16,13 @@ def moment(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _uncanceled() -> Column:
+    # Spelled out so that the scan can use it: a coalesce would not reach the files.
+    return F.col("is_canceled").isNull() | (F.col("is_canceled") == 0)
+
+
 def _standing(apps: DataFrame) -> DataFrame:
-    return apps.filter(
-        F.col("is_confirmed")
-        & (F.coalesce("is_canceled", F.lit(0)) == 0)
-        & F.col("gigster_id").isNotNull()
-    )
+    return apps.filter(F.col("is_confirmed") & _uncanceled() & F.col("gigster_id").isNotNull())
 
 
 def _one_per_pro_and_gig(apps: DataFrame, newest: str) -> DataFrame:
@@ -90,7 +91,7 @@ def upcoming_locations(
 
 def historical_paid(apps: DataFrame, before: datetime | None = None) -> DataFrame:
     """Paid, uncancelled work, the latest rated row per (pro, gig), with skill keys."""
-    rows = apps.filter((F.col("is_paid") == 1) & (F.coalesce("is_canceled", F.lit(0)) == 0))
+    rows = apps.filter((F.col("is_paid") == 1) & _uncanceled())
     if before is not None:
         rows = rows.filter(F.col("gig_start_time_local") < moment(before))
     return _one_per_pro_and_gig(rows, "rating_timestamp").select(

@@ -74,7 +74,7 @@ def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
 def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
     """One row per application, accepted skill and scope; a skill off the ladder accepts itself."""
     rows = conf.select("shift_id", "pro_id", "location_id", "start_time", "skill_key").join(
-        F.broadcast(closure), "skill_key", "left"
+        closure, "skill_key", "left"
     )
     rows = rows.withColumn("matched_key", F.coalesce("matched_key", "skill_key"))
     return _scoped(
@@ -235,7 +235,7 @@ def _accepted_positions(
 ) -> DataFrame:
     hot = hot_keys(elevated, "gigster_id") if hot_pros is None else hot_pros
     rows = elevated.select("gigster_id", "gig_id", "skill_key").join(
-        F.broadcast(closure), "skill_key", how
+        closure, "skill_key", how
     )
     rows = rows.withColumn("matched_key", F.coalesce("matched_key", "skill_key"))
     return spread_join(

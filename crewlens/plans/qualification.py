@@ -20,6 +20,7 @@ from ..functions.skills import (
 from ..operators.candidates import (
     confirmed_applications,
     historical_paid,
+    restrict_to_keys,
     upcoming_standing,
 )
 from ..operators.experience import experience_and_ratings
@@ -121,13 +122,15 @@ def first_shift_candidates(tables: Mapping[str, DataFrame], as_of: datetime) ->
 
 def first_five_qualification(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
     """Evidence, experience, ratings and reliability of each confirmed first-shifts pro."""
+    apps = tables["applications"]
     confirmed = first_shift_candidates(tables, as_of)
-    # Counted before the shifts are chosen: any list of hot pros will do, and this one is a scan.
-    hot_pros = hot_keys(upcoming_standing(tables["applications"], as_of), "gigster_id")
+    # Taken before the shifts are chosen: a superset of the pros costs a scan and serves both uses.
+    upcoming = upcoming_standing(apps, as_of).select("gigster_id")
+    hot_pros = hot_keys(upcoming, "gigster_id")
     experience = experience_and_ratings(
         confirmed,
-        historical_paid(tables["applications"]),
-        qualifying_pairs(tables["applications"].sparkSession),
+        historical_paid(restrict_to_keys(apps, upcoming, "gigster_id")),
+        qualifying_pairs(apps.sparkSession),
         as_of,
         hot_pros,
     )

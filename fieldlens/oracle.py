@@ -486,7 +486,7 @@ VIEWS = {
         SELECT * FROM roster_named WHERE name NOT IN ('', 'Name')
           AND len([c FOR c IN codes IF c <> '']) > 0
           AND line > (SELECT min(line) FROM roster_named WHERE name = 'Name')
-        QUALIFY row_number() OVER (PARTITION BY name ORDER BY line DESC) = 1)""",
+        QUALIFY row_number() OVER (PARTITION BY sheet[:4], name ORDER BY line DESC) = 1)""",
     "date_header": r"""
       SELECT sheet, unnest(cells) AS title, unnest(range(1, len(cells) + 1)) AS col FROM (
         SELECT sheet, arg_min(cells, line) AS cells FROM clockins WHERE

@@ -106,8 +106,8 @@ def billing_status(spark, d):
 @query
 def agents_on_shift(spark, d):
     t = lens(spark, d)
-    # Every roster sheet is one day's copy; the latest row of a name over all of them counts.
-    one_roster = t["roster"].withColumn("sheet", F.lit("roster"))
+    # The daily roster sheets of a year are one roster, in which a name's latest row counts.
+    one_roster = t["roster"].withColumn("sheet", F.substring("sheet", 1, 4))
     return agents_online(one_roster, t["clockins"], t["aliases"], SHEET_ZONE)
 
 
