@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .labels import seconds_between
 from .text import bind, strip
 from .vocabulary import DAY_TOKENS, WEEKDAYS, ZONE_LABELS
 
@@ -175,8 +176,9 @@ def scheduled_start(
 
 
 def time_of_day_micros(moment: Column) -> Column:
-    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
-    return seconds.cast("bigint") * 1_000_000
+    """Microseconds since midnight of a zone-less timestamp, in any session zone."""
+    midnight = moment.cast("date").cast("timestamp_ntz")
+    return (seconds_between(moment, midnight) * 1_000_000).cast("bigint")
 
 
 def is_late(clock_in: Column, start: Column) -> Column:
