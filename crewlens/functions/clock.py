@@ -6,6 +6,8 @@ shuffled to find the segment that covers a day. Weekdays count from Monday = 0.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ DAY_MICROS = 86_400_000_000
 
 def _number(text: Column, pattern: str, group: int) -> Column:
     """An optional numeric group; absent digits count as zero."""
-    return F.coalesce(F.regexp_extract(text, pattern, group).try_cast("bigint"), F.lit(0))
+    return F.concat(F.lit("0"), F.regexp_extract(text, pattern, group)).cast("bigint")
 
 
 def shift_hours(code: Column) -> Column:
@@ -50,34 +52,54 @@ def hour_label(hour: Column) -> Column:
     return F.concat(twelve.cast("string"), F.when(hour < 12, ":00 AM").otherwise(":00 PM"))
 
 
+def _half(text: Column, pattern: str, group: int) -> Column:
+    """0 without AM or PM, 1 for AM, 2 for PM."""
+    first = F.upper(F.substring(F.regexp_extract(text, pattern, group), 1, 1))
+    return F.when(first == "A", 1).when(first == "P", 2).otherwise(0)
+
+
 def _hour24(hour: Column, half: Column) -> Column:
-    return hour % 12 + F.when(half == "PM", 12).otherwise(0)
+    return hour % 12 + F.when(half == 2, 12).otherwise(0)
+
+
+def _parts(text: Column, pattern: str, build: Callable[..., Column], *parts: Column) -> Column:
+    """build(*parts) for matching text, each part being read from the text once."""
+    read = F.array(*[part.cast("bigint") for part in parts])
+    found = bind(read, lambda all_parts: build(*[F.get(all_parts, i) for i in range(len(parts))]))
+    return F.when(text.rlike(pattern), found)
 
 
 def clock_micros(value: Column) -> Column:
     """Microseconds since midnight of a clock-in cell; NULL for anything but a valid time."""
 
+    def total(hour, minute, second, micros, half):
+        hours = F.when(half == 0, F.when(hour <= 23, hour)).otherwise(
+            F.when(hour.between(1, 12), _hour24(hour, half))
+        )
+        whole = ((hours * 60 + minute) * 60 + second) * 1_000_000 + micros
+        return F.when((minute <= 59) & (second <= 59), whole)
+
     def decode(text: Column) -> Column:
-        hour, minute, second = (_number(text, CLOCK, g) for g in (1, 2, 3))
-        micros = F.rpad(F.regexp_extract(text, CLOCK, 4), 6, "0").try_cast("bigint")
-        half = F.upper(F.regexp_extract(text, CLOCK, 5))
-        in_range = (minute <= 59) & (second <= 59) & F.when(half == "", hour <= 23).otherwise(
-            hour.between(1, 12)
+        fraction = F.rpad(F.regexp_extract(text, CLOCK, 4), 6, "0").cast("bigint")
+        return _parts(
+            text, CLOCK, total,
+            *[_number(text, CLOCK, group) for group in (1, 2, 3)], fraction, _half(text, CLOCK, 5),
         )
-        hour24 = F.when(half == "", hour).otherwise(_hour24(hour, half))
-        total = ((hour24 * 60 + minute) * 60 + second) * 1_000_000 + micros
-        return F.when(text.rlike(CLOCK) & in_range, total)
 
     return bind(strip(value), decode)
 
 
 def start_minutes(value: Column) -> Column:
     """Minutes since midnight of a schedule start such as '12 PM'; NULL when out of range."""
+
+    def total(hour, minute, half):
+        return F.when(hour.between(1, 12) & (minute <= 59), _hour24(hour, half) * 60 + minute)
+
     def decode(text: Column) -> Column:
-        hour, minute = _number(text, START_TIME, 1), _number(text, START_TIME, 2)
-        half = F.upper(F.regexp_extract(text, START_TIME, 3))
-        valid = text.rlike(START_TIME) & hour.between(1, 12) & (minute <= 59)
-        return F.when(valid, _hour24(hour, half) * 60 + minute)
+        return _parts(
+            text, START_TIME, total,
+            _number(text, START_TIME, 1), _number(text, START_TIME, 2), _half(text, START_TIME, 3),
+        )
 
     return bind(strip(value), decode)
 

@@ -108,10 +108,14 @@ def normalize_datetime(text: Column, formats: Sequence[str] = ("us12", "iso")) -
 
     The digits are only rearranged, never checked against a calendar.
     """
-    bare = clean(text)
-    result = None
-    for name in formats:
-        pattern, build = _SHAPES[name]
-        start = F if result is None else result
-        result = start.when(bare.rlike(pattern), build(bare))
-    return result.otherwise(bare)
+
+    def rearranged(bare: Column) -> Column:
+        result = None
+        for name in formats:
+            pattern, build = _SHAPES[name]
+            start = F if result is None else result
+            result = start.when(bare.rlike(pattern), build(bare))
+        return result.otherwise(bare)
+
+    # Bound, so the cleaned text is read once and the generated code stays small.
+    return bind(clean(text), rearranged)

@@ -760,6 +760,49 @@ STATEMENTS = {
         c_custkey % 12 = represented AS passed
       FROM (SELECT c_custkey, count(o_orderkey) FILTER (WHERE o_orderkey % 10 <> 0) AS represented
             FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)""",
+    "week_tab_title": """
+      SELECT DISTINCT '1/14 - 1/20' AS title FROM raw_sheet
+      WHERE work_date BETWEEN DATE '2024-01-14' AND DATE '2024-01-20'""",
+    "outreach_sheet_rows": f"""
+      SELECT row_key, pro_name, hours_to_start, start_time, pro_id, gig_id, market,
+        CAST(NULL AS STRING) AS profile_match_source, notes, agent_name
+      FROM (SELECT CASE WHEN is_title THEN 'row_key' ELSE
+              CAST(l_orderkey AS STRING) || '-' || CAST(l_suppkey AS STRING) END AS row_key,
+            CASE WHEN is_title THEN 'pro_name' ELSE 'Pro ' || CAST(l_suppkey AS STRING) END
+              AS pro_name,
+            CASE WHEN NOT is_title THEN {to_double('numbers')} END AS hours_to_start,
+            CASE WHEN is_title THEN 'start_time' ELSE
+              {normalized('dates', ('us12', 'us24', 'serial'))} END AS start_time,
+            CASE WHEN NOT is_title THEN l_suppkey END AS pro_id,
+            CASE WHEN NOT is_title THEN l_orderkey END AS gig_id,
+            CASE WHEN is_title THEN 'market' END AS market
+          FROM (SELECT *, min(position) FILTER (WHERE is_title)
+                  OVER (PARTITION BY year(l_shipdate)) AS title_at
+                FROM (SELECT *, l_orderkey % 500 = 1 AND l_linenumber = 1 AS is_title,
+                        (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS position,
+                        {Duck().pick(lens_tables.WHOLE_TEXTS, 'l_partkey')} AS numbers,
+                        {Duck().pick(lens_tables.DATE_TEXTS, 'l_partkey')} AS dates
+                      FROM lineitem))
+          WHERE position > title_at AND (is_title OR l_linenumber <> 3))
+      LEFT JOIN last_notes USING (row_key)""",
+    "page_checks": """
+      SELECT *, agents_complete AND keys_unique AND keys_opaque AND cards_keyed AND cards_counted
+        AND counts_agree AND registry_valid AND no_personal_data AND nothing_forbidden AS passed
+      FROM (SELECT c_custkey AS page_id,
+        c_custkey % 7 <> 0 AND c_custkey % 29 <> 0 AS agents_complete,
+        c_custkey % 5 <> 0 AS keys_unique,
+        c_custkey % 4 <> 1 AS keys_opaque,
+        c_custkey % 4 <> 1 AS cards_keyed,
+        c_custkey % 17 <> 0 AS cards_counted,
+        c_custkey % 11 <> 0 AND c_custkey % 3 = CASE WHEN c_custkey % 17 = 0 THEN 0
+          ELSE c_custkey % 4 END + CASE WHEN c_custkey % 4 = 1 THEN 2 ELSE 0 END AS counts_agree,
+        c_custkey % 6 <> 0 AND c_custkey % 9 <> 0 AND c_custkey % 10 <> 0 AS registry_valid,
+        c_custkey % 13 NOT IN (0, 1) AS no_personal_data,
+        c_custkey % 13 NOT IN (2, 3) AS nothing_forbidden
+      FROM customer)""",
+    "emptied_pages": """
+      SELECT page_id, md5(replace(html, '[[' || CAST(page_id AS STRING) || '],[0]];', '[];'))
+        AS html_md5, true AS is_empty FROM markup""",
     "forbidden_phrases": "SELECT doc_id, array_to_string(found, '|') AS found FROM (SELECT doc_id,"
     " [p FOR p IN ["
     + ", ".join(

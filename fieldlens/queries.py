@@ -44,6 +44,8 @@ from crewlens.plans import sheets
 from crewlens.plans.agents import agents_online
 from crewlens.plans.billing import PAYMENT_COLUMNS, billing_report
 from crewlens.plans.outreach import attach_notes, elevated_signals, outreach_queue, vip_outreach
+from crewlens.plans.page_checks import array_literal_is_empty, without_array_rows
+from crewlens.plans.page_checks import page_checks as check_pages
 from crewlens.plans.qualification import (
     PUBLISHED_NAMES,
     SHIFT_LINK_COLUMNS,
@@ -643,6 +645,52 @@ def week_labels(spark, d):
     )
 
 
+@query
+def week_tab_title(spark, d):
+    """The tab of one week among the week tabs that the events call for."""
+    sunday = clock.week_start(F.col("work_date"))
+    weeks = lens(spark, d)["raw_sheet"].groupBy(sunday.alias("sunday")).agg(
+        F.min("event_id").alias("tab_no")
+    )
+    title = F.concat(
+        F.date_format("sunday", "M/d"), F.lit(" - "),
+        F.date_format(F.date_add("sunday", 6), "M/d"),
+    )
+    return roster.week_tab(weeks.select(title.alias("title"), "tab_no"), date(2024, 1, 17))
+
+
+def outreach_export(spark, d):
+    """The outreach rows as sheet cells, one sheet per ship year."""
+    s = Spark()
+    key = "CAST(l_orderkey AS STRING) || '-' || CAST(l_suppkey AS STRING)"
+    titles = ["row_key ", "pro_name", "hours_to_start", "start_time", "pro_id", "gig_id", "market"]
+    cells = [
+        f"CASE WHEN l_linenumber = 3 THEN '' ELSE ' ' || {key} END",
+        "'Pro ' || CAST(l_suppkey AS STRING)",
+        s.pick(lens_tables.WHOLE_TEXTS, "l_partkey"),
+        s.pick(lens_tables.DATE_TEXTS, "l_partkey"),
+        "CAST(l_suppkey AS STRING)",
+        "CAST(l_orderkey AS STRING) || '.0'",
+    ]
+    return base(spark, d, "lineitem").selectExpr(
+        "CAST(year(l_shipdate) AS STRING) AS sheet",
+        "named_struct('block', l_orderkey DIV 1000, 'line', (l_orderkey * 10 + l_linenumber)"
+        " * 10000000 + l_partkey) AS row_no",
+        "CASE WHEN l_orderkey % 500 = 1 AND l_linenumber = 1 THEN"
+        f" array({', '.join(repr(t) for t in titles)}) ELSE array({', '.join(cells)}) END AS cells",
+    )
+
+
+@query
+def outreach_sheet_rows(spark, d):
+    """Typed outreach export with the latest notes."""
+    typed = sheets.outreach_sheet(outreach_export(spark, d))
+    return attach_notes(typed, notes_by_key(lens(spark, d)["notes"])).select(
+        "row_key", "pro_name", "hours_to_start", "start_time", "pro_id", "gig_id", "market",
+        "profile_match_source", "notes", "agent_name",
+    )
+
+
 # Checks and redaction
 
 
@@ -716,6 +764,25 @@ def reconciled_counts(spark, d):
     return quality.reconcile(cards, panels, "panel", "requests", "live_open")
 
 
+@query
+def page_checks(spark, d):
+    return check_pages(lens(spark, d)["markup"], "html", ["north", "south"], "page_id")
+
+
+@query
+def emptied_pages(spark, d):
+    emptied = without_array_rows(F.col("html"), "REVIEW_ROWS")
+    return (
+        lens(spark, d)["markup"]
+        .select("page_id", emptied.alias("html"))
+        .select(
+            "page_id",
+            F.md5("html").alias("html_md5"),
+            array_literal_is_empty(F.col("html"), "REVIEW_ROWS").alias("is_empty"),
+        )
+    )
+
+
 EXACT_PHRASES = ["localhost:3000", "/api/removals", "License"]
 ANY_CASE_PHRASES = ["catch-up mode", "meeting memory", "the qu"]
 

@@ -225,6 +225,36 @@ def _location_billing(d) -> list[str]:
     ]
 
 
+def _markup(d) -> list[str]:
+    def key(source: str) -> str:
+        return f"'mb-' || substr(md5({source}), 1, 24)"
+
+    own, other = key("CAST(c_custkey AS STRING)"), key("c_name")
+    quote = "chr(39)"
+    parts = [
+        """'<div data-agent="north"></div>'""",
+        """CASE WHEN c_custkey % 7 = 0 THEN '<b data-agent="east">'
+           WHEN c_custkey % 29 = 0 THEN '' ELSE '<b data-agent="south">' END""",
+        f"""'<article class="support-open" data-permanent-key="' || {own} || '" '""",
+        """CASE WHEN c_custkey % 17 = 0 THEN '>' ELSE
+           'data-support-count="' || CAST(c_custkey % 4 AS STRING) || '">' END""",
+        """CASE WHEN c_custkey % 4 = 1 THEN '<article class="support-open" '
+           || 'data-permanent-key="mb-x" data-support-count="2">' ELSE '' END""",
+        f"""'<p data-permanent-key="' ||
+           CASE WHEN c_custkey % 5 = 0 THEN {own} ELSE {other} END || '">'""",
+        """CASE WHEN c_custkey % 11 = 0 THEN '' ELSE '<section class="support-panel" '
+           || 'data-live-open="' || CAST(c_custkey % 3 AS STRING) || '">' END""",
+        f"""CASE WHEN c_custkey % 6 = 0 THEN '' ELSE
+           'const recordedPermanentRemovalKeys=new Set([' || {quote} || {own} || {quote} || ','
+           || {quote} || CASE WHEN c_custkey % 9 = 0 THEN {own} WHEN c_custkey % 10 = 0
+           THEN 'mb-1' ELSE {other} END || {quote} || ']);' END""",
+        """CASE c_custkey % 13 WHEN 0 THEN 'call +15551234567' WHEN 1 THEN 'me@example.org'
+           WHEN 2 THEN 'Catch-Up mode' WHEN 3 THEN 'http://localhost:3000' ELSE '' END""",
+        "'const REVIEW_ROWS = [[' || CAST(c_custkey AS STRING) || '],[0]];'",
+    ]
+    return ["c_custkey AS page_id", f"{' || '.join(parts)} AS html"]
+
+
 APPLICATION_JOIN = (
     "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
     " JOIN nation ON c_nationkey = n_nationkey"
@@ -257,6 +287,7 @@ DEFINITIONS = {
     "aliases": (_aliases, "(SELECT DISTINCT user_id FROM events) AS u WHERE user_id % 9 <> 0"),
     "notes": (_notes, "lineitem WHERE l_shipdate < '1999-01-01'"),
     "raw_sheet": (_raw_sheet, "events"),
+    "markup": (_markup, "customer"),
 }
 
 

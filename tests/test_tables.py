@@ -209,3 +209,53 @@ def test_publish(spark, tmp_path):
     manifest = json.loads(spark.read.text(f"{target}/manifest").first()[0])
     assert (manifest["snapshot_utc"], manifest["rows"]) == ("2026-01-01T05:00:00Z", 0)
     assert spark.read.text(f"{target}/rows").count() == 1
+
+
+def good_page():
+    key, other = "mb-" + "0a" * 12, "mb-" + "1b" * 12
+    return (
+        '<i data-agent="north"><i data-agent="south">'
+        f'<article class="support-open" data-permanent-key="{key}" data-support-count="2">'
+        f'<p data-permanent-key="{other}"><section class="support-panel" data-live-open="2">'
+        f"const recordedPermanentRemovalKeys=new Set(['{key}',\n'{other}']);"
+        "const REVIEW_ROWS = [[1],\n[2]]; const OTHER = [3];"
+    )
+
+
+@pytest.mark.parametrize(
+    "old, new, failing",
+    [
+        ("", "", set()),
+        ('data-agent="south"', 'data-agent="north"', {"agents_complete"}),
+        ("1b" * 12 + '">', "0a" * 12 + '">', {"keys_unique"}),
+        ("1b" * 12 + '">', "1B" * 12 + '">', {"keys_opaque"}),
+        (' data-support-count="2"', "", {"cards_counted", "counts_agree"}),
+        ('data-live-open="2"', 'data-live-open="3"', {"counts_agree"}),
+        ("new Set([", "new Map([", {"registry_valid"}),
+        ("const OTHER", "a@b.co const OTHER", {"no_personal_data"}),
+        ("const OTHER", "Meeting Memory const OTHER", {"nothing_forbidden"}),
+    ],
+)
+def test_published_page(spark, old, new, failing):
+    from crewlens.plans.page_checks import page_checks
+
+    page = good_page()
+    assert old in page
+    pages = spark.createDataFrame([(1, page.replace(old, new, 1))], "page int, html string")
+    row = page_checks(pages, "html", ["north", "south"], "page").first().asDict()
+    assert {name for name, passed in row.items() if passed is False} == failing | (
+        {"passed"} if failing else set()
+    )
+
+
+def test_script_arrays(spark):
+    from crewlens.plans.page_checks import array_literal_is_empty, without_array_rows
+
+    pages = spark.createDataFrame([(good_page(),)], "html string")
+    html = F.col("html")
+    done = pages.select(without_array_rows(html, "REVIEW_ROWS").alias("html"))
+    assert done.first()[0] == good_page().replace("[[1],\n[2]]", "[]")
+    assert pages.select(array_literal_is_empty(html, "REVIEW_ROWS")).first()[0] is False
+    assert done.select(array_literal_is_empty(html, "REVIEW_ROWS")).first()[0] is True
+    with pytest.raises(Exception, match="no array OUTREACH_ROWS"):
+        pages.select(without_array_rows(html, "OUTREACH_ROWS")).collect()
