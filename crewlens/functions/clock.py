@@ -15,6 +15,7 @@ from .labels import seconds_between
 from .text import bind, strip
 from .vocabulary import DAY_TOKENS, WEEKDAYS, ZONE_LABELS
 
+# Shapes of shift codes, clock times, schedule segments and tab titles.
 SHIFT_CODE = r"^(\d{1,2})-(\d{1,2})$"
 CLOCK = r"(?i)^(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,6}))?)?\s*(AM|PM)?$"
 START = r"(\d{1,2}(?::\d{2})?\s*(?:AM|PM))"

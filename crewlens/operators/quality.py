@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What counts as a phone number, an address and an opaque key.
 PHONE = r"\+1\d{10}"
 EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
 OPAQUE_KEY = r"^mb-[0-9a-f]{24}$"

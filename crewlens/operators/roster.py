@@ -25,6 +25,7 @@ from ..functions.vocabulary import WEEKDAYS
 from .ranking import latest_by
 from .skew import hot_keys, spread_join
 
+# Fixed value: how the date columns of a clock-in sheet are titled.
 DATE_CELL = r"^\s*\d{1,2}/\d{1,2}/\d{2}\s*$"
 
 

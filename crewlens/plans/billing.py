@@ -12,6 +12,7 @@ from ..operators.billing import billing_status
 from ..operators.candidates import upcoming_locations
 from ..operators.ranking import ordered
 
+# The report's row limit and its columns.
 ROW_LIMIT = 5000
 PAYMENT_COLUMNS = [
     "location_id", "location_name", "approval_status", "has_payment_information",

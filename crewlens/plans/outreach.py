@@ -28,6 +28,7 @@ from ..operators.profiles import profiles_of_anyone
 from ..operators.ranking import ordered
 from ..operators.skew import hot_keys, spread_join
 
+# Columns of the published outreach table.
 PUBLISHED_COLUMNS = [
     "row_key", "pro_name", "pro_phone_number", "outreach_status", "verified_status",
     "hours_to_start", "start_time", "location_name", "market", "skillset_type",

@@ -12,6 +12,7 @@ from ..operators.quality import EMAIL, OPAQUE_KEY, PHONE
 # What a published page must not contain.
 FORBIDDEN_EXACT = ["localhost:3000", "/api/removals"]
 FORBIDDEN_ANY_CASE = ["catch-up mode", "meeting memory"]
+# The markup that carries keys, counts and the removal registry.
 KEY_ATTRIBUTE = 'data-permanent-key="mb-[0-9a-f]{24}"'
 COUNT_ATTRIBUTE = r'data-support-count="(\d+)"'
 CARD = '<article class="support-open"[^>]*>'

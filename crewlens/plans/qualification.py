@@ -65,6 +65,7 @@ PUBLISHED_NAMES = {
     "position_avg_rating": "position_avg_rating",
     "position_ratings_count": "position_ratings_count",
 }
+# Types of the report's columns in its spreadsheet export.
 WHOLE_NUMBERS = [
     "location_id", "shift_id", "requested_pros", "confirmed_pros", "pro_id",
     "prior_paid_same_skill_shifts", "prior_paid_same_skill_shifts_same_business",

@@ -20,6 +20,7 @@ from .qualification import (
     WHOLE_NUMBERS,
 )
 
+# Columns and section headers of the spreadsheet exports.
 VIP_SHIFT_COLUMNS = [
     "shift_id", "start_datetime", "market", "location_name", "shift_type",
     "auto_select_enabled", "allowed_confirmed_pros", "current_confirmed_pros_count",

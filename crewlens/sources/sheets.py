@@ -110,9 +110,14 @@ def snake_case(text: Column) -> Column:
 
 
 def _below_header(
-    rows: DataFrame, header_key: str | None, form: Callable[[Column], Column]
+    rows: DataFrame,
+    header_key: str | None,
+    form: Callable[[Column], Column],
+    describe: Callable[[DataFrame], DataFrame] = lambda headers: headers.drop("header"),
 ) -> DataFrame:
-    """Rows under each sheet's header whose first cell is not blank, with the header's cells.
+    """Rows under each sheet's header whose first cell is not blank.
+
+    `describe` turns the table of headers, one row per sheet, into what each row should carry.
 
     A sheet's header is the first row whose first cell is the key; sheets without one have no rows.
     Without a key the header is the sheet's first row and all rows but empty lines are kept.
@@ -129,7 +134,9 @@ def _below_header(
         .agg(F.min("row_no").alias("header_no"), F.min_by("cells", "row_no").alias("header"))
         .withColumn("header", F.transform("header", form))
     )
-    below = spread_join(kept, headers, ["sheet"], hot_keys(rows, "sheet"), "sheet", ["row_no"])
+    below = spread_join(
+        kept, describe(headers), ["sheet"], hot_keys(rows, "sheet"), "sheet", ["row_no"]
+    )
     return below.filter(F.col("row_no") > F.col("header_no"))
 
 
@@ -146,23 +153,21 @@ def sheet_columns(
     `form` is applied to header cells and to first cells before they are compared. Of two columns
     with one name the later counts.
     """
-    found = _below_header(rows, header_key, form)
-    if required:
-        absent = F.array_except(F.array(*map(F.lit, required)), F.col("header"))
-        found = found.filter(
-            F.when(F.size(absent) == 0, True).otherwise(
-                F.raise_error(
-                    F.concat(F.lit("sheet lacks columns: "), F.array_join(absent, ", "))
-                ).cast("boolean")
-            )
-        )
 
-    def by_name(name: str) -> Column:
-        from_end = F.array_position(F.reverse("header"), name)
-        position = F.size("header") - from_end
-        return F.when(from_end > 0, F.get("cells", position.cast("int")))
+    def locate(headers: DataFrame) -> DataFrame:
+        if required:
+            absent = F.array_except(F.array(*map(F.lit, required)), F.col("header"))
+            message = F.concat(F.lit("sheet lacks columns: "), F.array_join(absent, ", "))
+            headers = headers.filter(
+                F.when(F.size(absent) == 0, True).otherwise(F.raise_error(message).cast("boolean"))
+            )
+        from_end = [F.array_position(F.reverse("header"), c) for c in columns]
+        places = [F.when(n > 0, F.size("header") - n).cast("int") for n in from_end]
+        return headers.select("sheet", "header_no", F.array(*places).alias("places"))
 
-    return found.select("sheet", "row_no", *[by_name(c).alias(c) for c in columns])
+    found = _below_header(rows, header_key, form, locate)
+    picked = [F.get("cells", F.get("places", F.lit(i))) for i in range(len(columns))]
+    return found.select("sheet", "row_no", *[p.alias(c) for p, c in zip(picked, columns)])
 
 
 def positional_columns(rows: DataFrame, header_key: str, columns: Sequence[str]) -> DataFrame:
