@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from crewlens.functions.vocabulary import BADGES, SKILL_ALIASES, SKILL_PHRASES
 
@@ -303,8 +304,15 @@ BASE_TABLES = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once, as the tables never change."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 class Lens(Mapping):
