@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import exact_dedup, line_dedup, quality_rules
+from crewlens.llm import bpe, exact_dedup, licenses, line_dedup, quality_rules, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summarise(licenses.scan_licenses(documents(spark, sf_dir)))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Begins with an empty cache, so that a rerun does the same work."""
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(exact_dedup.normalised(F.col("text")), 256).alias("text_sha256")
     groups = exact_dedup.exact_groups(documents(spark, sf_dir), [digest])
@@ -29,7 +43,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
+    "op3_token_counts": op3_token_counts,
     "op5_line_dedup": op5_line_dedup,
+    "op6_bpe": op6_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
