@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import bpe, exact_dedup, licenses, line_dedup, quality_rules, token_counts
+from crewlens.llm import (
+    bpe,
+    exact_dedup,
+    licenses,
+    line_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +41,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.classify(documents(spark, sf_dir), labels)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(exact_dedup.normalised(F.col("text")), 256).alias("text_sha256")
     groups = exact_dedup.exact_groups(documents(spark, sf_dir), [digest])
@@ -47,6 +65,8 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
