@@ -12,6 +12,7 @@ from crewlens.llm import (
     licenses,
     line_dedup,
     mixing,
+    ngram_lm,
     quality_classifier,
     quality_rules,
     token_counts,
@@ -31,6 +32,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(documents(spark, sf_dir))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
@@ -63,6 +68,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_quality_classifier": op7_quality_classifier,
