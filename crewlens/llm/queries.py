@@ -12,6 +12,7 @@ from crewlens.llm import (
     licenses,
     line_dedup,
     mixing,
+    ngram_join,
     ngram_lm,
     quality_classifier,
     quality_rules,
@@ -23,6 +24,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(documents(spark, sf_dir))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summarise(licenses.scan_licenses(documents(spark, sf_dir)))
 
@@ -66,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op4_lm_scoring": op4_lm_scoring,
