@@ -104,15 +104,6 @@ def historical_paid(apps: DataFrame, before: datetime | None = None) -> DataFram
     )
 
 
-def restrict_to_keys(
-    df: DataFrame, keys: DataFrame, key: str, max_keys: int = 500_000
-) -> DataFrame:
-    """Drop rows whose key is not in `keys` before any shuffle, when the key list is small.
-
-    Only an early filter for a later join on the same key: the list is counted up to its bound, and
-    past the bound the rows go on unfiltered, with the same final result.
-    """
-    distinct = keys.select(key).filter(F.col(key).isNotNull()).distinct()
-    if distinct.limit(max_keys + 1).count() > max_keys:
-        return df
-    return df.join(F.broadcast(distinct), key, "left_semi")
+def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in `keys`: an early filter for a later join on the same key."""
+    return df.join(keys.select(key).filter(F.col(key).isNotNull()), key, "left_semi")

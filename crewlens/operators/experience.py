@@ -66,7 +66,8 @@ def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
         start.alias("start_time"),
         F.lit(1).cast("bigint").alias("shifts"),
         _in_range(F.col("rating")).cast("bigint").alias("rated"),
-        F.when(_in_range(F.col("rating")), F.col("rating")).alias("rating_sum"),
+        # Decimals: their sum is the same in any order.
+        F.when(_in_range(F.col("rating")), F.col("rating")).cast("decimal(18,10)").alias("rating_sum"),
     )
     return _scoped(_with_day(rows))
 
@@ -88,9 +89,9 @@ def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
 def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[str]) -> DataFrame:
     """Add to each lookup the totals of its series' points that start strictly earlier.
 
-    Running totals in two steps, so that a hot series is never one task's work: within a calendar
-    day over distinct start times, and over whole days, of which a series has at most one row per
-    calendar day.
+    Running totals in two steps, so that a hot series' points are never one task's work: within a
+    calendar day over distinct start times, and over whole days, of which a series has at most one
+    row per calendar day. A day's lookups travel in its row, so every input is read once.
     """
     zero = {c: F.lit(0).cast(per_start.schema[c].dataType) for c in TOTALS}
     timeline = per_start.withColumn("is_point", F.lit(1)).unionByName(
@@ -100,26 +101,27 @@ def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[s
     within = Window.partitionBy(*series, "day").orderBy("start_time", "is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    same_day = timeline.withColumns(
-        {f"{c}_today": F.coalesce(F.sum(c).over(within), zero[c]) for c in TOTALS}
-    ).filter(F.col("is_point") == 0)
-
-    per_day = _sum_totals(
-        per_start.select(*series, "day", *TOTALS).unionByName(
-            lookups.select(*series, "day").withColumns(zero)
-        ),
-        *series, "day",
+    carried = [c for c in lookups.columns if c not in (*series, "day", "start_time")]
+    today = [F.coalesce(F.sum(c).over(within), zero[c]).alias(f"{c}_today") for c in TOTALS]
+    probe = F.when(
+        F.col("is_point") == 0, F.struct(*carried, *[f"{c}_today" for c in TOTALS])
+    )
+    days = (
+        timeline.select("*", *today)
+        .groupBy(*series, "day")
+        .agg(F.collect_list(probe).alias("probes"), *[F.sum(c).alias(c) for c in TOTALS])
     )
     earlier = Window.partitionBy(*series).orderBy("day").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    earlier_days = per_day.select(
-        *series, "day",
-        *[F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in TOTALS],
+    before = [F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in TOTALS]
+    probes = days.select(*series, "probes", *before).select(
+        *series, *[f"{c}_before" for c in TOTALS], F.explode("probes").alias("probe")
     )
-    return same_day.join(earlier_days, [*series, "day"]).select(
-        *[c for c in lookups.columns if c not in ("day", "start_time")],
-        *[(F.col(f"{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
+    return probes.select(
+        *series,
+        *[F.col(f"probe.{c}").alias(c) for c in carried],
+        *[(F.col(f"probe.{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
     )
 
 
@@ -159,7 +161,7 @@ def experience_totals(
 
 
 def _average(total: str, count: str) -> Column:
-    return rounded(F.when(F.col(count) > 0, F.col(total) / F.col(count)), 2)
+    return rounded(F.when(F.col(count) > 0, F.col(total).cast("double") / F.col(count)), 2)
 
 
 def prior_experience(

@@ -13,36 +13,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 250_000
-MAX_HOT_KEYS = 1_000
-MAX_PARTS = 4_096
+EVEN_SHARES = 1.0
 PART = "_part"
 
 
-def hot_from_counts(
-    counts: DataFrame, key: str, rows: str, hot_rows: int | None = None
-) -> DataFrame:
-    """(hot_key, parts) of the largest keys, given the row count of each.
+def hot_from_counts(counts: DataFrame, key: str, rows: str) -> DataFrame:
+    """(hot_key, parts) of the keys with more rows than a shuffle partition's even share.
 
-    At most MAX_HOT_KEYS rows: every key with more than a thousandth of all rows is among them. The
-    order is total, so the list is the same wherever the plan evaluates it.
+    The share is all rows over the number of shuffle partitions, so fewer keys than partitions can
+    exceed it, and their parts together are fewer than twice the partitions: the list needs no
+    limit at any size. EVEN_SHARES moves the bound; any list gives the same results.
     """
-    bound = HOT_ROWS if hot_rows is None else hot_rows
-    parts = F.least(F.ceil(F.col(rows) / bound), F.lit(MAX_PARTS)).cast("int")
-    return (
-        counts.filter(F.col(rows) > bound)
-        .orderBy(F.col(rows).desc(), F.col(key).asc())
-        .limit(MAX_HOT_KEYS)
-        .select(F.col(key).alias("hot_key"), parts.alias("parts"))
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("total")).scalar()
+    share = F.greatest(total * (EVEN_SHARES / partitions), F.lit(1.0))
+    return counts.filter(F.col(rows) > share).select(
+        F.col(key).alias("hot_key"), F.ceil(F.col(rows) / share).cast("int").alias("parts")
     )
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return hot_from_counts(counts, key, "_rows", hot_rows)
+    return hot_from_counts(counts, key, "_rows")
 
 
 def _with_parts(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    # The broadcast has fewer rows than there are partitions, see `hot_from_counts`.
     return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("hot_key")), "left").drop(
         "hot_key"
     )

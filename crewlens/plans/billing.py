@@ -12,8 +12,7 @@ from ..operators.billing import billing_status
 from ..operators.candidates import upcoming_locations
 from ..operators.ranking import ordered
 
-# The report's row limit and its columns.
-ROW_LIMIT = 5000
+# The report's columns.
 PAYMENT_COLUMNS = [
     "location_id", "location_name", "approval_status", "has_payment_information",
     "payment_information_scope",
@@ -21,8 +20,10 @@ PAYMENT_COLUMNS = [
 
 
 def billing_report(
-    tables: Mapping[str, DataFrame], today: date, limit: int | None = ROW_LIMIT
+    tables: Mapping[str, DataFrame], today: date, limit: int | None = None
 ) -> DataFrame:
+    """Every location with an upcoming shift, by location. A caller's `limit` cuts the finished
+    report; take `needs_billing` of the whole report, not of a cut one."""
     status = billing_status(
         upcoming_locations(tables["applications"], today),
         tables["locations"],

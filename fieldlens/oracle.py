@@ -443,7 +443,7 @@ VIEWS = {
       SELECT location_id, location_name, approval_status,
         {yes("payment_information_scope LIKE '%account'")} AS has_payment_information,
         payment_information_scope
-      FROM paying ORDER BY location_id LIMIT 5000""",
+      FROM paying ORDER BY location_id""",
     "five_report": f"""
       SELECT c.location_name AS business_name, c.location_id, c.gig_id AS shift_id,
         c.gig_start_time_local AS shift_date, c.market, c.skill,
@@ -692,7 +692,7 @@ STATEMENTS = {
     " poor_position_rating = 'Yes' OR (profile_match_source = 'No match' AND"
     " prior_paid_same_skill_shifts = 0)",
     "hours_to_start": f"SELECT app_id, gig_id, {HOURS} AS hours_to_start FROM applications",
-    "distances": f"SELECT app_id, gig_id, {DISTANCE} AS distance_miles FROM applications JOIN"
+    "distances": f"SELECT app_id, gig_id, {DISTANCE} AS distance_miles FROM applications LEFT JOIN"
     " pro_snapshot ON pro_id = gigster_id",
     "scaled_percentages": "SELECT pro_id, " + ", ".join(
         f"{share(c)} AS {c}_pct"

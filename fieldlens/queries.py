@@ -521,7 +521,7 @@ def distances(spark, d):
     t = lens(spark, d)
     pros = t["pro_snapshot"].select("pro_id", "pro_last_lat", "pro_last_long")
     return plain(
-        t["applications"].join(pros, F.col("gigster_id") == F.col("pro_id")).select(
+        t["applications"].join(pros, F.col("gigster_id") == F.col("pro_id"), "left").select(
             "app_id", "gig_id",
             labels.distance_miles(
                 F.col("pro_last_lat"), F.col("pro_last_long"),

@@ -98,7 +98,7 @@ def _snapshot(d) -> list[str]:
         for i, name in enumerate(BADGES)
     ]
     return [
-        "s_suppkey AS pro_id",
+        "s_suppkey + CASE WHEN s_suppkey % 11 = 3 THEN 1000000 ELSE 0 END AS pro_id",
         "s_name AS full_name",
         "'+1' || CAST(5550000000 + s_suppkey AS STRING) AS phone_number",
         f"{d.pick(PROFILE_TEXTS, 's_suppkey * 3')} AS experience",
@@ -176,7 +176,8 @@ def _clockins(d) -> list[str]:
 def _aliases(d) -> list[str]:
     return [
         "'Agent ' || CAST(user_id AS STRING) AS name",
-        "'Full ' || CAST(user_id AS STRING) AS full_name",
+        "'Full ' || CAST(user_id + CASE WHEN user_id % 9 = 0 THEN 1000000 ELSE 0 END AS STRING)"
+        " AS full_name",
     ]
 
 
@@ -281,12 +282,12 @@ DEFINITIONS = {
         ],
         "nation",
     ),
-    "pro_snapshot": (_snapshot, "supplier WHERE s_suppkey % 11 <> 3"),
+    "pro_snapshot": (_snapshot, "supplier"),
     "profiles": (_profiles, None),
-    "roster": (_roster, "events WHERE event_type = 'signup'"),
-    "clockins": (_clockins, "events WHERE event_type <> 'signup'"),
-    "aliases": (_aliases, "(SELECT DISTINCT user_id FROM events) AS u WHERE user_id % 9 <> 0"),
-    "notes": (_notes, "lineitem WHERE l_shipdate < '1999-01-01'"),
+    "roster": (_roster, "events"),
+    "clockins": (_clockins, "events"),
+    "aliases": (_aliases, "(SELECT DISTINCT user_id FROM events) AS u"),
+    "notes": (_notes, "lineitem"),
     "raw_sheet": (_raw_sheet, "events"),
     "markup": (_markup, "customer"),
 }

@@ -81,11 +81,11 @@ def brute(conf, hist):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [None, 5])
+@pytest.mark.parametrize("hot_rows", [None, 0.02])
 @pytest.mark.parametrize("floor", [None, START, START + timedelta(hours=-5)])
 def test_against_pairing(spark, monkeypatch, floor, hot_rows):
     if hot_rows:
-        monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(skew, "EVEN_SHARES", hot_rows)
     conf, hist = make(7)
     if floor == START:
         # Older history folds only when it precedes every application.

@@ -32,5 +32,5 @@ SPLITTING = [
 
 @pytest.mark.parametrize("name", SPLITTING)
 def test_hot_keys_do_not_change_results(spark, duck, sf_dir, name, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "EVEN_SHARES", 0.01)
     assert spark_table(QUERIES[name](spark, sf_dir)) == duck_table(duck, ORACLE[name])[1]
