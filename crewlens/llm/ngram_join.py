@@ -37,7 +37,7 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.998
 ROWS = 7
-BUCKET_ROWS = 1024  # a bucket with more is dealt to parts
+BUCKET_ROWS = 1024  # a bucket with more is dealt to parts, and each pair of parts is compared
 BLOCK_GRAMS = 500_000  # a cluster with more n-grams is dealt to blocks
 COLUMNS = 4096  # of the matrix product at a time
 
@@ -195,7 +195,7 @@ def candidate_edges(representatives: DataFrame, least: float) -> DataFrame:
     sizes = stored(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "buckets")
     members = only_possible(banded, "bucket", key_bitmaps(sizes, "bucket")).join(sizes, "bucket")
     parts = F.ceil(F.col("rows") / BUCKET_ROWS)
-    keys = ["bucket", "part"]
+    keys = ["bucket", "first", "second"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, keys):
@@ -205,7 +205,10 @@ def candidate_edges(representatives: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], ["a", "b"])
 
     return (
-        members.withColumn("part", F.pmod(F.xxhash64("rep", "bucket"), parts))
+        members.withColumn("part", F.pmod(F.xxhash64("rep"), parts))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .withColumn("first", F.least("part", "other"))
+        .withColumn("second", F.greatest("part", "other"))
         .select(*keys, "rep", "sketch")
         .repartition(shuffle_partitions(representatives.sparkSession), *keys)
         .sortWithinPartitions(*keys, "rep")
@@ -246,11 +249,13 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def verify_group(texts: pa.RecordBatch, ids: np.ndarray, side: np.ndarray, copies: np.ndarray, n: int, threshold: float):
+def verify_group(
+    texts: pa.RecordBatch, ids: np.ndarray, side: np.ndarray | None, copies: np.ndarray, n: int, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
     """Documents linked with each row, and the least id that links connect it with.
 
-    `side` is 0 for rows of the first block and 1 for those of the second; pairs are of one row of
-    each, or of any two rows if there is only one block.
+    `side` is 0 for rows of the first block and 1 for those of the second, and pairs are of one row
+    of each; without it any two rows are a pair.
     """
     grams, sizes = [], []
     for _, some, first in gram_sets(texts, n):
@@ -264,7 +269,7 @@ def verify_group(texts: pa.RecordBatch, ids: np.ndarray, side: np.ndarray, copie
     column = (np.cumsum(count > 1) - 1)[gram]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    if (side == side[0]).all():
+    if side is None:
         left = right = np.arange(len(ids))
     else:
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -314,9 +319,9 @@ def verified(docs: DataFrame, clusters: DataFrame, n: int, threshold: float) ->
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(table)]):
                 group = table.slice(a, b - a).combine_chunks().to_batches()[0]
                 ids = group.column("rep").to_numpy()
-                found = verify_group(
-                    group, ids, group.column("side").to_numpy(), group.column("copies").to_numpy(), n, threshold
-                )
+                two = group.column("first")[0] != group.column("second")[0]
+                side = group.column("side").to_numpy() if two else None
+                found = verify_group(group, ids, side, group.column("copies").to_numpy(), n, threshold)
                 out.append((ids, *found, group.column("blocks").to_numpy()))
             columns = [np.concatenate(x) for x in zip(*out)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rep", "links", "low", "blocks"])
