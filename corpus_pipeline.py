@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crewlens.llm.stages import (
-    drop_exact_copies,
-)
+from crewlens.llm import stages
 from crewlens.llm.shared import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
-    ("exact dedup", drop_exact_copies),
+    ("quality classifier", stages.reject_low_quality),
+    ("exact dedup", stages.drop_exact_copies),
+    ("n-gram Jaccard join", stages.drop_near_copies),
+    ("mixing sources to target weights", stages.mix_sources),
+    ("BPE encoding and decoding", stages.encode),
 ]
 
-#: The classifier, the join and the tokenizer have no SQL form; tests compare with brute force.
+#: SQL cannot express the classifier, the join's links or the tokenizer; tests use brute force.
 ORACLE_SQL = None
 
 

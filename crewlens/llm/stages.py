@@ -1,14 +1,65 @@
-"""The pipeline's stages: each takes documents and returns those that stay, with the same columns."""
+"""The pipeline's stages: each takes documents and returns documents with the same columns.
+
+A stage calls one operator on all rows it is given and lets its decisions take effect. Rows keep all
+their columns. Rows with a null doc_id are kept by the filtering stages where nothing else is said.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crewlens.llm.exact_dedup import exact_groups
+from crewlens.llm import bpe, exact_dedup, mixing, ngram_join, quality_classifier
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id is in `ids`, or null on both sides."""
+    kept = ids.select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*_all(docs))
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality_classifier.classify(docs, labels)
+    return _keep(docs, scored.filter("predicted = 1"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays."""
-    columns: list[Column] = [F.col(c) for c in docs.columns if c != "doc_id"]
-    return docs.join(exact_groups(docs).filter("kept").select("doc_id"), "doc_id", "left_semi").select("doc_id", *columns)
+    """Of equal texts, the row with the largest doc_id stays, once."""
+    row_key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    kept = exact_dedup.exact_groups(docs, [row_key.alias("_row")]).filter("kept").select("_row").distinct()
+    rows = docs.withColumn("_row", row_key).join(kept, "_row", "left_semi")
+    once = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    return rows.withColumn("_turn", once).filter("_turn = 1").select(*_all(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that n-gram Jaccard links connect, the one with the least doc_id stays."""
+    joined = ngram_join.jaccard_join(docs)
+    return _keep(docs, joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix, in whole documents: a document of which the mix takes `taken` of its `size` words
+    appears taken / size times, rounded up or down by a hash of its id so that each source's sum
+    comes out as drawn. Documents of size 0 stay."""
+    drawn = mixing.mix(docs).select(
+        F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
+    ).dropDuplicates(["_id", "_size"])
+    size = mixing.word_count(F.col("text"))
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
+    times = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.col("_size") + chance))
+    joined = docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("_id")) & (size == F.col("_size")))
+    repeated = joined.withColumn("_turn", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
+    return repeated.select(*_all(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded text of what is left."""
+    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
