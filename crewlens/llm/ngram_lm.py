@@ -42,8 +42,9 @@ FOLDS = 10
 PRIOR = 200.0
 ADDED = 0.1
 END, BEGIN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
-SHARDS = 2  # for each shuffle partition
 LEVELS = 65_535  # of quantised probabilities
+#: A shard's sums for a document travel as multiples of these.
+BASE_UNIT, MODEL_UNIT = 2.0**-34, 2.0**-16
 CONTEXT_BITS = np.uint64((1 << 40) - 1)
 
 
@@ -59,15 +60,25 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
+def _gaps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers, which need fewer bytes; `_sums` undoes it."""
+    return np.diff(ascending.astype(np.uint64), prepend=np.uint64(0))
+
+
+def _sums(gaps: np.ndarray) -> np.ndarray:
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
 def _unpack(data: bytes) -> list[np.ndarray]:
     raw, arrays = zstandard.ZstdDecompressor().decompress(data), []
     at = 1
     for _ in range(raw[0]):
         n, width = int.from_bytes(raw[at : at + 5], "little"), raw[at + 5]
         planes = np.frombuffer(raw, np.uint8, n * width, at + 6).reshape(width, n)
-        wide = np.zeros((n, 8), np.uint8)
+        size = next(x for x in (1, 2, 4, 8) if x >= width)
+        wide = np.zeros((n, size), np.uint8)
         wide[:, :width] = planes.T
-        arrays.append(wide.view("<u8").ravel())
+        arrays.append(wide.view(f"<u{size}").ravel())
         at += 6 + n * width
     return arrays
 
@@ -91,9 +102,10 @@ class EliasFano:
         low = np.zeros((n, width), np.uint8)
         for bit in range(width):
             low[:, bit] = (values >> np.uint64(bit)) & np.uint64(1)
+        low = np.append(low.ravel(), np.zeros(64, np.uint8))  # any 8 bytes can be read at once
         high = np.zeros(n + (universe >> width) + 2, np.uint8)
         high[(values >> np.uint64(width)).astype(np.int64) + np.arange(n)] = 1
-        return cls(n, width, np.packbits(low.ravel(), bitorder="little"), np.packbits(high, bitorder="little"))
+        return cls(n, width, np.packbits(low, bitorder="little"), np.packbits(high, bitorder="little"))
 
     def directory(self) -> Search:
         return Search(self)
@@ -101,21 +113,20 @@ class EliasFano:
 
 class Search:
     """Random access and successor search in a sequence: the places of its set and clear high bits,
-    found once when a level is opened."""
+    found once when a level is opened. Low parts have at most 57 bits."""
 
     def __init__(self, sequence: EliasFano):
         bits = np.unpackbits(sequence.high, bitorder="little")
         self.ones = np.flatnonzero(bits)[: sequence.n]
-        self.n, self.width, self.low = sequence.n, sequence.width, sequence.low
+        self.n, self.width = sequence.n, sequence.width
+        low = sequence.low
+        self.low = np.ndarray(len(low) - 7, "<u8", low, strides=(1,))  # the 8 bytes from each place on
         upper = self.ones - np.arange(self.n)
         self.buckets = np.concatenate([[0], np.cumsum(np.bincount(upper))]) if self.n else np.zeros(1, np.int64)
 
     def _lows(self, places: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(places), np.int64)
-        for bit in range(self.width):
-            at = places * self.width + bit
-            out |= ((self.low[at >> 3] >> (at & 7)) & 1).astype(np.int64) << bit
-        return out
+        at = places * self.width
+        return ((self.low[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.width) - 1)).astype(np.int64)
 
     def values(self, places: np.ndarray) -> np.ndarray:
         return ((self.ones[places] - places) << self.width) | self._lows(places)
@@ -127,10 +138,11 @@ class Search:
         stop = self.buckets[np.minimum(upper + 1, len(self.buckets) - 1)]
         rest = wanted & ((1 << self.width) - 1)
         open_ = np.flatnonzero(place < stop)
-        while len(open_):
-            smaller = self._lows(place[open_]) < rest[open_]
-            open_ = open_[smaller]
-            place[open_] += 1
+        while len(open_):  # halve what is left of each bucket
+            middle = (place[open_] + stop[open_]) >> 1
+            smaller = self._lows(middle) < rest[open_]
+            place[open_[smaller]] = middle[smaller] + 1
+            stop[open_[~smaller]] = middle[~smaller]
             open_ = open_[place[open_] < stop[open_]]
         return place
 
@@ -239,7 +251,7 @@ def _word_counts(rows: DataFrame, shards: int) -> DataFrame:
             order, distinct, starts = _runs(words)
             counts = np.add.reduceat(each[order], starts[:-1]) if len(distinct) else each
             order, numbers, starts = _runs(_shard_of(distinct, shards))
-            payload = [_pack(distinct[order[a:b]], counts[order[a:b]]) for a, b in zip(starts, starts[1:])]
+            payload = [_pack(_gaps(distinct[order[a:b]]), counts[order[a:b]]) for a, b in zip(starts, starts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(payload, pa.binary())], ["shard", "payload"])
 
     return rows.select("held_out", "text").mapInArrow(count, "shard int, payload binary")
@@ -247,8 +259,8 @@ def _word_counts(rows: DataFrame, shards: int) -> DataFrame:
 
 def _add_counts(payloads) -> tuple[np.ndarray, np.ndarray]:
     parts = [_unpack(p) for p in payloads]
-    words = np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in parts)])
-    each = np.concatenate([np.zeros(0, np.uint64), *(p[1] for p in parts)]).astype(np.int64)
+    words = np.concatenate([np.zeros(0, np.uint64), *(_sums(p[0]) for p in parts)])
+    each = np.concatenate([np.zeros(0, np.int64), *(p[1].astype(np.int64) for p in parts)])
     distinct, inverse = np.unique(words, return_inverse=True)
     return distinct, np.bincount(inverse, each, len(distinct)).astype(np.int64)
 
@@ -322,7 +334,7 @@ def _packed_tokens(rows: DataFrame, shards: int, corpus: Corpus) -> DataFrame:
                 word, word_at = np.unique(tokens[mine], return_inverse=True)
                 context, context_at = np.unique(before[mine] & CONTEXT_BITS, return_inverse=True)
                 steps = np.diff(doc[mine], prepend=0)
-                payload.append(_pack(word, word_at, context, context_at, steps, train[doc[mine]]))
+                payload.append(_pack(_gaps(word), word_at, _gaps(context), context_at, steps, train[doc[mine]]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(numbers, pa.int32()), pa.array(np.full(len(numbers), name), pa.int64()), pa.array(payload, pa.binary())],
                 ["shard", "batch", "payload"],
@@ -331,30 +343,38 @@ def _packed_tokens(rows: DataFrame, shards: int, corpus: Corpus) -> DataFrame:
     return rows.select("row", "held_out", "text").mapInArrow(deal, "shard int, batch long, payload binary")
 
 
+def _common(parts: list[list[np.ndarray]], i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys that the parts list as item i, and of each token the number of its key."""
+    keys = [_sums(p[i]) for p in parts]
+    distinct = np.unique(np.concatenate(keys))
+    return distinct, np.concatenate([np.searchsorted(distinct, k).astype(np.int32)[p[i + 1]] for k, p in zip(keys, parts)])
+
+
 def _score_shard(payloads: list[bytes], corpus: Corpus) -> list[tuple[np.ndarray, ...]]:
     """For each payload: documents, base part, model part, known tokens (sums over the tokens)."""
     parts = [_unpack(p) for p in payloads]
-    word = np.concatenate([p[0][p[1]] for p in parts])
-    context = np.concatenate([p[2][p[3]] for p in parts])
-    train = np.concatenate([p[5] for p in parts]).astype(bool)
     sizes = [len(p[1]) for p in parts]
+    words, number = _common(parts, 0)
+    contexts, rank = _common(parts, 2)
+    train = np.concatenate([p[5] for p in parts]).astype(bool)
 
-    words, number = np.unique(word, return_inverse=True)
-    contexts, rank = np.unique(context, return_inverse=True)
+    fan = max(1, len(contexts))
+    asked, asked_at = np.unique(number.astype(np.int64) * fan + rank, return_inverse=True)
+    asked_word, asked_context = asked // fan, asked % fan
+    del rank
     counts = np.bincount(number[train], minlength=len(words)).astype(np.int64)
     for i in np.flatnonzero(np.isin(words, np.array(list(corpus.hot) or [0], np.uint64))):
         counts[i] = corpus.hot.get(int(words[i]), counts[i])  # this shard holds a part of its tokens
     seen = counts > 0
-    pair, pair_counts = np.unique(number[train] * len(contexts) + rank[train], return_counts=True)
-    owner = np.cumsum(seen)[pair // max(1, len(contexts))] - 1
     prior = PRIOR * corpus.unigram(counts)
-    logs = np.log10(pair_counts + prior[pair // max(1, len(contexts))])
-    trie = Trie(words[seen], counts[seen], owner, contexts[pair % max(1, len(contexts))], logs)
+    pair_counts = np.bincount(asked_at[train], minlength=len(asked))
+    pair = np.flatnonzero(pair_counts)
+    owner = (np.cumsum(seen) - 1)[asked_word[pair]]
+    logs = np.log10(pair_counts[pair] + prior[asked_word[pair]])
+    trie = Trie(words[seen], counts[seen], owner, contexts[asked_context[pair]], logs)
 
-    asked, asked_at = np.unique(number * len(contexts) + rank, return_inverse=True)
     at, known = trie.find_words(words)
-    asked_word = asked // max(1, len(contexts))
-    value, found = trie.find_pairs(at[asked_word], contexts[asked % max(1, len(contexts))])
+    value, found = trie.find_pairs(at[asked_word], contexts[asked_context])
     found &= known[asked_word]
     value = np.where(found, value, np.log10(prior[asked_word]))
     as_context = np.where(words == END, 0.0, np.log10(counts + PRIOR))  # an end stands before nothing
@@ -373,7 +393,7 @@ def _score_shard(payloads: list[bytes], corpus: Corpus) -> list[tuple[np.ndarray
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
-    shards = SHARDS * shuffle_partitions(docs.sparkSession)
+    shards = shuffle_partitions(docs.sparkSession)
     rows = docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), held_out(F.col("doc_id")).alias("held_out"),
         whole(F.col("text")).alias("text"),
@@ -395,7 +415,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             parts = []
             for docs_, base, model, known in _score_shard(payloads, corpus):
                 steps = np.diff(docs_, prepend=0)
-                parts.append(_pack(steps, known.astype(np.uint64), _bits(base), _bits(model)))
+                parts.append(_pack(steps, known, _fixed(base, BASE_UNIT), _fixed(model, MODEL_UNIT)))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(parts, pa.binary())], ["batch", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,7 +425,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 doc = np.concatenate([np.cumsum(p[0].astype(np.int64)) for p in all_parts])
                 sums = [
                     np.bincount(doc, np.concatenate(x))
-                    for x in ([p[1] for p in all_parts], *([_floats(p[i]) for p in all_parts] for i in (2, 3)))
+                    for x in (
+                        [p[1] for p in all_parts], [_unfixed(p[2], BASE_UNIT) for p in all_parts],
+                        [_unfixed(p[3], MODEL_UNIT) for p in all_parts],
+                    )
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -434,9 +457,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def _bits(x: np.ndarray) -> np.ndarray:
-    return x.astype("<f8").view("<u8")
+def _fixed(x: np.ndarray, unit: float) -> np.ndarray:
+    """Multiples of `unit`, the sign in the last bit."""
+    n = np.round(x / unit).astype(np.int64)
+    return np.where(n < 0, -2 * n - 1, 2 * n).astype(np.uint64)
 
 
-def _floats(x: np.ndarray) -> np.ndarray:
-    return x.view("<f8")
+def _unfixed(x: np.ndarray, unit: float) -> np.ndarray:
+    n = x.astype(np.int64)
+    return np.where(n & 1, -(n + 1) // 2, n // 2) * unit
