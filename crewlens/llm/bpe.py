@@ -24,6 +24,7 @@ import hashlib
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,10 +38,12 @@ from crewlens.llm.shared import BITMAP_BITS, BITMAPS, key_bitmaps, whole
 
 CUT_BITS = 10  # chunks of 2**10 bytes on average
 MIN_CHUNK = 256
-CACHE_WORDS = 1_000_000  # words a worker remembers before it starts anew
+CACHE_WORDS = 400_000  # words a worker remembers before it starts anew
+SEGMENT = 1 << 20  # bytes hashed at a time
 
 _BREAK = re.compile(r"[ \n]")
 _BREAKS = re.compile(r"[ \t\n\x0b\x0c\r]+")
+_PRINTABLE = re.compile(r"[!-~]*")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
@@ -60,16 +63,25 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, tuple[bytes, str]] = {}
+        self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
+        self.words: dict[str, bytes] = {}
+        # Printable ASCII needs no Unicode step: the same pattern, with ASCII's letters and digits.
+        kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        pattern = splits[0]["pattern"].get("Regex", "").replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+        plain = kinds == ["NFC", "Replace", "Lowercase"] and len(steps) == 2 and "\\p" not in pattern
+        self.plain = re.compile(pattern) if plain else None
 
     def _piece(self, text: str) -> list[int]:
         if not text:
             return []
+        if self.plain and text.isascii() and _PRINTABLE.fullmatch(text):
+            parts = self.plain.findall(text.lower())
+            return [t.id for part in parts for t in self.library.model.tokenize(part)]
         normal = self.library.normalizer.normalize_str(text)
         parts = self.library.pre_tokenizer.pre_tokenize_str(normal)
         return [t.id for part, _ in parts for t in self.library.model.tokenize(part)]
 
-    def _learn(self, word: str) -> tuple[bytes, str]:
+    def _learn(self, word: str) -> bytes:
         if self.special_split and "<" in word:
             parts = self.special_split.split(word)
             ids = [i for p in parts for i in ([self.special[p]] if p in self.special else self._piece(p))]
@@ -77,31 +89,18 @@ class WordEncoder:
             ids = self._piece(word)
         if len(self.words) >= CACHE_WORDS:
             self.words.clear()
-        known = (np.array(ids, "<u4").tobytes(), " ".join(map(self.library.id_to_token, ids)))
+        known = struct.pack(f"<{len(ids)}I", *ids)
         self.words[word] = known
         return known
 
-    def _known(self, text: str) -> list[tuple[bytes, str]]:
-        words = _BREAKS.split(text) if _ODD_SPACE.search(text) else text.split()
-        get, learn = self.words.get, self._learn
-        return [get(w) or learn(w) for w in words if w]
-
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join([k[0] for k in self._known(text)])
-
-    def both(self, text: str) -> tuple[bytes, str]:
-        """Ids and the decoded text."""
-        known = self._known(text)
-        return b"".join([k[0] for k in known]), " ".join([k[1] for k in known if k[1]])
+        words = _BREAKS.split(text) if _ODD_SPACE.search(text) else text.split()
+        get, learn = self.words.get, self._learn
+        return b"".join([get(w) or learn(w) for w in words if w])
 
     def decode(self, ids: bytes) -> str:
-        token = self._token
-        return " ".join([token(i) for i in np.frombuffer(ids, "<u4").tolist()])
-
-    @lru_cache(maxsize=65_536)  # noqa: B019  one encoder lives as long as its worker
-    def _token(self, i: int) -> str:
-        return self.library.id_to_token(i)
+        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @lru_cache(maxsize=2)
@@ -122,11 +121,15 @@ _GEAR = _gear()
 
 def cut_places(data: np.ndarray) -> np.ndarray:
     """Places after which the rolling hash of the last 16 bytes asks for a cut."""
-    h = _GEAR[data]
-    for step in (1, 2, 4, 8):
-        if len(h) > step:
-            h[step:] = h[step:] + (h[:-step] << np.uint32(step))
-    places = np.flatnonzero((h >> np.uint32(32 - CUT_BITS)) == 0) + 1
+    found = [np.zeros(0, np.int64)]
+    for begin in range(0, len(data), SEGMENT):
+        start = max(0, begin - 15)
+        h = _GEAR[data[start : begin + SEGMENT]]
+        for step in (1, 2, 4, 8):
+            if len(h) > step:
+                h[step:] = h[step:] + (h[:-step] << np.uint32(step))
+        found.append(np.flatnonzero((h[begin - start :] >> np.uint32(32 - CUT_BITS)) == 0) + begin + 1)
+    places = np.concatenate(found)
     places = places[places < len(data)]
     return places[(data[places] & 0xC0) != 0x80]  # never inside a character
 
@@ -201,12 +204,17 @@ def join_chunks(parts: list[tuple[str, bytes | None, str]], encode) -> bytes:
     return b"".join(ids)
 
 
-def _result(doc_ids: list, encoded: list[tuple[bytes, str]]) -> list:
-    return [
-        pa.array([len(ids) // 4 for ids, _ in encoded], pa.int64()),
-        pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in encoded]),
-        pa.array([hashlib.sha256(text.encode()).hexdigest() for _, text in encoded]),
-    ]
+def _digests(engine: WordEncoder, ids: bytes) -> tuple[int, str, str]:
+    decoded = engine.decode(ids).encode()
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
+
+def _results(doc_ids: pa.Array, at: list[int], done: list[tuple[int, str, str]]) -> pa.RecordBatch:
+    columns = list(zip(*done)) or [(), (), ()]
+    kinds = [pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays(
+        [doc_ids.take(pa.array(at, pa.int64())), *map(pa.array, columns, kinds)], ["doc_id", *RESULT]
+    )
 
 
 RESULT = ["n_tokens", "ids_sha256", "decoded_sha256"]
@@ -242,14 +250,12 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
         return [(c, *(p := _pair(_digest(c))), p[0] in shared.value) for c in chunks]
 
     def unshared_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).both
+        engine = encoder(tokenizer)
         for batch in batches:
             texts = Texts(batch)
             mine = [i for i in range(len(texts)) if not any(c[3] for c in split(texts, i))]
-            done = [encode(texts.text(i).decode()) for i in mine]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(mine, pa.int64())), *_result(mine, done)], ["doc_id", *RESULT]
-            )
+            done = [_digests(engine, engine.ids(texts.text(i).decode())) for i in mine]
+            yield _results(batch.column("doc_id"), mine, done)
 
     def own_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs of unshared chunks of documents that also have shared ones, encoded."""
@@ -326,10 +332,8 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 copies = sum(p["seq"] == parts[0]["seq"] for p in parts)
                 ids = join_chunks([(p["head"], _unpacked(p["body"]), p["tail"]) for p in parts[::copies]], engine.ids)
                 at += [i] * copies
-                done += [(ids, engine.decode(ids))] * copies
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(at, pa.int64())), *_result(at, done)], ["doc_id", *RESULT]
-            )
+                done += [_digests(engine, ids)] * copies
+            yield _results(batch.column("doc_id"), at, done)
 
     dictionary = (
         rows.select("text").mapInArrow(shared_chunks, "h1 long, h2 long, chunk string")
