@@ -22,8 +22,9 @@ from ..functions.clock import (
 )
 from ..functions.text import strip
 from ..functions.vocabulary import WEEKDAYS
+from .quality import require_per_sheet, require_rows
 from .ranking import latest_by
-from .skew import hot_keys, spread_join
+from .skew import hot_from_counts, spread_join
 
 # Fixed value: how the date columns of a clock-in sheet are titled.
 DATE_CELL = r"^\s*\d{1,2}/\d{1,2}/\d{2}\s*$"
@@ -34,15 +35,23 @@ def cell(position: int) -> Column:
     return strip(F.coalesce(F.get("cells", F.lit(position)), F.lit("")))
 
 
-def roster_long(rows: DataFrame) -> DataFrame:
+def roster_long(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
     """(sheet, name, weekday, code) for every named agent below the 'Name' header row.
 
-    Section titles (no code on any day) are not agents; a repeated name keeps its last row.
+    Section titles (no code on any day) are not agents; a repeated name keeps its last row. A sheet
+    without the header row fails the job, unless `skip_headerless` says that it is no roster.
     """
     is_header = cell(0) == "Name"
-    header = (
-        rows.filter(is_header).groupBy("sheet").agg(F.min("row_no").alias("header_no"))
+    sheets = rows.groupBy("sheet").agg(
+        F.min(F.when(is_header, F.col("row_no"))).alias("header_no"),
+        F.count(F.lit(1)).alias("_rows"),
     )
+    hot = hot_from_counts(sheets, "sheet", "_rows")
+    header = (
+        sheets.filter(F.col("header_no").isNotNull())
+        if skip_headerless
+        else require_per_sheet(sheets, "header_no", "the row 'Name'")
+    ).drop("_rows")
     codes = F.array(*[cell(1 + i) for i in range(len(WEEKDAYS))])
     agents = (
         rows.filter(~is_header & (cell(0) != ""))
@@ -52,9 +61,7 @@ def roster_long(rows: DataFrame) -> DataFrame:
     # A name whose last row precedes the header has no row below it, so the rows can be reduced
     # to the last per name before they meet the header.
     latest = latest_by(agents, ["sheet", "name"], [F.col("row_no").desc_nulls_last()])
-    below = spread_join(
-        latest, header, ["sheet"], hot_keys(rows, "sheet"), "sheet", ["name"]
-    ).filter(F.col("row_no") > F.col("header_no"))
+    below = spread_join(latest, header, ["sheet"], hot, "sheet", ["name"]).filter(F.col("row_no") > F.col("header_no"))
     return below.select("sheet", "name", F.posexplode("codes").alias("weekday", "code"))
 
 
@@ -82,15 +89,26 @@ def segment_rows(df: DataFrame, schedule: str, *keep: str) -> DataFrame:
     )
 
 
-def open_sessions(rows: DataFrame) -> DataFrame:
+def open_sessions(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
     """Clock-ins without a clock-out, for every date column of every sheet.
 
     The dates stand in the first row with a date-like cell; a date's column holds the clock-in and
     the next one the clock-out. Column 1 is the name, column 2 the schedule. Among a name's open
-    rows the last one wins. Text that is not a real date is dropped.
+    rows the last one wins. Text that is not a real date is dropped. A sheet without a date row
+    fails the job, unless `skip_headerless` says that it is no clock-in sheet.
     """
-    dated = rows.filter(F.exists("cells", lambda c: c.rlike(DATE_CELL)))
-    first = dated.groupBy("sheet").agg(F.min_by("cells", "row_no").alias("header"))
+    dated_no = F.when(F.exists("cells", lambda c: c.rlike(DATE_CELL)), F.col("row_no"))
+    sheets = rows.groupBy("sheet").agg(
+        F.min(dated_no).alias("dated_no"),
+        F.min_by("cells", dated_no).alias("header"),
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    hot = hot_from_counts(sheets, "sheet", "_rows")
+    first = (
+        sheets.filter(F.col("dated_no").isNotNull())
+        if skip_headerless
+        else require_per_sheet(sheets, "header", "the row of dates")
+    )
     columns = first.select("sheet", F.posexplode("header").alias("position", "title")).select(
         "sheet",
         "position",
@@ -111,8 +129,7 @@ def open_sessions(rows: DataFrame) -> DataFrame:
 
     sessions = (
         spread_join(
-            rows.filter(cell(1) != ""), columns, ["sheet"], hot_keys(rows, "sheet"), "sheet",
-            ["row_no"],
+            rows.filter(cell(1) != ""), columns, ["sheet"], hot, "sheet", ["row_no"],
         )
         .select(
             "sheet", "row_no", cell(1).alias("full_name"), cell(2).alias("schedule"), "cells",
@@ -139,23 +156,22 @@ def has_date_column(rows: DataFrame, day: date) -> Column:
 
 def open_clockins(rows: DataFrame, day: date) -> DataFrame:
     """Open sessions of one day; fails when no sheet has a column for the day."""
-    from .quality import require_rows
-
     require_rows(rows.filter(has_date_column(rows, day)), f"date column {day.isoformat()}")
     return open_sessions(rows).filter(F.col("work_date") == F.lit(day))
 
 
 def week_tab(tabs: DataFrame, day: date) -> DataFrame:
-    """The title of the week tab for a day: the exact label, else the first range covering it."""
+    """The title of the week tab for a day: the exact label, else the first range covering it.
+
+    Always one row; if no tab fits, the job fails, naming the day.
+    """
     wanted = F.lit(day)
     exact = F.col("title") == week_label(wanted)
-    return (
-        tabs.select("title", "tab_no", exact.alias("exact"),
-                    tab_covers(F.col("title"), wanted).alias("covers"))
-        .filter(F.col("exact") | F.col("covers"))
-        .orderBy(F.col("exact").desc(), "tab_no")
-        .limit(1)
-        .select("title")
+    fits = exact | tab_covers(F.col("title"), wanted)
+    best = F.min_by("title", F.when(fits, F.struct((~exact).alias("later"), "tab_no")))
+    message = F.lit(f"no week tab for {day.isoformat()}")
+    return tabs.agg(best.alias("title")).select(
+        F.coalesce("title", F.raise_error(message).cast("string")).alias("title")
     )
 
 

@@ -18,11 +18,15 @@ def agents_online(
     aliases: DataFrame,
     sheet_zone: str,
     day: date | None = None,
+    skip_headerless: bool = False,
 ) -> DataFrame:
-    """Who is on shift on one day, or with `day` left out on every date the sheets hold."""
-    roster = roster_long(roster_rows)
+    """Who is on shift on one day, or with `day` left out on every date the sheets hold.
+
+    `skip_headerless` says that files without a header row or a row of dates are no sheets.
+    """
+    roster = roster_long(roster_rows, skip_headerless)
     if day is None:
-        sessions = open_sessions(clockin_rows)
+        sessions = open_sessions(clockin_rows, skip_headerless)
     else:
         require_rows(roster, "roster")
         sessions = open_clockins(clockin_rows, day)

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import EMAIL, OPAQUE_KEY, PHONE
+from ..operators.quality import EMAIL, OPAQUE_KEY, PHONE, has_personal_data
 
 # What a published page must not contain.
 FORBIDDEN_EXACT = ["localhost:3000", "/api/removals"]
 FORBIDDEN_ANY_CASE = ["catch-up mode", "meeting memory"]
+# Script arrays of rows about persons.
+PERSON_ARRAYS = ["REVIEW_ROWS", "OUTREACH_ROWS"]
 # The markup that carries keys, counts and the removal registry.
 KEY_ATTRIBUTE = 'data-permanent-key="mb-[0-9a-f]{24}"'
 COUNT_ATTRIBUTE = r'data-support-count="(\d+)"'
@@ -101,3 +103,19 @@ def without_array_rows(text: Column, name: str) -> Column:
     )
     missing = F.raise_error(F.lit(f"refusing to publish: no array {name}")).cast("string")
     return F.when(start > 0, emptied).otherwise(missing)
+
+
+def sanitized_pages(pages: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """Pages with all person arrays emptied: whether each array was empty before, the page to write
+    (null if it is blocked), and `blocked`: a phone number or e-mail address is left elsewhere."""
+    text = F.col(text_col)
+    clean = text
+    for name in PERSON_ARRAYS:
+        clean = without_array_rows(clean, name)
+    was_empty = [array_literal_is_empty(text, n).alias(f"{n.lower()}_empty") for n in PERSON_ARRAYS]
+    return (
+        pages.select(*keep, *was_empty, clean.alias("_page"))
+        .withColumn("blocked", has_personal_data(F.col("_page")))
+        .withColumn("page", F.when(~F.col("blocked"), F.col("_page")))
+        .drop("_page")
+    )

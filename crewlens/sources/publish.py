@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.quality import GateError, has_personal_data
+
+Table = tuple[DataFrame, Sequence[str]]
+
 
 def json_value(df: DataFrame, name: str) -> Column:
     """One column as JSON text; times read 'yyyy-MM-dd HH:mm:ss', decimals are plain numbers."""
@@ -26,22 +31,52 @@ def json_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.concat(F.lit("["), parts, F.lit("]")).alias("value"))
 
 
-def publish(df: DataFrame, path: str, columns: Sequence[str], as_of: datetime) -> int:
-    """Write the rows under a new snapshot folder, then point the manifest at it.
+def publish_tables(
+    tables: Mapping[str, Table], path: str, as_of: datetime, may_be_empty: Sequence[str] = ()
+) -> dict:
+    """Write every table under a new folder, check what was written, then add a manifest.
 
-    Readers follow the manifest, which is replaced last, so a failed run leaves the previous
-    snapshot in place. The rows are counted while they are written. `as_of` is UTC.
+    Each table is evaluated once: its rows, and those with a phone number or e-mail address, are
+    counted while it is written. An empty table that may not be, or personal data, raises and leaves
+    the manifests as they are. Folders and manifests are named by a run of their own and never
+    overwritten, so readers (`latest_manifest`) always find a complete snapshot. `as_of` is UTC.
     """
-    stamp = as_of.strftime("%Y-%m-%dT%H:%M:%SZ")
-    folder = f"{path}/rows/snapshot={as_of.strftime('%Y%m%dT%H%M%SZ')}"
-    seen = Observation()
-    json_rows(df, columns).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(
-        "overwrite"
-    ).text(folder)
-    count = seen.get["rows"]
-    manifest = {"snapshot_utc": stamp, "folder": folder, "columns": list(columns), "rows": count}
-    spark = df.sparkSession
-    spark.createDataFrame([(json.dumps(manifest, ensure_ascii=False),)], "value string").coalesce(
-        1
-    ).write.mode("overwrite").text(f"{path}/manifest")
-    return count
+    run = f"{as_of.strftime('%Y%m%dT%H%M%SZ')}-{uuid.uuid4().hex[:12]}"
+    manifest = {"snapshot_utc": as_of.strftime("%Y-%m-%dT%H:%M:%SZ"), "run": run, "tables": {}}
+    spark = None
+    for name, (df, columns) in tables.items():
+        spark, seen = df.sparkSession, Observation()
+        folder = f"{path}/rows/run={run}/{name}"
+        personal = has_personal_data(F.col("value"))
+        rows = json_rows(df, columns)
+        rows.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(personal).alias("personal")
+        ).write.text(folder)
+        found = seen.get
+        if not found["rows"] and name not in may_be_empty:
+            raise GateError(f"refusing to publish: {name} is empty")
+        if found["personal"]:
+            raise GateError(f"refusing to publish: personal data in {name}")
+        manifest["tables"][name] = {
+            "folder": folder, "columns": list(columns), "rows": found["rows"]
+        }
+    line = json.dumps(manifest, ensure_ascii=False)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(
+        f"{path}/manifests/{run}"
+    )
+    return manifest
+
+
+def latest_manifest(spark: SparkSession, path: str) -> dict:
+    """The newest complete manifest; of one moment, the run written last."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{path}/manifests").select(
+        "value", F.col("_metadata.file_modification_time").alias("written")
+    )
+    stamp = F.get_json_object("value", "$.snapshot_utc")
+    return json.loads(lines.agg(F.max_by("value", F.struct(stamp, "written"))).first()[0])
+
+
+def publish(df: DataFrame, path: str, columns: Sequence[str], as_of: datetime) -> int:
+    """Publish one table, which may be empty, and return its number of rows."""
+    manifest = publish_tables({"rows": (df, columns)}, path, as_of, may_be_empty=["rows"])
+    return manifest["tables"]["rows"]["rows"]

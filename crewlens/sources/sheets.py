@@ -14,10 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..operators.skew import hot_keys, spread_join
+from ..operators.quality import require_per_sheet
+from ..operators.skew import hot_from_counts, spread_join
 
-# A cell with its leading comma: quoted, or plain up to the next comma.
-CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'
+# A quoted cell with what follows its closing quote, and a plain one, in which quotes are text.
+QUOTED = r'"(?:[^"]|"")*+"[^,]*+'
+PLAIN = r'(?:[^",][^,]*+)?'
+# A line that starts outside quotes and ends outside quotes.
+CLOSED = rf"(?s)(?:{QUOTED}|{PLAIN})(?:,(?:{QUOTED}|{PLAIN}))*+"
+# A cell with its leading comma.
+CELL = rf"(?s),({QUOTED}|{PLAIN})"
+CLOSED_CELL = r'(?s)"((?:[^"]|"")*+)"(.*)'
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -30,59 +37,116 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def join_quoted_lines(lines: DataFrame) -> DataFrame:
-    """Records (sheet, row_no, value): lines inside an open quote join the line that opened it.
+def _quote_states(lines: DataFrame) -> DataFrame:
+    """Lines with whether each starts and ends inside a quoted cell.
 
-    A line starts a record when an even number of quotes precedes it in the file. Quotes are summed
-    per block first, so a window never holds more than one block's lines or one file's blocks.
+    A quote opens a cell only at the cell's start, so a line either sets the state or, seen from
+    both states, keeps or flips it. States are composed within a block and then over blocks, hence
+    a window never holds more than one block's lines or one file's blocks. A file that ends inside
+    a quoted cell fails the job.
     """
     in_block = Window.partitionBy("sheet", "block").orderBy("line")
-    counted = lines.withColumn(
-        "quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    ).withColumn("inner", F.sum("quotes").over(in_block) - F.col("quotes"))
-    even = F.col("inner") % 2 == 0
-    blocks = counted.groupBy("sheet", "block").agg(
-        F.sum("quotes").alias("block_quotes"),
-        F.max(F.when(even, F.col("line"))).alias("last_even"),
-        F.max(F.when(~even, F.col("line"))).alias("last_odd"),
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def opens(text: Column) -> Column:
+        return ~F.regexp_like(text, F.lit(rf"\A(?:{CLOSED})\z"))
+
+    # Most lines have no quote at all: they keep "outside" and stay "inside".
+    bare = ~F.contains("value", F.lit('"'))
+    marked = lines.withColumn("if_out", F.when(bare, False).otherwise(opens(F.col("value")))).withColumn(
+        "if_in", F.when(bare, True).otherwise(opens(F.concat(F.lit('"'), F.col("value"))))
     )
-    by_block = Window.partitionBy("sheet").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
+    flip = F.col("if_out") & ~F.col("if_in")
+    fixed = F.when(F.col("if_out") == F.col("if_in"), F.struct(F.col("if_out").alias("inside"), "flips"))
+    counted = (
+        marked.withColumn("flips", F.sum(flip.cast("long")).over(so_far))
+        .withColumn("set", F.last(fixed, ignorenulls=True).over(so_far))
+        .drop("if_out", "if_in")
     )
-    blocks = blocks.withColumn("before", F.coalesce(F.sum("block_quotes").over(by_block), F.lit(0)))
-    last = F.when(F.col("before") % 2 == 0, F.col("last_even")).otherwise(F.col("last_odd"))
-    blocks = blocks.withColumn(
-        "last_start", F.when(last.isNotNull(), F.struct("block", last.alias("line")))
-    ).select(
-        "sheet", "block", "before",
-        F.last("last_start", ignorenulls=True).over(by_block).alias("carried"),
+
+    def after(entering: Column, flips: Column, held: Column) -> Column:
+        odd = (flips - F.coalesce(held["flips"], F.lit(0))) % 2 == 1
+        return F.coalesce(held["inside"], entering) != odd
+
+    blocks = counted.groupBy("sheet", "block").agg(
+        F.max("flips").alias("flips"), F.max_by("set", "line").alias("set")
     )
-    starts = (F.col("before") + F.col("inner")) % 2 == 0
-    located = counted.join(blocks, ["sheet", "block"]).withColumn(
-        "row_no",
-        F.coalesce(
-            F.max(F.when(starts, F.struct("block", "line"))).over(in_block), F.col("carried")
-        ),
-    )
-    return located.groupBy("sheet", "row_no").agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("block", "line", "value"))),
-                lambda part: part["value"],
+    by_block = Window.partitionBy("sheet").orderBy("block")
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outside = F.lit(False)
+    # Blocks compose as lines do: a block either sets the state or flips it.
+    composed = blocks.withColumn(
+        "sum", F.sum(F.when(F.col("set").isNull(), F.col("flips")).otherwise(0)).over(earlier)
+    ).withColumn(
+        "block_set",
+        F.last(
+            F.when(
+                F.col("set").isNotNull(),
+                F.struct(after(outside, F.col("flips"), F.col("set")).alias("inside"), F.col("sum").alias("flips")),
             ),
-            "\n",
-        ).alias("value")
+            ignorenulls=True,
+        ).over(earlier),
+    )
+    ended = composed.withColumn("ends_inside", after(outside, F.col("sum"), F.col("block_set")))
+    unclosed = F.lead("block").over(by_block).isNull() & F.col("ends_inside")
+    message = F.concat(F.lit("a quoted cell is not closed in sheet "), F.col("sheet"))
+    entered = (
+        ended.withColumn("entering", F.coalesce(F.lag("ends_inside").over(by_block), outside))
+        .withColumn("unclosed", unclosed)
+        .filter(F.when(~F.col("unclosed"), True).otherwise(F.raise_error(message).cast("boolean")))
+        .select("sheet", "block", "entering")
+    )
+    located = counted.join(entered, ["sheet", "block"]).withColumn(
+        "ends_inside", after(F.col("entering"), F.col("flips"), F.col("set"))
+    )
+    return located.withColumn(
+        "starts_inside", F.coalesce(F.lag("ends_inside").over(in_block), F.col("entering"))
+    ).select("sheet", "block", "line", "value", "starts_inside", "ends_inside")
+
+
+def join_quoted_lines(lines: DataFrame) -> DataFrame:
+    """Records (sheet, row_no, value): lines inside a quoted cell join the line that opened it.
+
+    A record of one line passes as it is; only the others are grouped.
+    """
+    states = _quote_states(lines)
+    single = ~F.col("starts_inside") & ~F.col("ends_inside")
+    in_block = Window.partitionBy("sheet", "block").orderBy("line")
+    by_block = Window.partitionBy("sheet").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    many = states.filter(~single)
+    opening = F.when(~F.col("starts_inside"), F.struct("block", "line"))
+    carried = many.groupBy("sheet", "block").agg(F.max(opening).alias("last")).select(
+        "sheet", "block", F.last("last", ignorenulls=True).over(by_block).alias("carried")
     )
+    parts = many.withColumn("own", F.max(opening).over(in_block)).join(carried, ["sheet", "block"])
+    joined = (
+        parts.withColumn("row_no", F.coalesce("own", "carried"))
+        .groupBy("sheet", "row_no")
+        .agg(
+            F.array_join(
+                F.transform(
+                    F.array_sort(F.collect_list(F.struct("block", "line", "value"))),
+                    lambda part: part["value"],
+                ),
+                "\n",
+            ).alias("value")
+        )
+    )
+    lone = states.filter(single).select("sheet", F.struct("block", "line").alias("row_no"), "value")
+    return lone.unionByName(joined)
 
 
 def split_cells(record: Column) -> Column:
-    """The cells of one CSV record, quotes removed."""
+    """The cells of one CSV record, quotes removed; text after a closing quote belongs to the cell."""
     raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(CELL), F.lit(1))
     return F.transform(
         raw,
         lambda c: F.when(
-            c.startswith('"') & c.endswith('"') & (F.length(c) > 1),
-            F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"')),
+            c.startswith('"'),
+            F.concat(
+                F.replace(F.regexp_extract(c, CLOSED_CELL, 1), F.lit('""'), F.lit('"')),
+                F.regexp_extract(c, CLOSED_CELL, 2),
+            ),
         ).otherwise(c),
     )
 
@@ -114,29 +178,36 @@ def _below_header(
     header_key: str | None,
     form: Callable[[Column], Column],
     describe: Callable[[DataFrame], DataFrame] = lambda headers: headers.drop("header"),
+    skip_headerless: bool = False,
 ) -> DataFrame:
     """Rows under each sheet's header whose first cell is not blank.
 
     `describe` turns the table of headers, one row per sheet, into what each row should carry.
 
-    A sheet's header is the first row whose first cell is the key; sheets without one have no rows.
-    Without a key the header is the sheet's first row and all rows but empty lines are kept.
+    A sheet's header is the first row whose first cell is the key. A sheet without one fails the
+    job, unless `skip_headerless` says that such files are no sheets. Without a key the header is
+    the sheet's first row and all rows but empty lines are kept.
     """
     first = form(F.get("cells", F.lit(0)))
     if header_key is None:
         rows = rows.filter((F.size("cells") > 1) | (first != ""))
-        titles, kept = rows, rows
+        is_title, kept = F.lit(True), rows
     else:
-        titles, kept = rows.filter(first == header_key), rows.filter(first != "")
-    headers = (
-        titles
-        .groupBy("sheet")
-        .agg(F.min("row_no").alias("header_no"), F.min_by("cells", "row_no").alias("header"))
-        .withColumn("header", F.transform("header", form))
+        is_title, kept = first == header_key, rows.filter(first != "")
+    title_no = F.when(is_title, F.col("row_no"))
+    sheets = rows.groupBy("sheet").agg(
+        F.min(title_no).alias("header_no"),
+        F.min_by("cells", title_no).alias("header"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    below = spread_join(
-        kept, describe(headers), ["sheet"], hot_keys(rows, "sheet"), "sheet", ["row_no"]
+    hot = hot_from_counts(sheets, "sheet", "_rows")
+    headers = (
+        sheets.filter(F.col("header_no").isNotNull())
+        if skip_headerless
+        else require_per_sheet(sheets, "header_no", f"the header row '{header_key}'")
     )
+    headers = headers.drop("_rows").withColumn("header", F.transform("header", form))
+    below = spread_join(kept, describe(headers), ["sheet"], hot, "sheet", ["row_no"])
     return below.filter(F.col("row_no") > F.col("header_no"))
 
 
@@ -146,10 +217,12 @@ def sheet_columns(
     columns: Sequence[str],
     required: Sequence[str] = (),
     form: Callable[[Column], Column] = _as_is,
+    skip_headerless: bool = False,
 ) -> DataFrame:
     """Columns picked by header name: (sheet, row_no, *columns).
 
-    Short rows and absent columns give NULL; a sheet that lacks a required column fails the job.
+    Short rows and absent columns give NULL; a sheet that lacks its header row or a required column
+    fails the job.
     `form` is applied to header cells and to first cells before they are compared. Of two columns
     with one name the later counts.
     """
@@ -165,14 +238,16 @@ def sheet_columns(
         places = [F.when(n > 0, F.size("header") - n).cast("int") for n in from_end]
         return headers.select("sheet", "header_no", F.array(*places).alias("places"))
 
-    found = _below_header(rows, header_key, form, locate)
+    found = _below_header(rows, header_key, form, locate, skip_headerless)
     picked = [F.get("cells", F.get("places", F.lit(i))) for i in range(len(columns))]
     return found.select("sheet", "row_no", *[p.alias(c) for p, c in zip(picked, columns)])
 
 
-def positional_columns(rows: DataFrame, header_key: str, columns: Sequence[str]) -> DataFrame:
+def positional_columns(
+    rows: DataFrame, header_key: str, columns: Sequence[str], skip_headerless: bool = False
+) -> DataFrame:
     """Columns picked by position below the header row; short rows are padded with NULL."""
-    found = _below_header(rows, header_key, strip)
+    found = _below_header(rows, header_key, strip, skip_headerless=skip_headerless)
     return found.select(
         "sheet",
         "row_no",

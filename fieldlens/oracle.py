@@ -797,12 +797,16 @@ STATEMENTS = {
         c_custkey % 11 <> 0 AND c_custkey % 3 = CASE WHEN c_custkey % 17 = 0 THEN 0
           ELSE c_custkey % 4 END + CASE WHEN c_custkey % 4 = 1 THEN 2 ELSE 0 END AS counts_agree,
         c_custkey % 6 <> 0 AND c_custkey % 9 <> 0 AND c_custkey % 10 <> 0 AS registry_valid,
-        c_custkey % 13 NOT IN (0, 1) AS no_personal_data,
+        c_custkey % 13 NOT IN (0, 1) AND c_custkey % 12 <> 6 AS no_personal_data,
         c_custkey % 13 NOT IN (2, 3) AS nothing_forbidden
       FROM customer)""",
     "emptied_pages": """
-      SELECT page_id, md5(replace(html, '[[' || CAST(page_id AS STRING) || '],[0]];', '[];'))
-        AS html_md5, true AS is_empty FROM markup""",
+      SELECT page_id, page_id % 8 = 0 AS review_rows_empty, page_id % 12 = 5 AS outreach_rows_empty,
+        page_id % 13 IN (0, 1) AS blocked,
+        CASE WHEN page_id % 13 NOT IN (0, 1) THEN md5(regexp_replace(
+          replace(html, '[[' || CAST(page_id AS STRING) || '],[0]];', '[];'),
+          'OUTREACH_ROWS = .*;', 'OUTREACH_ROWS = [];')) END AS page_md5
+      FROM markup""",
     "forbidden_phrases": "SELECT doc_id, array_to_string(found, '|') AS found FROM (SELECT doc_id,"
     " [p FOR p IN ["
     + ", ".join(

@@ -44,8 +44,8 @@ from crewlens.plans import sheets
 from crewlens.plans.agents import agents_online
 from crewlens.plans.billing import PAYMENT_COLUMNS, billing_report
 from crewlens.plans.outreach import attach_notes, elevated_signals, outreach_queue, vip_outreach
-from crewlens.plans.page_checks import array_literal_is_empty, without_array_rows
 from crewlens.plans.page_checks import page_checks as check_pages
+from crewlens.plans.page_checks import sanitized_pages
 from crewlens.plans.qualification import (
     PUBLISHED_NAMES,
     SHIFT_LINK_COLUMNS,
@@ -110,7 +110,9 @@ def agents_on_shift(spark, d):
     t = lens(spark, d)
     # The daily roster sheets of a year are one roster, in which a name's latest row counts.
     one_roster = t["roster"].withColumn("sheet", F.substring("sheet", 1, 4))
-    return agents_online(one_roster, t["clockins"], t["aliases"], SHEET_ZONE)
+    return agents_online(
+        one_roster, t["clockins"], t["aliases"], SHEET_ZONE, skip_headerless=True
+    )
 
 
 # Sources and sinks
@@ -573,12 +575,12 @@ def locations_needing_billing(spark, d):
 
 @query
 def roster_days(spark, d):
-    return roster.roster_long(lens(spark, d)["roster"])
+    return roster.roster_long(lens(spark, d)["roster"], skip_headerless=True)
 
 
 @query
 def roster_hours(spark, d):
-    return roster.with_shift_hours(roster.roster_long(lens(spark, d)["roster"]))
+    return roster.with_shift_hours(roster.roster_long(lens(spark, d)["roster"], skip_headerless=True))
 
 
 @query
@@ -632,7 +634,7 @@ def late_clockins(spark, d):
 
 @query
 def open_clockins(spark, d):
-    return roster.open_sessions(lens(spark, d)["clockins"]).drop("sheet")
+    return roster.open_sessions(lens(spark, d)["clockins"], skip_headerless=True).drop("sheet")
 
 
 @query
@@ -771,16 +773,8 @@ def page_checks(spark, d):
 
 @query
 def emptied_pages(spark, d):
-    emptied = without_array_rows(F.col("html"), "REVIEW_ROWS")
-    return (
-        lens(spark, d)["markup"]
-        .select("page_id", emptied.alias("html"))
-        .select(
-            "page_id",
-            F.md5("html").alias("html_md5"),
-            array_literal_is_empty(F.col("html"), "REVIEW_ROWS").alias("is_empty"),
-        )
-    )
+    pages = sanitized_pages(lens(spark, d)["markup"], "html", "page_id")
+    return pages.withColumn("page_md5", F.md5("page")).drop("page")
 
 
 EXACT_PHRASES = ["localhost:3000", "/api/removals", "License"]

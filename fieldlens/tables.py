@@ -252,7 +252,11 @@ def _markup(d) -> list[str]:
            THEN 'mb-1' ELSE {other} END || {quote} || ']);' END""",
         """CASE c_custkey % 13 WHEN 0 THEN 'call +15551234567' WHEN 1 THEN 'me@example.org'
            WHEN 2 THEN 'Catch-Up mode' WHEN 3 THEN 'http://localhost:3000' ELSE '' END""",
-        "'const REVIEW_ROWS = [[' || CAST(c_custkey AS STRING) || '],[0]];'",
+        "CASE WHEN c_custkey % 8 = 0 THEN 'const REVIEW_ROWS = [];'"
+        " ELSE 'const REVIEW_ROWS = [[' || CAST(c_custkey AS STRING) || '],[0]];' END",
+        "CASE WHEN c_custkey % 12 = 5 THEN 'const OUTREACH_ROWS = [];'"
+        " WHEN c_custkey % 12 = 6 THEN 'const OUTREACH_ROWS = [[\"+15557654321\"]];'"
+        " ELSE 'const OUTREACH_ROWS = [[7]];' END",
     ]
     return ["c_custkey AS page_id", f"{' || '.join(parts)} AS html"]
 

@@ -140,7 +140,8 @@ def test_week_label_and_tab(spark):
         spark.createDataFrame([("08/16 - 08/22", 9)], "title string, tab_no int")
     )
     assert [r["title"] for r in roster.week_tab(exact, MONDAY).collect()] == ["08/16 - 08/22"]
-    assert roster.week_tab(tabs, date(2026, 12, 24)).isEmpty()
+    with pytest.raises(Exception, match="no week tab for 2026-12-24"):
+        roster.week_tab(tabs, date(2026, 12, 24)).collect()
 
 
 def sheet(spark, rows, name="s"):

@@ -53,6 +53,43 @@ def test_rows_match_csv_reader(spark, tmp_path, block_bytes):
         assert got[name] == expected
 
 
+# Quotes inside plain cells are text, and so is what follows a closing quote.
+LOOSE = [
+    '1,5" pipe,x', "2,y,z", '3,"q,1",w', "4,c,d", 'a""b,"c""d"e",f', '"two', 'lines"tail"x,g', '"",""",""', '5"', 'x"y,"z', '",q"r"',
+]
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2, 3])
+@pytest.mark.parametrize("block_bytes", ["134217728", "64"])
+def test_loose_quotes_match_csv_reader(spark, tmp_path, block_bytes, seed):
+    rng = random.Random(seed)
+    lines = LOOSE if seed is None else rng.choices([*LOOSE, "plain,line", '"', '"",'], k=150)
+    text = "\n".join(lines) + "\n"
+    while len(_open_end(text)):
+        text += '"\n'
+    (tmp_path / "f.csv").write_text(text, encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block_bytes)
+        got = by_file(read_rows(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got["f.csv"] == [row or [""] for row in csv.reader(io.StringIO(text))]
+
+
+def _open_end(text):
+    """What a closing quote at the end of the text would close; empty if nothing is open."""
+    with_mark = list(csv.reader(io.StringIO(text + "\x01")))
+    return with_mark[-1][-1][:-1] if with_mark[-1] != ["\x01"] else ""
+
+
+def test_unclosed_quote_fails(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("a,b\n")
+    (tmp_path / "open.csv").write_text('a,"b\n' + "c,d\n" * 50)
+    with pytest.raises(Exception, match="not closed in sheet .*open.csv"):
+        read_rows(spark, str(tmp_path)).collect()
+
+
 def test_single_lines(spark, tmp_path):
     write(tmp_path, "a.csv", [["x", "y,z"], ["", "2"]])
     assert by_file(read_rows(spark, str(tmp_path), multiline=False)) == {
@@ -65,8 +102,11 @@ def test_header_by_name(spark, tmp_path):
                                 ["2"]])
     write(tmp_path, "two.csv", [["key", "a"], ["3", "q"]])
     write(tmp_path, "none.csv", [["nothing", "here"]])
-    rows = read_rows(spark, str(tmp_path))
-    got = sheet_columns(rows, "key", ["key", "a", "b", "c"]).drop("sheet", "row_no").collect()
+    rows, columns = read_rows(spark, str(tmp_path)), ["key", "a", "b", "c"]
+    with pytest.raises(Exception, match="header row 'key' is missing in sheet .*none.csv"):
+        sheet_columns(rows, "key", columns).collect()
+    picked = sheet_columns(rows, "key", columns, skip_headerless=True)
+    got = picked.drop("sheet", "row_no").collect()
     assert sorted(map(tuple, got), key=str) == [
         ("1", "y", "z", None), ("2", None, None, None), ("3", "q", None, None)
     ]

@@ -20,7 +20,8 @@ from crewlens.operators.profiles import latest_profiles, pro_profiles, profiles_
 from crewlens.operators.ranking import first_shifts, shift_level, with_group_count
 from crewlens.plans.outreach import attach_notes, outreach_queue
 from crewlens.plans.summary import snapshot_counts
-from crewlens.sources.publish import json_rows, publish
+from crewlens.operators.quality import GateError
+from crewlens.sources.publish import json_rows, latest_manifest, publish, publish_tables
 
 AT = datetime(2026, 1, 1)
 
@@ -205,9 +206,20 @@ def test_publish(spark, tmp_path):
     target = str(tmp_path / "out")
     assert publish(df, target, columns, datetime(2026, 1, 1, 2, 3, 4)) == 1
     assert publish(df.limit(0), target, columns, datetime(2026, 1, 1, 5, 0, 0)) == 0
-    manifest = json.loads(spark.read.text(f"{target}/manifest").first()[0])
-    assert (manifest["snapshot_utc"], manifest["rows"]) == ("2026-01-01T05:00:00Z", 0)
-    assert spark.read.text(f"{target}/rows").count() == 1
+    manifest = latest_manifest(spark, target)
+    assert manifest["snapshot_utc"] == "2026-01-01T05:00:00Z"
+    assert manifest["tables"]["rows"]["rows"] == 0
+    # A failing gate leaves the newest manifest as it is.
+    late = datetime(2026, 1, 1, 6, 0, 0)
+    with pytest.raises(GateError, match="rows is empty"):
+        publish_tables({"rows": (df.limit(0), columns)}, target, late)
+    with pytest.raises(GateError, match="personal data in rows"):
+        publish_tables({"rows": (df.withColumn("b", F.lit("a@b.org")), columns)}, target, late)
+    assert latest_manifest(spark, target) == manifest
+    # The same moment again: a new folder, and the later run counts.
+    again = publish_tables({"rows": (df, columns)}, target, datetime(2026, 1, 1, 5, 0, 0))
+    assert latest_manifest(spark, target) == again
+    assert spark.read.text(again["tables"]["rows"]["folder"]).count() == 1
 
 
 def good_page():
