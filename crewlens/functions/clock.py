@@ -215,10 +215,6 @@ def is_late(clock_in: Column, start: Column) -> Column:
     return F.coalesce((gap > 0) & (gap < DAY_MICROS // 2), F.lit(False))
 
 
-def weekday_index(day: Column) -> Column:
-    return F.weekday(day)
-
-
 def week_start(day: Column) -> Column:
     """The Sunday on or before the day."""
     return F.date_sub(day, F.pmod(F.weekday(day) + 1, F.lit(7)))

@@ -154,10 +154,10 @@ def has_date_column(rows: DataFrame, day: date) -> Column:
     return F.exists("cells", lambda c: strip(c) == title)
 
 
-def open_clockins(rows: DataFrame, day: date) -> DataFrame:
+def open_clockins(rows: DataFrame, day: date, skip_headerless: bool = False) -> DataFrame:
     """Open sessions of one day; fails when no sheet has a column for the day."""
     require_rows(rows.filter(has_date_column(rows, day)), f"date column {day.isoformat()}")
-    return open_sessions(rows).filter(F.col("work_date") == F.lit(day))
+    return open_sessions(rows, skip_headerless).filter(F.col("work_date") == F.lit(day))
 
 
 def week_tab(tabs: DataFrame, day: date) -> DataFrame:

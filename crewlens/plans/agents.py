@@ -29,6 +29,6 @@ def agents_online(
         sessions = open_sessions(clockin_rows, skip_headerless)
     else:
         require_rows(roster, "roster")
-        sessions = open_clockins(clockin_rows, day)
+        sessions = open_clockins(clockin_rows, day, skip_headerless)
     found = online(roster, aliases, sessions, sheet_zone)
     return ordered(found, [F.col("work_date"), F.col("name")])

@@ -89,8 +89,10 @@ def shift_link_sheet(rows: DataFrame) -> DataFrame:
     ).drop("sheet", "row_no")
 
 
-def payment_sheet(rows: DataFrame) -> DataFrame:
-    picked = sheet_columns(rows, "location_id", PAYMENT_COLUMNS, required=PAYMENT_COLUMNS)
+def payment_sheet(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
+    picked = sheet_columns(
+        rows, "location_id", PAYMENT_COLUMNS, PAYMENT_COLUMNS, skip_headerless=skip_headerless
+    )
     return coerce_columns(picked, ["location_id"], texts=PAYMENT_COLUMNS[1:]).drop(
         "sheet", "row_no"
     )
@@ -110,8 +112,8 @@ def housekeeping_sheet(rows: DataFrame) -> DataFrame:
     ).drop("sheet", "row_no")
 
 
-def vip_shift_sheet(rows: DataFrame) -> DataFrame:
-    picked = positional_columns(rows, "id", VIP_SHIFT_COLUMNS)
+def vip_shift_sheet(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
+    picked = positional_columns(rows, "id", VIP_SHIFT_COLUMNS, skip_headerless=skip_headerless)
     typed = coerce_columns(
         picked,
         ints=[
@@ -127,7 +129,7 @@ def vip_shift_sheet(rows: DataFrame) -> DataFrame:
     ).drop("sheet", "row_no")
 
 
-def outreach_sheet(rows: DataFrame) -> DataFrame:
+def outreach_sheet(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
     """The outreach export, without the two note columns that are joined later."""
     names = OUTREACH_COLUMNS[:-2]
     ints = [
@@ -135,7 +137,9 @@ def outreach_sheet(rows: DataFrame) -> DataFrame:
         "overall_ratings_count",
     ]
     floats = ["hours_to_start", "position_avg_rating", "overall_avg_rating"]
-    picked = sheet_columns(rows, "row_key", names, form=text.strip)
+    picked = sheet_columns(
+        rows, "row_key", names, form=text.strip, skip_headerless=skip_headerless
+    )
     return coerce_columns(
         picked, ints, floats, dates=["start_time"],
         texts=[c for c in names if c not in ints + floats + ["start_time"]],

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "applications", "gigs", "profiles", "pro_snapshot", "locations", "location_billing",
@@ -13,7 +14,15 @@ TABLES = (
 
 
 def load(
-    spark: SparkSession, location: str, names: Iterable[str] = TABLES
+    spark: SparkSession,
+    location: str,
+    names: Iterable[str] = TABLES,
+    schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """The named tables stored as parquet under one location."""
-    return {name: spark.read.parquet(f"{location}/{name}.parquet") for name in names}
+    """The named tables stored as parquet under one location; a known schema is not read again."""
+    found = {}
+    for name in names:
+        known = (schemas or {}).get(name)
+        reader = spark.read if known is None else spark.read.schema(known)
+        found[name] = reader.parquet(f"{location}/{name}.parquet")
+    return found

@@ -541,6 +541,8 @@ def _sheet_rows() -> str:
     SELECT c_custkey AS location_id,
       CASE WHEN c_custkey % 13 = 1 THEN CASE WHEN c_nationkey % 2 = 0 THEN 'q' END
         WHEN c_custkey % 10 = 3 THEN c_name || ', the "old"' || chr(10) || 'one'
+        WHEN c_custkey % 10 = 6 THEN c_name || ' 6" pipe'
+        WHEN c_custkey % 10 = 8 THEN c_name || ' tail'
         ELSE c_name END AS location_name,
       CASE WHEN c_custkey % 13 <> 1 AND c_custkey % 4 <> 0 THEN lower(c_mktsegment) END
         AS approval_status,
@@ -820,4 +822,8 @@ STATEMENTS = {
       FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS hits FROM pages)""",
 }
 
+STATEMENTS["agents_one_day"] = (
+    f"SELECT * FROM ({STATEMENTS['agents_on_shift']}) WHERE work_date = DATE '2024-01-22'"
+)
+
 ORACLE = {name: with_views(body) for name, body in STATEMENTS.items()}

@@ -65,6 +65,7 @@ from .tables import base, lens
 AS_OF = datetime(1997, 1, 1, 12, 0, 0)
 TODAY = date(1997, 1, 1)
 AHEAD_DAYS = 90
+ONE_DAY = date(2024, 1, 22)
 BASE_URL = "https://staffing.example.com"
 SHEET_ZONE = "Asia/Manila"
 
@@ -105,16 +106,25 @@ def billing_status(spark, d):
     return billing_report(lens(spark, d), TODAY)
 
 
-@query
-def agents_on_shift(spark, d):
+def _agents(spark, d, day=None):
     t = lens(spark, d)
     # The daily roster sheets of a year are one roster, in which a name's latest row counts.
     one_roster = t["roster"].withColumn("sheet", F.substring("sheet", 1, 4))
     return agents_online(
-        one_roster, t["clockins"], t["aliases"], SHEET_ZONE, skip_headerless=True
+        one_roster, t["clockins"], t["aliases"], SHEET_ZONE, day, skip_headerless=True
     )
 
 
+@query
+def agents_on_shift(spark, d):
+    return _agents(spark, d)
+
+
+@query
+def agents_one_day(spark, d):
+    return _agents(spark, d, ONE_DAY)
+
+
 # Sources and sinks
 
 
@@ -138,6 +148,10 @@ def payment_lines(spark, d):
     name = F.when(
         F.col("c_custkey") % 10 == 3,
         F.concat(F.lit('"'), "c_name", F.lit(', the ""old""\none"')),
+    ).when(  # a quote inside a plain cell, and text after a closing quote
+        F.col("c_custkey") % 10 == 6, F.concat("c_name", F.lit(' 6" pipe'))
+    ).when(
+        F.col("c_custkey") % 10 == 8, F.concat(F.lit('"'), "c_name", F.lit('" tail'))
     ).otherwise(F.col("c_name"))
     status = F.when(F.col("c_custkey") % 4 == 0, " ").otherwise(F.lower("c_mktsegment"))
     even = F.concat_ws(",", key, name, status, F.lit("Yes"), F.lit("a scope"))
@@ -162,7 +176,7 @@ def payment_lines(spark, d):
 
 @query
 def sheet_rows(spark, d):
-    return sheets.payment_sheet(rows_of(payment_lines(spark, d)))
+    return sheets.payment_sheet(rows_of(payment_lines(spark, d)), skip_headerless=True)
 
 
 def vip_shift_rows(spark, d):
@@ -187,7 +201,7 @@ def vip_shift_rows(spark, d):
 
 @query
 def positional_rows(spark, d):
-    return sheets.vip_shift_sheet(vip_shift_rows(spark, d))
+    return sheets.vip_shift_sheet(vip_shift_rows(spark, d), skip_headerless=True)
 
 
 def section_rows(spark, d):
@@ -686,7 +700,7 @@ def outreach_export(spark, d):
 @query
 def outreach_sheet_rows(spark, d):
     """Typed outreach export with the latest notes."""
-    typed = sheets.outreach_sheet(outreach_export(spark, d))
+    typed = sheets.outreach_sheet(outreach_export(spark, d), skip_headerless=True)
     return attach_notes(typed, notes_by_key(lens(spark, d)["notes"])).select(
         "row_key", "pro_name", "hours_to_start", "start_time", "pro_id", "gig_id", "market",
         "profile_match_source", "notes", "agent_name",

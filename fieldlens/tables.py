@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from crewlens.functions.vocabulary import BADGES, SKILL_ALIASES, SKILL_PHRASES
+from crewlens.sources.tables import load
 
 from .dialect import Duck, Spark
 
@@ -309,15 +310,15 @@ BASE_TABLES = (
 )
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[str, dict[str, StructType]] = {}
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; its schema is read from the file once, as the tables never change."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    known = _SCHEMAS.setdefault(sf_dir, {})
+    if name not in known:
+        known[name] = load(spark, sf_dir, [name])[name].schema
+    return load(spark, sf_dir, [name], known)[name]
 
 
 class Lens(Mapping):
