@@ -9,8 +9,8 @@ words, and answers for them alone. No model is broadcast or collected; it grows
 A shard's trie has two levels. The first holds its words; the second, for each word, the words that
 stood before it, as ranks among the shard's contexts. Pointers and context ranks are monotone
 Elias-Fano sequences (ranks made monotone by adding the word's number times the number of contexts);
-smoothed probabilities are quantised to 16 bits. A level is one run of bytes that is mapped into
-memory. A query finds the word's range by pointer, then searches the successor of the context within
+smoothed probabilities are quantised to 16 bits. The levels lie side by side in one memory map. A
+query finds the word's range by pointer, then searches the successor of the context within
 that range.
 
 Tokens travel packed: a row holds what one batch of documents has for one shard. A word with more
@@ -25,7 +25,6 @@ training rows scores with all counts zero; other columns are ignored.
 from __future__ import annotations
 
 import mmap
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -148,16 +147,11 @@ class Search:
 
 
 def _mapped(arrays: list[np.ndarray]) -> list[np.ndarray]:
-    """The arrays as views of one memory-mapped file, which has no name and ends with its views."""
-    with tempfile.TemporaryFile() as file:
-        ends = [0]
-        for a in arrays:
-            file.write(a.tobytes())
-            file.write(b"\0" * (-file.tell() % 8))
-            ends.append(file.tell())
-        file.write(b"\0" * 8)
-        file.flush()
-        memory = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+    """The arrays as views of one memory map, which has no file and ends with its views."""
+    ends = np.cumsum([0, *(-(-a.nbytes // 8) * 8 for a in arrays)]).tolist()
+    memory = mmap.mmap(-1, ends[-1] + 8)
+    for a, at in zip(arrays, ends):
+        memory[at : at + a.nbytes] = a.tobytes()
     return [np.frombuffer(memory, a.dtype, len(a), at) for a, at in zip(arrays, ends)]
 
 
@@ -222,11 +216,11 @@ def _tokens(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[ends - sizes + 1] = BEGIN
-    return tokens, before, np.repeat(np.arange(block.n), sizes) + block.first
+    return tokens, before, np.repeat(np.arange(block.first, block.first + block.n, dtype=np.int32), sizes)
 
 
 def _shard_of(words: np.ndarray, shards: int) -> np.ndarray:
-    return ((words >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+    return ((words >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -317,15 +311,17 @@ def _packed_tokens(rows: DataFrame, shards: int, corpus: Corpus) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-            parts = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+            parts = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32))]
             parts += [_tokens(block) for block in blocks(batch)]
             tokens, before, doc = (np.concatenate(x) for x in zip(*parts))
+            del parts
             shard = _shard_of(tokens, shards)
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
                 fanned = np.flatnonzero(hot[at] == tokens)
                 shift = (mix(before[fanned]) >> np.uint64(20)) % fans[at[fanned]]
-                shard[fanned] = (shard[fanned] + shift.astype(np.int64)) % shards
+                shard[fanned] = (shard[fanned] + shift.astype(np.int32)) % shards
+                del at, fanned, shift
             order, numbers, starts = _runs(shard)
             name = batch.column("row")[0].as_py() if len(batch) else 0
             payload = []
