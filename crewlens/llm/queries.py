@@ -67,7 +67,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(documents(spark, sf_dir))
+    return quality_rules.judge(documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
 QUERIES = {
@@ -86,7 +86,111 @@ QUERIES = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TRIM = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_WORD = r"[^\x20\x09-\x0D]"
+_LISTS = " ".join(
+    f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in quality_rules.COMMON_WORDS.items()
+)
+
+
+def _sum_of(item: str, n: int) -> str:
+    return f"list_sum([{item} FOR i IN range(1, {n + 1})])"
+
+
+def _distance(p: str, q: str, n: int) -> str:
+    """Jensen-Shannon distance of two share lists of n items."""
+    def part(a: str, b: str) -> str:
+        return f"(CASE WHEN {a}[i] > 0 THEN {a}[i] * log2(2 * {a}[i] / ({a}[i] + {b}[i])) ELSE 0.0 END)"
+
+    return f"sqrt(greatest({_sum_of(f'{part(p, q)} + {part(q, p)}', n)} / 2, 0.0))"
+
+
+def _means(shares: str, n: int) -> str:
+    return "[" + ", ".join(f"avg({shares}[{i}])" for i in range(1, n + 1)) + "]"
+
+
+_N_CLASSES, _N_WORDS = len(quality_rules.CLASSES), quality_rules.N_COMMON + 1
+_QUALITY = f"""
+    WITH split AS (
+        SELECT doc_id, lang, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS words,
+               [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '{_WORD}')] AS lines
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i : i + 7], ' ') AS w
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM split)
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place
+              FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS times FROM windows) WHERE times > 1)
+        GROUP BY doc_id
+    ), counted AS (
+        SELECT doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words, length(text) AS chars,
+               length(regexp_replace(text, '[^0-9]', '', 'g')) AS digit,
+               length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_,
+               length(regexp_replace(text, '[^!-/:-@\\[-`{{-~]', '', 'g')) AS marks,
+               strlen(text) - length(text) AS beyond,
+               CASE lang {_LISTS} END AS listed, [lower(x) FOR x IN words] AS low
+        FROM split LEFT JOIN repeated USING (doc_id)
+    ), listed AS (
+        SELECT *, [greatest(word_chars - upper_ - digit - marks - beyond, 0), upper_, digit,
+                   chars - word_chars, n_symbols, marks - n_symbols, beyond] AS classes,
+               CASE WHEN listed IS NOT NULL THEN
+                   [len(list_filter(low, lambda x: x = listed[i])) FOR i IN range(1, {_N_WORDS})] END AS common
+        FROM counted
+    ), shares AS (
+        SELECT *, [CASE WHEN list_sum(classes) > 0 THEN x / list_sum(classes) ELSE 0.0 END FOR x IN classes] AS c,
+               CASE WHEN common IS NOT NULL THEN [CASE WHEN n_words > 0 THEN x / n_words ELSE 0.0 END
+                   FOR x IN list_append(common, n_words - list_sum(common))] END AS w
+        FROM listed
+    ), known AS (
+        SELECT lang, {_means('c', _N_CLASSES)} AS cr, {_means('w', _N_WORDS)} AS wr
+        FROM shares WHERE n_words >= {quality_rules.GUARD_WORDS} GROUP BY lang
+    ), judged AS (
+        SELECT s.*, n_words < {quality_rules.MIN_WORDS}
+                   OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+               CASE WHEN cr IS NOT NULL THEN {_distance('c', 'cr', _N_CLASSES)} END AS far_c,
+               CASE WHEN w IS NOT NULL AND cr IS NOT NULL THEN {_distance('w', 'wr', _N_WORDS)} END AS far_w
+        FROM shares s LEFT JOIN known k ON s.lang IS NOT DISTINCT FROM k.lang
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND NOT (n_words >= {quality_rules.GUARD_WORDS} AND (
+               coalesce(far_c, 0) > {quality_rules.MAX_CLASS_DISTANCE}
+               OR coalesce(far_w, 0) > {quality_rules.MAX_WORD_DISTANCE})) AS kept
+    FROM judged
+"""
+
+_JACCARD = f"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+        FROM documents
+    ), grams AS (
+        SELECT DISTINCT doc_id, array_to_string(words[i : i + {ngram_join.N - 1}], ' ') AS gram
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {ngram_join.N - 2}, 2))) AS i
+              FROM split WHERE len(words) > 0)
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+    ), pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE c / (x.n + y.n - c) >= {ngram_join.THRESHOLD}
+    ), reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+    )
+    SELECT doc_id, min(other) AS class_id, coalesce(any_value(n_links), 0) AS n_links
+    FROM reached LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) ON a = doc_id
+    GROUP BY doc_id
+"""
+
 ORACLE = {
+    "op1_ngram_join": _JACCARD,
     "op5_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -113,4 +217,5 @@ ORACLE = {
                doc_id = max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)
     """,
+    "op10_quality_rules": _QUALITY,
 }

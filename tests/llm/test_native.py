@@ -116,7 +116,7 @@ def test_empty_tables(spark):
     assert quality_rules.judge(none).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op5_line_dedup", "op9_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_ngram_join", "op5_line_dedup", "op9_exact_dedup", "op10_quality_rules"])
 def test_query_matches_sql(spark, duck, sf_dir, name):
     from crewlens.llm.queries import ORACLE, QUERIES
 
