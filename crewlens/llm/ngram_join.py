@@ -38,7 +38,9 @@ THRESHOLD = 0.8
 RECALL = 0.998
 ROWS = 7
 BUCKET_ROWS = 1024  # a bucket with more is dealt to parts, and each pair of parts is compared
-BLOCK_GRAMS = 500_000  # a cluster with more n-grams is dealt to blocks
+# A cluster with more n-grams or documents is dealt to blocks.
+BLOCK_GRAMS = 250_000
+BLOCK_DOCS = 1024
 COLUMNS = 4096  # of the matrix product at a time
 
 
@@ -299,7 +301,8 @@ def verify_group(
 
 def verified(docs: DataFrame, clusters: DataFrame, n: int, threshold: float) -> DataFrame:
     """rep, links (documents), class_id of the representatives in `clusters` (rep, root, copies, n_grams)."""
-    totals = clusters.groupBy("root").agg(F.ceil(F.sum("n_grams") / BLOCK_GRAMS).alias("blocks"))
+    blocks = F.greatest(F.ceil(F.sum("n_grams") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_DOCS))
+    totals = clusters.groupBy("root").agg(blocks.alias("blocks"))
     sized = stored(clusters.join(totals, "root"), "clusters")
     texts = only_possible(
         docs.select(F.col("doc_id").alias("rep"), whole(F.col("text")).alias("text")),
