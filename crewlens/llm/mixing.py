@@ -181,7 +181,8 @@ def mixture_spans(rows: DataFrame, plan: DataFrame) -> DataFrame:
     from_word = F.greatest(F.col("block") * BLOCK_WORDS - F.col("start"), F.lit(0))
     to_word = F.least((F.col("block") + 1) * BLOCK_WORDS - F.col("start"), F.col("size"))
     pieces = pieces.withColumn("first_word", from_word).withColumn("n_words", to_word - F.col("first_word"))
-    return pieces.drop("start", "size").join(draw_slots(plan), ["source_no", "block"])
+    # The planner takes the slots for as few as the plan's rows and would broadcast them.
+    return pieces.drop("start", "size").join(draw_slots(plan).hint("merge"), ["source_no", "block"])
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
