@@ -9,7 +9,8 @@ Special strings inside a text count as the special token, as the tokenizers libr
 
 Defined cases: null and empty texts have no tokens; repeated rows each get the count; an empty
 table gives an empty result and an empty cache; other columns are ignored. A digest that two runs
-append at once is read as one.
+append at once is read as one. A text that the merge engine cannot split (about a million white-space
+characters on end exhaust its backtracking) is counted by the tokenizers library.
 """
 
 from __future__ import annotations
@@ -71,19 +72,18 @@ def _ranked_encoder(path: str) -> Callable[[list[str]], list[int]] | None:
     encoding = tiktoken.Encoding(
         os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
-    return lambda texts: [len(encoding.encode(t, allowed_special="all")) for t in texts]
 
+    def count(text: str) -> int:
+        try:
+            return len(encoding.encode(text, allowed_special="all"))
+        except ValueError:  # the pattern's backtracking ran out of stack
+            return _library_counter(path)([text])[0]
 
-@lru_cache(maxsize=4)
-def counter(path: str) -> Callable[[list[str]], list[int]]:
-    """Counts the tokens of texts with the tokenizer in `path` (.json or .model)."""
-    if path.endswith(".model"):
-        import sentencepiece
+    return lambda texts: [count(t) for t in texts]
 
-        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(ids) for ids in pieces.encode(texts, num_threads=1)]
-    if ranked := _ranked_encoder(path):
-        return ranked
+
+@lru_cache(maxsize=4)
+def _library_counter(path: str) -> Callable[[list[str]], list[int]]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -93,6 +93,17 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@lru_cache(maxsize=4)
+def counter(path: str) -> Callable[[list[str]], list[int]]:
+    """Counts the tokens of texts with the tokenizer in `path` (.json or .model)."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+        return lambda texts: [len(ids) for ids in pieces.encode(texts, num_threads=1)]
+    return _ranked_encoder(path) or _library_counter(path)
+
+
 def _read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame | None:
     try:
         stored = spark.read.schema(CACHE_SCHEMA).parquet(cache)

@@ -56,6 +56,14 @@ def test_cache_is_read_and_extended(spark, tmp_path):
     assert {r.n_tokens for r in token_counts.count_tokens(one, WORD, cache + "2").collect()} == {1, 2}
 
 
+def test_very_long_white_space(spark, libraries):
+    """Runs that the merge engine's pattern cannot split count as in the library."""
+    texts = [" " * 1_500_000, "a" + "\n" * 1_500_000 + "b", "c d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, BYTE).collect()}
+    assert got == {i: len(ids_of(libraries, BYTE, t)) for i, t in enumerate(texts)}
+
+
 def test_sentencepiece_counts(spark):
     import sentencepiece
 
