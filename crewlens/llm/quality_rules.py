@@ -87,6 +87,12 @@ def _occurrences(padded: Column, word: Column) -> Column:
     return (gone / (F.octet_length(word) + 2)).cast("long")
 
 
+def _beyond_ascii(text: Column) -> Column:
+    """Characters (not bytes) beyond ASCII."""
+    pure = F.octet_length(text) == F.char_length(text)
+    return F.when(pure, F.lit(0)).otherwise(F.regexp_count(text, F.lit("[^\\x00-\\x7F]")))
+
+
 def features(docs: DataFrame) -> DataFrame:
     """Counts of each row: the base ones, the character classes and the common words."""
     text = F.col("text")
@@ -103,7 +109,7 @@ def features(docs: DataFrame) -> DataFrame:
     counted = hashed.select(
         "doc_id", "lang", "n_words", "word_chars",
         F.char_length("text").cast("long").alias("chars"),
-        (F.octet_length("text") - F.char_length("text")).cast("long").alias("beyond_ascii"),
+        _beyond_ascii(F.col("text")).cast("long").alias("beyond_ascii"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("digit"),
         F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("upper"),
@@ -116,8 +122,7 @@ def features(docs: DataFrame) -> DataFrame:
     punctuation = F.col("marks") - F.col("n_symbols")
     rest = F.col("word_chars") - F.col("upper") - F.col("digit") - F.col("marks") - F.col("beyond_ascii")
     classes = F.array(
-        F.greatest(rest, F.lit(0)), F.col("upper"), F.col("digit"), space,
-        F.col("n_symbols"), punctuation, F.col("beyond_ascii"),
+        rest, F.col("upper"), F.col("digit"), space, F.col("n_symbols"), punctuation, F.col("beyond_ascii"),
     )
     uncommon = F.col("n_words") - F.aggregate("common", F.lit(0).cast("long"), lambda a, x: a + x)
     return counted.select(

@@ -102,6 +102,25 @@ def test_divergence_tells_junk_from_prose(spark, sf_dir):
     assert sum(not r.kept for r in bad) > 0.6 * len(bad)
 
 
+def test_classes_count_characters(spark):
+    """Not bytes: a character beyond ASCII counts once, whatever its length, and takes no letter away."""
+    texts = ["a" * 900 + "\u4e2d" * 100, "ab \U0001F600" * 50, "\u00fcber Zwei 12!#\n", "x" * 50 + "\u4e2d" * 50, "plain", ""]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.classes for r in quality_rules.features(df).collect()}
+    patterns = ["[a-z]", "[A-Z]", "[0-9]", "[ \t-\r]", "[#*$%&|<>]", "[!\"'()+,./:;=?@\\[\\\\\\]^_`{}~-]", "[^\x00-\x7f]"]
+    assert got == {i: [len(re.findall(p, t)) for p in patterns] for i, t in enumerate(texts)}
+
+
+def test_mixed_scripts_are_kept(spark):
+    """English with a tenth of its characters in another script stands within the limit of plain English."""
+    words = "Winter rivers of the north carry stone and sand to wide plains, and in 1890 a town that is old rose there.".split()
+    plain = [" ".join(words[(i + 3 * k) % len(words)] for i in range(120)) for k in range(40)]
+    mixed = [t + "\u4e2d" * (len(t) // 9) for t in plain[:1]]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(plain + mixed)], "doc_id long, text string, lang string")
+    last = {r.doc_id: r.class_distance for r in quality_rules.judge(df).collect()}[len(plain)]
+    assert last < quality_rules.MAX_CLASS_DISTANCE
+
+
 def test_js_distance(spark):
     row = spark.sql("SELECT array(1.0D, 0.0D) p, array(0.0D, 1.0D) q, array(0.5D, 0.5D) r")
     d = quality_rules.js_distance
