@@ -1,8 +1,8 @@
 """N-gram Jaccard join: which documents share at least `threshold` of their word n-grams.
 
 MinHash banding finds candidates. The rows of a band and the number of bands follow from a target
-recall at the threshold. Documents with one n-gram set are one class from the start; the classes'
-representatives meet by band hash. Within a bucket, sketches are compared with one representative
+recall at the threshold. Documents with one n-gram set are one class from the start, with a number of its
+own and the text of one of its rows; the classes' representatives meet by band hash. Within a bucket, sketches are compared with one representative
 at a time, and only a spanning set of likely pairs leaves it, never all pairs. What hangs together
 by likely pairs is a cluster; each representative's text goes to its cluster once, where all pairs
 are verified on the full n-gram sets by a matrix product. A cluster with many n-grams is dealt to
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.shared import key_bitmaps, only_possible, shuffle_partitions, stored, whole
@@ -82,8 +82,14 @@ def gram_sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray,
         yield block.first, grams, np.searchsorted(owner_of, np.arange(block.n + 1))
 
 
+def row_keys() -> list[Column]:
+    """A 128-bit digest of a row's doc_id and text, as two numbers."""
+    text = whole(F.col("text"))
+    return [F.xxhash64("doc_id", text).alias("row1"), F.xxhash64(text, "doc_id", F.lit(1)).alias("row2")]
+
+
 def sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, a 128-bit digest of the n-gram set (null without words), its size, the band hashes,
+    """doc_id, the row's keys, a 128-bit digest of the n-gram set (null without words), its size, the band hashes,
     and one byte of each MinHash."""
     hashes = bands * rows
     multipliers = mix(np.arange(hashes, dtype=np.uint64) + np.uint64(0x1F123BB5)) | np.uint64(1)
@@ -111,16 +117,16 @@ def sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             offsets = pa.array(np.arange(len(batch) + 1) * bands, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    batch.column("doc_id"), batch.column("row1"), batch.column("row2"),
                     pa.array(set1.view(np.int64), mask=empty), pa.array(set2.view(np.int64), mask=empty), pa.array(size),
                     pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64).ravel())),
                     pa.array([row.tobytes() for row in least.astype(np.uint8)], pa.binary()),
                 ],
-                ["doc_id", "set1", "set2", "n_grams", "bands", "sketch"],
+                ["doc_id", "row1", "row2", "set1", "set2", "n_grams", "bands", "sketch"],
             )
 
-    kept = docs.select("doc_id", whole(F.col("text")).alias("text"))
-    schema = "set1 long, set2 long, n_grams int, bands array<long>, sketch binary"
+    kept = docs.select("doc_id", *row_keys(), whole(F.col("text")).alias("text"))
+    schema = "row1 long, row2 long, set1 long, set2 long, n_grams int, bands array<long>, sketch binary"
     return kept.mapInArrow(run, f"doc_id {dict(kept.dtypes)['doc_id']}, {schema}")
 
 
@@ -300,16 +306,16 @@ def verify_group(
 
 
 def verified(docs: DataFrame, clusters: DataFrame, n: int, threshold: float) -> DataFrame:
-    """rep, links (documents), class_id of the representatives in `clusters` (rep, root, copies, n_grams)."""
+    """rep, links (documents) and least linked rep of the representatives in `clusters`
+    (rep, row1, row2, root, copies, n_grams). Each has the text of its row, once."""
     blocks = F.greatest(F.ceil(F.sum("n_grams") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_DOCS))
     totals = clusters.groupBy("root").agg(blocks.alias("blocks"))
     sized = stored(clusters.join(totals, "root"), "clusters")
     texts = only_possible(
-        docs.select(F.col("doc_id").alias("rep"), whole(F.col("text")).alias("text")),
-        "rep", key_bitmaps(sized.select("rep"), "rep"),
-    )
+        docs.select(*row_keys(), whole(F.col("text")).alias("text")), "row1", key_bitmaps(sized.select("row1"), "row1")
+    ).groupBy("row1", "row2").agg(F.first("text").alias("text"))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    members = texts.join(sized, "rep").withColumn("block", block).select(
+    members = texts.join(sized, ["row1", "row2"]).withColumn("block", block).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     )
     keys = ["root", "first", "second"]
@@ -343,31 +349,48 @@ def verified(docs: DataFrame, clusters: DataFrame, n: int, threshold: float) ->
     return (
         rows.groupBy("rep").agg(F.sum("links").alias("links"), F.min("low").alias("low"))
         .join(across, F.col("rep") == F.col("node"), "left")
-        .select("rep", "links", F.coalesce("root", "low").alias("class_id"))
+        .select("rep", "links", F.coalesce("root", "low").alias("low"))
     )
 
 
-def jaccard_join(
+def joined_rows(
     docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS
 ) -> DataFrame:
-    """doc_id, class_id (the least doc_id of all that links connect), n_links (documents linked)."""
+    """row1, row2 (`row_keys`), doc_id, class_id and n_links of every row."""
     bands = bands_for(threshold, recall, rows)
     drawn = stored(sketches(docs, n, bands, rows), "sketches")
     worded = drawn.filter("n_grams > 0")
     sets = ["set1", "set2"]
+    # The number of a class is drawn once: it is read from the table from here on.
     classes = stored(
-        worded.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes"
+        worded.groupBy(*sets)
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("row1", "row2")).alias("row"), F.count(F.lit(1)).alias("copies"))
+        .select(*sets, "least", "row.row1", "row.row2", "copies", F.monotonically_increasing_id().alias("rep")),
+        "classes",
+    )
+    representatives = (
+        worded.select(*sets, "row1", "row2", "n_grams", "bands", "sketch")
+        .join(classes.drop("least"), [*sets, "row1", "row2"]).dropDuplicates(["rep", *sets, "row1", "row2"])
     )
-    representatives = worded.join(classes, sets).filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["rep", *sets])
     edges = candidate_edges(representatives.select("rep", "sketch", "bands"), slack(threshold, bands * rows))
-    clusters = components(edges).join(
-        representatives.select(F.col("rep").alias("node"), "copies", "n_grams"), "node"
-    ).select(F.col("node").alias("rep"), "root", "copies", "n_grams")
-    found = verified(docs, clusters, n, threshold)
+    clusters = components(edges).withColumnRenamed("node", "rep").join(
+        representatives.select("rep", "row1", "row2", "copies", "n_grams"), "rep"
+    )
+    found = stored(verified(docs, clusters, n, threshold), "found")
+    least = found.join(classes.select("rep", "least"), "rep").groupBy("low").agg(F.min("least").alias("low_id"))
+    found = found.join(least, "low").select("rep", "links", "low_id", F.lit(True).alias("linked"))
     of_class = classes.join(found, "rep", "left").select(
         *sets,
-        F.coalesce("class_id", "rep").alias("class_id"),
+        F.when(F.col("linked"), F.col("low_id")).otherwise(F.col("least")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    alone = drawn.filter("n_grams = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return worded.select("doc_id", *sets).join(of_class, sets).select("doc_id", "class_id", "n_links").unionByName(alone)
+    columns = ["row1", "row2", "doc_id", "class_id", "n_links"]
+    alone = drawn.filter("n_grams = 0").withColumns({"class_id": F.col("doc_id"), "n_links": F.lit(0).cast("long")})
+    return worded.join(of_class, sets).select(*columns).unionByName(alone.select(*columns))
+
+
+def jaccard_join(
+    docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS
+) -> DataFrame:
+    """doc_id, class_id (the least doc_id of all that links connect), n_links (documents linked)."""
+    return joined_rows(docs, n, threshold, recall, rows).select("doc_id", "class_id", "n_links")

@@ -40,9 +40,13 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that n-gram Jaccard links connect, the one with the least doc_id stays."""
-    joined = ngram_join.jaccard_join(docs)
-    return _keep(docs, joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    """Of documents that n-gram Jaccard links connect, the one with the least doc_id stays. A row with a
+    null id stays unless it is linked with one that has an id."""
+    joined = ngram_join.joined_rows(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = joined.select(F.col("row1").alias("_row1"), F.col("row2").alias("_row2")).distinct()
+    row1, row2 = ngram_join.row_keys()
+    rows = docs.withColumns({"_row1": row1, "_row2": row2})
+    return rows.join(kept, ["_row1", "_row2"], "left_semi").select(*_all(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

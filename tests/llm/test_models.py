@@ -11,7 +11,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from crewlens.llm import mixing, ngram_join, ngram_lm, quality_classifier
+from crewlens.llm import mixing, ngram_join, ngram_lm, quality_classifier, stages
 from tests.llm import cases
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,6 +79,22 @@ def test_join_of_odd_rows(spark):
     assert ngram_join.jaccard_join(cases.empty(spark)).count() == 0
 
 
+def test_null_and_repeated_ids(spark):
+    """Near copies among rows with a null id, repeated rows, and an id with two texts."""
+    base = [[f"{t}{i}" for i in range(60)] for t in "abcd"]
+    text, near = [" ".join(w) for w in base], [" ".join(["x", *w[1:]]) for w in base]
+    data = [
+        (None, text[0]), (None, text[0]), (5, near[0]),  # a null class near one with an id
+        (1, text[1]), (1, text[1]), (9, near[1]),  # the repeated row is the least
+        (3, text[2]), (3, text[3]), (7, near[2]), (8, near[3]),  # two texts under one id
+        (None, "e " * 3 + "f g h i j"), (None, None),
+    ]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert Counter(map(tuple, ngram_join.jaccard_join(df, recall=0.99999).collect())) == expected_classes(data)
+    kept = {tuple(r) for r in stages.drop_near_copies(spark, df, "").collect()}
+    assert kept == {data[i] for i in (2, 3, 6, 7, 10, 11)}
+
+
 def test_band_recall():
     for rows in (3, 5, 7):
         bands = ngram_join.bands_for(0.8, 0.998, rows)
