@@ -13,6 +13,7 @@ smoothed probabilities are quantised to 16 bits. The levels lie side by side in
 query finds the word's range by pointer, then searches the successor of the context within
 that range.
 
+The number of shards grows with the tokens of the corpus, so that a shard's fit a task.
 Tokens travel packed: a row holds what one batch of documents has for one shard. A word with more
 tokens than an even share is dealt to several shards by context; its count is known beforehand, and
 no more words than shards can be of that kind, so that list is bounded.
@@ -41,6 +42,7 @@ FOLDS = 10
 PRIOR = 200.0
 ADDED = 0.1
 END, BEGIN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
+SHARD_TOKENS = 2_000_000  # of all documents, for each shard on average
 LEVELS = 65_535  # of quantised probabilities
 #: A shard's sums for a document travel as multiples of these.
 BASE_UNIT, MODEL_UNIT = 2.0**-34, 2.0**-16
@@ -387,16 +389,24 @@ def _score_shard(payloads: list[bytes], corpus: Corpus) -> list[tuple[np.ndarray
     return out
 
 
+def shards_for(tokens: int, least: int) -> int:
+    """Shards of SHARD_TOKENS; at least as many as there are tasks to do."""
+    return max(least, -(-tokens // SHARD_TOKENS))
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
-    shards = shuffle_partitions(docs.sparkSession)
+    n_tokens = (F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")) + 1).cast("long")
     rows = docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), held_out(F.col("doc_id")).alias("held_out"),
         whole(F.col("text")).alias("text"),
     )
-    corpus = corpus_counts(rows, shards)
     # Each document begins once, after the one token that stands before all others.
-    begins = rows.filter(~F.col("held_out")).count()
+    tokens, begins = rows.agg(
+        F.coalesce(F.sum(n_tokens), F.lit(0)), F.count(F.when(~F.col("held_out"), 1))
+    ).first()
+    shards = shards_for(tokens, shuffle_partitions(docs.sparkSession))
+    corpus = corpus_counts(rows, shards)
     begin = float(np.log10(begins + PRIOR))
     constant = float(np.log10(corpus.normaliser))
 
@@ -442,7 +452,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
         partial.groupBy("batch").agg(F.collect_list("part").alias("parts"))
         .mapInArrow(add, "row long, n_known long, base double, model double")
     )
-    n_tokens = (F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")) + 1).cast("long")
     return (
         rows.select("row", "doc_id", "held_out", n_tokens.alias("n_tokens")).join(sums, "row")
         .select(

@@ -163,6 +163,22 @@ def test_lm_scores(spark, partitions):
         assert a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-4, abs=1e-3)
 
 
+def test_lm_shards_grow_with_the_corpus(spark, monkeypatch):
+    """No shard gets many more tokens than the budget, whatever the number of shuffle partitions."""
+    df, sizes, packed_tokens = cases.frame(spark), [], ngram_lm._packed_tokens
+    expected = sorted(map(str, ngram_lm.score_documents(df).select("doc_id", "n_tokens", "n_known").collect()))
+
+    def packed(rows, shards, corpus):
+        sizes.append((shards, corpus.tokens))
+        return packed_tokens(rows, shards, corpus)
+
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 500)
+    monkeypatch.setattr(ngram_lm, "_packed_tokens", packed)
+    got = sorted(map(str, ngram_lm.score_documents(df).select("doc_id", "n_tokens", "n_known").collect()))
+    ((shards, tokens),) = sizes
+    assert got == expected and tokens / shards <= 500 and shards > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_lm_without_rows(spark):
     assert ngram_lm.score_documents(cases.empty(spark)).count() == 0
     only_held_out = spark.createDataFrame([(i, "a b") for i in range(60) if crc32(str(i).encode()) % 10 == 0], "doc_id long, text string")
