@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewlens.llm import (
@@ -14,10 +14,14 @@ from crewlens.llm import (
     mixing,
     ngram_join,
     ngram_lm,
+    periodic_runs,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     token_counts,
+    vector_codes,
 )
+from crewlens.llm.shared import SPACE, let, stored, whole, with_groups
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +74,58 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes = vector_codes.encode(vectors, carry=["vec_id", "label"])
+    digits = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    rows = stored(codes.rows.select("vec_id", "label", digits.alias("code"), "error"), "codes")
+    errors = stored(rows.groupBy("label").agg(F.try_sum("error").alias("label_error"), F.count(F.lit(1)).alias("n")), "errors")
+    return with_groups(rows, errors, ["label"], "n", F.xxhash64("vec_id")).select(
+        "vec_id", "code", "error", "label_error", F.sha2(F.lit(codes.codebook_text()), 256).alias("codebooks_sha256")
+    )
+
+
+def planted(text: Column, doc_id: Column) -> Column:
+    """The text; in one document of ten, by its id's checksum, all words from a drawn one on are
+    replaced by a repetition of the first few of them."""
+    checksum = F.crc32(doc_id.cast("string"))
+    drawn = ((checksum - checksum % 10) / 10).cast("long")
+
+    def repeated(words: Column, first: Column, period: Column) -> Column:
+        def word(i: Column) -> Column:
+            return words[F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")]
+
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.size(words) - F.lit(1).cast("long")), word), " ")
+
+    def rewritten(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        return let(drawn % n, lambda first: let(
+            F.floor((n - first) / (3 + drawn % 8)) + 1, lambda period: repeated(words, first, period)
+        ))
+
+    chosen = (checksum % 10 == 0) & text.rlike(f"[^{SPACE}]")
+    words = F.regexp_extract_all(text, F.lit(f"[^{SPACE}]+"), 0)
+    return F.when(chosen, let(words, rewritten)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.periodic_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("shorter"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest")["back"]).alias("start"),
+        F.col("longest")["length"].alias("length"), (-F.col("longest")["shorter"]).alias("period"),
+        F.expr("1000 * longest.length DIV -longest.shorter").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.without_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_license_scan": op2_license_scan,
@@ -81,6 +137,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

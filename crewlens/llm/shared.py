@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,3 +92,30 @@ def only_possible(df: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` evaluated once for each row."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, salt: Column, how: str = "left") -> DataFrame:
+    """`rows` joined with `groups`: one row for each value of `keys` (null is a value), `size` about
+    the number of its rows.
+
+    The rows of a group with more than an even share of all grouped rows are dealt to several tasks by
+    `salt`, and the group's one row is copied to each; such groups are fewer than shuffle partitions,
+    so the list of them is broadcast. `groups` is read several times: give a stored table.
+    """
+    parts = shuffle_partitions(rows.sparkSession)
+    share = (groups.agg(F.sum(size)).first()[0] or 0) // parts + 1
+    dealt = F.ceil(F.col(size) / share).cast("int")
+    hot = groups.filter(F.col(size) > share).select(*(F.col(k).alias(f"_hot_{k}") for k in keys), dealt.alias("_parts"))
+    spread = (
+        rows.join(F.broadcast(hot), _same(keys, "_hot_"), "left")
+        .withColumn("_salt", F.coalesce(F.pmod(salt, F.col("_parts")), F.lit(0)).cast("int"))
+        .drop("_parts", *(f"_hot_{k}" for k in keys))
+    )
+    copies = F.when(F.col(size) > share, dealt).otherwise(1)
+    copied = groups.withColumn("_turn", F.explode(F.sequence(F.lit(0), copies - 1))).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    joined = spread.join(copied, _same(keys, "_key_") & (F.col("_salt") == F.col("_turn")), how)
+    return joined.drop("_salt", "_turn", *(f"_key_{k}" for k in keys))
+
+
+def _same(keys: list[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
