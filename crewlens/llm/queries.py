@@ -19,6 +19,7 @@ from crewlens.llm import (
     quality_rules,
     substring_dedup,
     token_counts,
+    twins,
     vector_codes,
 )
 from crewlens.llm.shared import SPACE, let, stored, whole, with_groups
@@ -277,4 +278,4 @@ ORACLE = {
         FROM t WINDOW g AS (PARTITION BY norm)
     """,
     "op10_quality_rules": _QUALITY,
-}
+} | twins.ORACLE
