@@ -112,7 +112,8 @@ def single_windows(words: np.ndarray, found: Segments, window: int = WINDOW) ->
 
 
 class FMIndex:
-    """Backward search over a text of numbers from 1 on (0 separates passages) for patterns of at most `depth`."""
+    """Backward search for patterns of at most `depth` numbers over a text of numbers from 1 on, in which
+    0 stands after each passage."""
 
     def __init__(self, text: np.ndarray, depth: int):
         n = len(text)
@@ -301,6 +302,7 @@ def possible_segments(rows: DataFrame, repeated: Broadcast, window: int, gram: i
 
 def _taken_apart(crowded: DataFrame, window: int) -> DataFrame:
     """Segments as single windows, each once."""
+    names = crowded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,7 +318,7 @@ def _taken_apart(crowded: DataFrame, window: int) -> DataFrame:
                         pa.array(found.anchor.view(np.int64)), pa.array([data[a:b] for a, b in cut], pa.binary()).cast(pa.string()), pa.array(found.windows),
                         *(batch.column(c).take(rows) for c in ("least", "largest", "copies")),
                     ],
-                    crowded.columns,
+                    names,
                 )
 
     return (
