@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import rounded
+from ..sources.staging import staged
 from .candidates import moment
 from .skew import PART, hot_keys, spread_copies, spread_join, spread_rows
 
@@ -89,9 +90,10 @@ def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
 def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[str]) -> DataFrame:
     """Add to each lookup the totals of its series' points that start strictly earlier.
 
-    Running totals in two steps, so that a hot series' points are never one task's work: within a
-    calendar day over distinct start times, and over whole days, of which a series has at most one
-    row per calendar day. A day's lookups travel in its row, so every input is read once.
+    A prefix sum in slices of a day: within a slice the rows run past in order of time, so neither a
+    day's points nor its lookups are ever held together; each slice's total is carried over to the later
+    ones in a table of its own, in which a series has at most one row per calendar day, and meets the
+    slice's lookups by key. A hot series' points are thus never one task's work.
     """
     zero = {c: F.lit(0).cast(per_start.schema[c].dataType) for c in TOTALS}
     timeline = per_start.withColumn("is_point", F.lit(1)).unionByName(
@@ -101,30 +103,28 @@ def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[s
     within = Window.partitionBy(*series, "day").orderBy("start_time", "is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    carried = [c for c in lookups.columns if c not in (*series, "day", "start_time")]
     today = [F.coalesce(F.sum(c).over(within), zero[c]).alias(f"{c}_today") for c in TOTALS]
-    probe = F.when(
-        F.col("is_point") == 0, F.struct(*carried, *[f"{c}_today" for c in TOTALS])
-    )
-    days = (
-        timeline.select("*", *today)
-        .groupBy(*series, "day")
-        .agg(F.collect_list(probe).alias("probes"), *[F.sum(c).alias(c) for c in TOTALS])
+    carried = [c for c in lookups.columns if c not in (*series, "day", "start_time")]
+    probes = timeline.select("*", *today).filter(F.col("is_point") == 0)
+
+    slices = per_start.select(*series, "day", *TOTALS).unionByName(
+        lookups.select(*series, "day").distinct().withColumns(zero)
     )
     earlier = Window.partitionBy(*series).orderBy("day").rowsBetween(
         Window.unboundedPreceding, -1
     )
     before = [F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in TOTALS]
-    probes = days.select(*series, "probes", *before).select(
-        *series, *[f"{c}_before" for c in TOTALS], F.explode("probes").alias("probe")
-    )
-    return probes.select(
+    carry = _sum_totals(slices, *series, "day").select(*series, "day", *before)
+    return probes.join(carry, [*series, "day"]).select(
         *series,
-        *[F.col(f"probe.{c}").alias(c) for c in carried],
-        *[(F.col(f"probe.{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
+        *carried,
+        *[(F.col(f"{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
     )
 
 
+LOOKED_UP = ["shift_id", "pro_id", "location_id", "start_time", "skill_key"]
+
+
 def experience_totals(
     conf: DataFrame,
     hist: DataFrame,
@@ -171,7 +171,9 @@ def prior_experience(
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
 ) -> DataFrame:
-    """Qualifying earlier shifts per (shift, pro); pros without history get zeros."""
+    """Qualifying earlier shifts per (shift, pro); pros without history get zeros. `conf` is written
+    once, for the lookups, the list of hot pros and the result."""
+    conf = staged(conf.select(*LOOKED_UP), "lookups")
     totals = experience_totals(conf, hist, closure, floor, hot_pros)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
@@ -191,6 +193,7 @@ def position_ratings(
     hot_pros: DataFrame | None = None,
 ) -> DataFrame:
     """Average and count of earlier ratings from 1 to 5 in the same skill, per (shift, pro)."""
+    conf = staged(conf.select(*LOOKED_UP), "lookups")
     totals = experience_totals(conf, hist, closure, floor, hot_pros)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",

@@ -22,6 +22,7 @@ from ..functions.clock import (
 )
 from ..functions.text import strip
 from ..functions.vocabulary import WEEKDAYS
+from ..sources.sheets import summary_per_sheet
 from .quality import require_per_sheet, require_rows
 from .ranking import latest_by
 from .skew import hot_from_counts, spread_join
@@ -42,10 +43,7 @@ def roster_long(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
     without the header row fails the job, unless `skip_headerless` says that it is no roster.
     """
     is_header = cell(0) == "Name"
-    sheets = rows.groupBy("sheet").agg(
-        F.min(F.when(is_header, F.col("row_no"))).alias("header_no"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
+    sheets = summary_per_sheet(rows, F.min(F.when(is_header, F.col("row_no"))).alias("header_no"))
     hot = hot_from_counts(sheets, "sheet", "_rows")
     header = (
         sheets.filter(F.col("header_no").isNotNull())
@@ -98,10 +96,8 @@ def open_sessions(rows: DataFrame, skip_headerless: bool = False) -> DataFrame:
     fails the job, unless `skip_headerless` says that it is no clock-in sheet.
     """
     dated_no = F.when(F.exists("cells", lambda c: c.rlike(DATE_CELL)), F.col("row_no"))
-    sheets = rows.groupBy("sheet").agg(
-        F.min(dated_no).alias("dated_no"),
-        F.min_by("cells", dated_no).alias("header"),
-        F.count(F.lit(1)).alias("_rows"),
+    sheets = summary_per_sheet(
+        rows, F.min(dated_no).alias("dated_no"), F.min_by("cells", dated_no).alias("header")
     )
     hot = hot_from_counts(sheets, "sheet", "_rows")
     first = (

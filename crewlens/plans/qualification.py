@@ -17,16 +17,12 @@ from ..functions.skills import (
     qualifying_pairs,
     yes_no,
 )
-from ..operators.candidates import (
-    confirmed_applications,
-    historical_paid,
-    restrict_to_keys,
-    upcoming_standing,
-)
+from ..operators.candidates import confirmed_applications, historical_paid, restrict_to_keys
 from ..operators.experience import experience_and_ratings
 from ..operators.profiles import pro_profiles
 from ..operators.ranking import first_shifts, ordered, shift_level
 from ..operators.skew import hot_keys, spread_join
+from ..sources.staging import staged
 
 # Report columns and the names they are published under.
 PUBLISHED_NAMES = {
@@ -122,15 +118,19 @@ def first_shift_candidates(tables: Mapping[str, DataFrame], as_of: datetime) ->
 
 
 def first_five_qualification(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
-    """Evidence, experience, ratings and reliability of each confirmed first-shifts pro."""
+    """Evidence, experience, ratings and reliability of each confirmed first-shifts pro.
+
+    The applications are read three times: for the shifts and for the candidates, which are written
+    once, and for the history of the candidates' pros. Lookups, hot pros and the report itself start
+    from the written candidates.
+    """
     apps = tables["applications"]
-    confirmed = first_shift_candidates(tables, as_of)
-    # Taken before the shifts are chosen: a superset of the pros costs a scan and serves both uses.
-    upcoming = upcoming_standing(apps, as_of).select("gigster_id")
-    hot_pros = hot_keys(upcoming, "gigster_id")
+    confirmed = staged(first_shift_candidates(tables, as_of), "candidates")
+    hot_pros = hot_keys(confirmed, "pro_id")
+    pros = confirmed.select(F.col("pro_id").alias("gigster_id")).distinct()
     experience = experience_and_ratings(
         confirmed,
-        historical_paid(restrict_to_keys(apps, upcoming, "gigster_id")),
+        historical_paid(restrict_to_keys(apps, pros, "gigster_id")),
         qualifying_pairs(apps.sparkSession),
         as_of,
         hot_pros,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 from ..operators.quality import require_per_sheet
 from ..operators.skew import hot_from_counts, spread_join
+from .staging import staged
 
 # A quoted cell with what follows its closing quote, and a plain one, in which quotes are text.
 QUOTED = r'"(?:[^"]|"")*+"[^,]*+'
@@ -37,16 +38,23 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _quote_states(lines: DataFrame) -> DataFrame:
-    """Lines with whether each starts and ends inside a quoted cell.
+def _after(entering: Column, flips: Column, held: Column) -> Column:
+    """Whether a quoted cell is open after some lines, given whether one was before them, how often
+    they flip that, and the last of them that sets it (what to, and the flips up to it)."""
+    odd = (flips - F.coalesce(held["flips"], F.lit(0))) % 2 == 1
+    return F.coalesce(held["inside"], entering) != odd
 
-    A quote opens a cell only at the cell's start, so a line either sets the state or, seen from
-    both states, keeps or flips it. States are composed within a block and then over blocks, hence
-    a window never holds more than one block's lines or one file's blocks. A file that ends inside
-    a quoted cell fails the job.
+
+def _line_states(lines: DataFrame) -> DataFrame:
+    """Lines with whether each starts and ends inside a quoted cell and where its record begins, for a
+    block entered outside quotes (`out`) and for one entered inside (`ins`).
+
+    A quote opens a cell only at the cell's start, so a line either sets the state or, seen from both
+    states, keeps or flips it.
     """
     in_block = Window.partitionBy("sheet", "block").orderBy("line")
     so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
 
     def opens(text: Column) -> Column:
         return ~F.regexp_like(text, F.lit(rf"\A(?:{CLOSED})\z"))
@@ -56,71 +64,77 @@ def _quote_states(lines: DataFrame) -> DataFrame:
     marked = lines.withColumn("if_out", F.when(bare, False).otherwise(opens(F.col("value")))).withColumn(
         "if_in", F.when(bare, True).otherwise(opens(F.concat(F.lit('"'), F.col("value"))))
     )
-    flip = F.col("if_out") & ~F.col("if_in")
+    flip = (F.col("if_out") & ~F.col("if_in")).cast("long")
+    counted = marked.withColumn("flips", F.sum(flip).over(so_far))
     fixed = F.when(F.col("if_out") == F.col("if_in"), F.struct(F.col("if_out").alias("inside"), "flips"))
-    counted = (
-        marked.withColumn("flips", F.sum(flip.cast("long")).over(so_far))
-        .withColumn("set", F.last(fixed, ignorenulls=True).over(so_far))
-        .drop("if_out", "if_in")
+    held = counted.withColumns(
+        {"set": F.last(fixed, ignorenulls=True).over(so_far), "set_before": F.last(fixed, ignorenulls=True).over(before)}
     )
+    states = held
+    for name, entering in (("out", F.lit(False)), ("ins", F.lit(True))):
+        starts = _after(entering, F.col("flips") - flip, F.col("set_before"))
+        states = states.withColumns(
+            {f"{name}_starts": starts, f"{name}_ends": _after(entering, F.col("flips"), F.col("set"))}
+        )
+    for name in ("out", "ins"):
+        begins = F.when(~F.col(f"{name}_starts"), F.col("line"))
+        states = states.withColumn(f"{name}_own", F.last(begins, ignorenulls=True).over(so_far))
+    parts = [f"{name}_{part}" for name in ("out", "ins") for part in ("starts", "ends", "own")]
+    return states.select("sheet", "block", "line", "value", *parts)
 
-    def after(entering: Column, flips: Column, held: Column) -> Column:
-        odd = (flips - F.coalesce(held["flips"], F.lit(0))) % 2 == 1
-        return F.coalesce(held["inside"], entering) != odd
 
-    blocks = counted.groupBy("sheet", "block").agg(
-        F.max("flips").alias("flips"), F.max_by("set", "line").alias("set")
+def _entered_blocks(states: DataFrame) -> DataFrame:
+    """(sheet, block, entering, carried): whether each block is entered inside a quoted cell, and the last
+    record begun before it.
+
+    A block is summed up in one row, the state it ends in and its last record for either way of entering;
+    these rows compose as lines do. A file that ends inside a quoted cell fails the job.
+    """
+    blocks = states.groupBy("sheet", "block").agg(
+        *[F.max_by(f"{name}_ends", "line").alias(f"if_{name}") for name in ("out", "ins")],
+        *[F.max(f"{name}_own").alias(f"{name}_own") for name in ("out", "ins")],
     )
     by_block = Window.partitionBy("sheet").orderBy("block")
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    flip = (F.col("if_out") & ~F.col("if_ins")).cast("long")
+    counted = blocks.withColumn("flips", F.sum(flip).over(so_far))
+    fixed = F.when(F.col("if_out") == F.col("if_ins"), F.struct(F.col("if_out").alias("inside"), "flips"))
     outside = F.lit(False)
-    # Blocks compose as lines do: a block either sets the state or flips it.
-    composed = blocks.withColumn(
-        "sum", F.sum(F.when(F.col("set").isNull(), F.col("flips")).otherwise(0)).over(earlier)
-    ).withColumn(
-        "block_set",
-        F.last(
-            F.when(
-                F.col("set").isNotNull(),
-                F.struct(after(outside, F.col("flips"), F.col("set")).alias("inside"), F.col("sum").alias("flips")),
-            ),
-            ignorenulls=True,
-        ).over(earlier),
+    entered = (
+        counted.withColumns(
+            {"set": F.last(fixed, ignorenulls=True).over(so_far), "set_before": F.last(fixed, ignorenulls=True).over(before)}
+        )
+        .withColumn("entering", _after(outside, F.col("flips") - flip, F.col("set_before")))
+        .withColumn("own", F.when(F.col("entering"), F.col("ins_own")).otherwise(F.col("out_own")))
     )
-    ended = composed.withColumn("ends_inside", after(outside, F.col("sum"), F.col("block_set")))
-    unclosed = F.lead("block").over(by_block).isNull() & F.col("ends_inside")
+    begun = F.when(F.col("own").isNotNull(), F.struct("block", F.col("own").alias("line")))
+    unclosed = F.lead("block").over(by_block).isNull() & _after(outside, F.col("flips"), F.col("set"))
     message = F.concat(F.lit("a quoted cell is not closed in sheet "), F.col("sheet"))
-    entered = (
-        ended.withColumn("entering", F.coalesce(F.lag("ends_inside").over(by_block), outside))
-        .withColumn("unclosed", unclosed)
+    return (
+        entered.withColumns({"carried": F.last(begun, ignorenulls=True).over(before), "unclosed": unclosed})
         .filter(F.when(~F.col("unclosed"), True).otherwise(F.raise_error(message).cast("boolean")))
-        .select("sheet", "block", "entering")
-    )
-    located = counted.join(entered, ["sheet", "block"]).withColumn(
-        "ends_inside", after(F.col("entering"), F.col("flips"), F.col("set"))
+        .select("sheet", "block", "entering", "carried")
     )
-    return located.withColumn(
-        "starts_inside", F.coalesce(F.lag("ends_inside").over(in_block), F.col("entering"))
-    ).select("sheet", "block", "line", "value", "starts_inside", "ends_inside")
 
 
 def join_quoted_lines(lines: DataFrame) -> DataFrame:
     """Records (sheet, row_no, value): lines inside a quoted cell join the line that opened it.
 
-    A record of one line passes as it is; only the others are grouped.
+    The lines are scanned once: they are written with their states, from which both the blocks' summaries
+    and the records are read. A record of one line passes as it is; only the others are grouped.
     """
-    states = _quote_states(lines)
-    single = ~F.col("starts_inside") & ~F.col("ends_inside")
-    in_block = Window.partitionBy("sheet", "block").orderBy("line")
-    by_block = Window.partitionBy("sheet").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    many = states.filter(~single)
-    opening = F.when(~F.col("starts_inside"), F.struct("block", "line"))
-    carried = many.groupBy("sheet", "block").agg(F.max(opening).alias("last")).select(
-        "sheet", "block", F.last("last", ignorenulls=True).over(by_block).alias("carried")
-    )
-    parts = many.withColumn("own", F.max(opening).over(in_block)).join(carried, ["sheet", "block"])
+    states = staged(_line_states(lines), "lines")
+    located = states.join(_entered_blocks(states), ["sheet", "block"])
+
+    def known(part: str) -> Column:
+        return F.when(F.col("entering"), F.col(f"ins_{part}")).otherwise(F.col(f"out_{part}"))
+
+    single = ~known("starts") & ~known("ends")
+    own = F.when(known("own").isNotNull(), F.struct("block", known("own").alias("line")))
     joined = (
-        parts.withColumn("row_no", F.coalesce("own", "carried"))
+        located.filter(~single)
+        .withColumn("row_no", F.coalesce(own, "carried"))
         .groupBy("sheet", "row_no")
         .agg(
             F.array_join(
@@ -132,7 +146,7 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
             ).alias("value")
         )
     )
-    lone = states.filter(single).select("sheet", F.struct("block", "line").alias("row_no"), "value")
+    lone = located.filter(single).select("sheet", F.struct("block", "line").alias("row_no"), "value")
     return lone.unionByName(joined)
 
 
@@ -173,6 +187,12 @@ def snake_case(text: Column) -> Column:
     return F.replace(F.lower(strip(text)), F.lit(" "), F.lit("_"))
 
 
+def summary_per_sheet(rows: DataFrame, *sums: Column) -> DataFrame:
+    """One row for each sheet with `sums` and `_rows`, its number of rows; written once, as its headers and
+    the list of very large sheets are both read from it."""
+    return staged(rows.groupBy("sheet").agg(*sums, F.count(F.lit(1)).alias("_rows")), "sheets")
+
+
 def _below_header(
     rows: DataFrame,
     header_key: str | None,
@@ -195,10 +215,10 @@ def _below_header(
     else:
         is_title, kept = first == header_key, rows.filter(first != "")
     title_no = F.when(is_title, F.col("row_no"))
-    sheets = rows.groupBy("sheet").agg(
+    sheets = summary_per_sheet(
+        rows,
         F.min(title_no).alias("header_no"),
         F.min_by("cells", title_no).alias("header"),
-        F.count(F.lit(1)).alias("_rows"),
     )
     hot = hot_from_counts(sheets, "sheet", "_rows")
     headers = (

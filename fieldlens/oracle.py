@@ -548,15 +548,15 @@ def _sheet_rows() -> str:
         AS approval_status,
       CASE WHEN c_custkey % 13 <> 1 THEN 'Yes' END AS has_payment_information,
       CASE WHEN c_custkey % 13 <> 1 THEN 'a scope' END AS payment_information_scope
-    FROM (SELECT *, min(c_custkey) FILTER (WHERE c_custkey % 31 = 5)
-            OVER (PARTITION BY c_nationkey) AS header_no FROM customer)
-    WHERE c_custkey > header_no AND c_custkey % 23 <> 0 AND c_custkey % 31 <> 5
+    FROM (SELECT *, least(405, min(c_custkey * 10) FILTER (WHERE c_custkey % 31 = 5)
+            OVER (PARTITION BY c_nationkey)) AS header_no FROM customer)
+    WHERE c_custkey * 10 > header_no AND c_custkey % 23 <> 0 AND c_custkey % 31 <> 5
     UNION ALL
     SELECT NULL, 'location_name', 'approval_status', 'has_payment_information',
       'payment_information_scope'
-    FROM (SELECT *, min(c_custkey) FILTER (WHERE c_custkey % 31 = 5)
-            OVER (PARTITION BY c_nationkey) AS header_no FROM customer)
-    WHERE c_custkey > header_no AND c_custkey % 31 = 5"""
+    FROM (SELECT c_nationkey, c_custkey * 10 AS line FROM customer WHERE c_custkey % 31 = 5
+          UNION ALL SELECT n_nationkey, 405 FROM nation)
+    QUALIFY line > min(line) OVER (PARTITION BY c_nationkey)"""
 
 
 def _positional_rows() -> str:
@@ -578,10 +578,14 @@ def _positional_rows() -> str:
       CASE WHEN NOT is_header THEN CAST(trunc(o_totalprice) AS BIGINT) END
         AS current_confirmed_pros_count,
       CAST(NULL AS BIGINT) AS number_of_selected_pros, CAST(NULL AS STRING) AS shift_url
-    FROM (SELECT *, o_orderkey % 499 = 17 AS is_header, {dates} AS dates, {flags} AS flags,
-            {numbers} AS numbers, min(o_orderkey) FILTER (WHERE o_orderkey % 499 = 17)
-              OVER (PARTITION BY quarter(o_orderdate)) AS header_no FROM orders)
-    WHERE o_orderkey > header_no AND (is_header OR o_orderkey % 19 <> 4)"""
+    FROM (SELECT *, {dates} AS dates, {flags} AS flags, {numbers} AS numbers,
+            min(line) FILTER (WHERE is_header) OVER (PARTITION BY sheet) AS header_no
+          FROM (SELECT *, o_orderkey * 2 AS line, quarter(o_orderdate) AS sheet,
+                  o_orderkey % 499 = 17 AS is_header FROM orders
+                UNION ALL BY NAME
+                SELECT min(o_orderkey) AS o_orderkey, min(o_orderkey) * 2 + 1 AS line,
+                  quarter(o_orderdate) AS sheet, true AS is_header FROM orders GROUP BY quarter(o_orderdate)))
+    WHERE line > header_no AND (is_header OR o_orderkey % 19 <> 4)"""
 
 
 def _sections() -> str:
@@ -778,13 +782,17 @@ STATEMENTS = {
             CASE WHEN NOT is_title THEN l_suppkey END AS pro_id,
             CASE WHEN NOT is_title THEN l_orderkey END AS gig_id,
             CASE WHEN is_title THEN 'market' END AS market
-          FROM (SELECT *, min(position) FILTER (WHERE is_title)
-                  OVER (PARTITION BY year(l_shipdate)) AS title_at
+          FROM (SELECT *, min(position) FILTER (WHERE is_title) OVER (PARTITION BY sheet) AS title_at
                 FROM (SELECT *, l_orderkey % 500 = 1 AND l_linenumber = 1 AS is_title,
+                        year(l_shipdate) AS sheet,
                         (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS position,
                         {Duck().pick(lens_tables.WHOLE_TEXTS, 'l_partkey')} AS numbers,
                         {Duck().pick(lens_tables.DATE_TEXTS, 'l_partkey')} AS dates
-                      FROM lineitem))
+                      FROM lineitem
+                      UNION ALL BY NAME
+                      SELECT true AS is_title, year(l_shipdate) AS sheet,
+                        (min(l_orderkey) * 10 + 9) * 10000000 AS position
+                      FROM lineitem GROUP BY year(l_shipdate)))
           WHERE position > title_at AND (is_title OR l_linenumber <> 3))
       LEFT JOIN last_notes USING (row_key)""",
     "page_checks": """

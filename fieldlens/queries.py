@@ -110,9 +110,7 @@ def _agents(spark, d, day=None):
     t = lens(spark, d)
     # The daily roster sheets of a year are one roster, in which a name's latest row counts.
     one_roster = t["roster"].withColumn("sheet", F.substring("sheet", 1, 4))
-    return agents_online(
-        one_roster, t["clockins"], t["aliases"], SHEET_ZONE, day, skip_headerless=True
-    )
+    return agents_online(one_roster, t["clockins"], t["aliases"], SHEET_ZONE, day)
 
 
 @query
@@ -140,10 +138,15 @@ def source_tables(spark, d):
 
 
 def payment_lines(spark, d):
-    """A payment export per nation as physical CSV lines, with quoted line breaks."""
-    titles = F.when(
-        F.col("c_nationkey") % 2 == 0, ",".join(PAYMENT_COLUMNS)
-    ).otherwise(",".join(["location_id", "extra", *PAYMENT_COLUMNS[:0:-1]]))
+    """A payment export per nation as physical CSV lines, with quoted line breaks. Each sheet has a
+    header after its customers up to 40; some have another one, and then repeat it as a row."""
+
+    def header(nation: str) -> Column:
+        return F.when(F.col(nation) % 2 == 0, ",".join(PAYMENT_COLUMNS)).otherwise(
+            ",".join(["location_id", "extra", *PAYMENT_COLUMNS[:0:-1]])
+        )
+
+    titles = header("c_nationkey")
     key = F.when(F.col("c_custkey") % 23 != 0, F.col("c_custkey").cast("string")).otherwise("")
     name = F.when(
         F.col("c_custkey") % 10 == 3,
@@ -169,14 +172,18 @@ def payment_lines(spark, d):
         F.posexplode(F.split(record, "\n")).alias("part", "value"),
     )
     line = F.col("c_custkey") * 10 + F.col("part")
-    return lines.select("sheet", line.alias("line"), "value").select(
+    sheet_titles = base(spark, d, "nation").select(
+        F.concat(F.lit("nation "), F.col("n_nationkey").cast("string")).alias("sheet"),
+        F.lit(405).cast("bigint").alias("line"), header("n_nationkey").alias("value"),
+    )
+    return lines.select("sheet", line.alias("line"), "value").unionByName(sheet_titles).select(
         "sheet", F.expr("line DIV 333").alias("block"), "line", "value"
     )
 
 
 @query
 def sheet_rows(spark, d):
-    return sheets.payment_sheet(rows_of(payment_lines(spark, d)), skip_headerless=True)
+    return sheets.payment_sheet(rows_of(payment_lines(spark, d)))
 
 
 def vip_shift_rows(spark, d):
@@ -191,17 +198,24 @@ def vip_shift_rows(spark, d):
         s.pick(lens_tables.WHOLE_TEXTS, "o_orderkey"),
         "CAST(o_totalprice AS STRING)",
     ]
-    return base(spark, d, "orders").selectExpr(
-        "'Q' || CAST(quarter(o_orderdate) AS STRING) AS sheet",
-        "named_struct('block', o_orderkey DIV 500, 'line', o_orderkey) AS row_no",
-        "CASE WHEN o_orderkey % 499 = 17 THEN array(' id ', 'start') ELSE"
-        f" array({', '.join(cells)}) END AS cells",
+    orders = base(spark, d, "orders")
+    sheet = "'Q' || CAST(quarter(o_orderdate) AS STRING) AS sheet"
+    title = "array(' id ', 'start')"
+    rows = orders.selectExpr(
+        sheet, "o_orderkey * 2 AS line",
+        f"CASE WHEN o_orderkey % 499 = 17 THEN {title} ELSE array({', '.join(cells)}) END AS cells",
+    )
+    titles = orders.selectExpr(sheet, "o_orderkey").groupBy("sheet").agg(
+        F.expr("min(o_orderkey) * 2 + 1 AS line"), F.expr(f"any_value({title}) AS cells")
+    )
+    return rows.unionByName(titles).selectExpr(
+        "sheet", "named_struct('block', line DIV 1000, 'line', line) AS row_no", "cells"
     )
 
 
 @query
 def positional_rows(spark, d):
-    return sheets.vip_shift_sheet(vip_shift_rows(spark, d), skip_headerless=True)
+    return sheets.vip_shift_sheet(vip_shift_rows(spark, d))
 
 
 def section_rows(spark, d):
@@ -589,12 +603,12 @@ def locations_needing_billing(spark, d):
 
 @query
 def roster_days(spark, d):
-    return roster.roster_long(lens(spark, d)["roster"], skip_headerless=True)
+    return roster.roster_long(lens(spark, d)["roster"])
 
 
 @query
 def roster_hours(spark, d):
-    return roster.with_shift_hours(roster.roster_long(lens(spark, d)["roster"], skip_headerless=True))
+    return roster.with_shift_hours(roster.roster_long(lens(spark, d)["roster"]))
 
 
 @query
@@ -648,7 +662,7 @@ def late_clockins(spark, d):
 
 @query
 def open_clockins(spark, d):
-    return roster.open_sessions(lens(spark, d)["clockins"], skip_headerless=True).drop("sheet")
+    return roster.open_sessions(lens(spark, d)["clockins"]).drop("sheet")
 
 
 @query
@@ -688,19 +702,25 @@ def outreach_export(spark, d):
         "CAST(l_suppkey AS STRING)",
         "CAST(l_orderkey AS STRING) || '.0'",
     ]
-    return base(spark, d, "lineitem").selectExpr(
-        "CAST(year(l_shipdate) AS STRING) AS sheet",
-        "named_struct('block', l_orderkey DIV 1000, 'line', (l_orderkey * 10 + l_linenumber)"
-        " * 10000000 + l_partkey) AS row_no",
-        "CASE WHEN l_orderkey % 500 = 1 AND l_linenumber = 1 THEN"
-        f" array({', '.join(repr(t) for t in titles)}) ELSE array({', '.join(cells)}) END AS cells",
+    items, header = base(spark, d, "lineitem"), f"array({', '.join(repr(t) for t in titles)})"
+    sheet = "CAST(year(l_shipdate) AS STRING) AS sheet"
+    rows = items.selectExpr(
+        sheet, "l_orderkey", "(l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS line",
+        f"CASE WHEN l_orderkey % 500 = 1 AND l_linenumber = 1 THEN {header} ELSE"
+        f" array({', '.join(cells)}) END AS cells",
+    )
+    # after the first order of each year
+    firsts = items.selectExpr(sheet, "l_orderkey").groupBy("sheet").agg(F.min("l_orderkey").alias("l_orderkey"))
+    headers = firsts.selectExpr("sheet", "l_orderkey", "(l_orderkey * 10 + 9) * 10000000 AS line", f"{header} AS cells")
+    return rows.unionByName(headers).selectExpr(
+        "sheet", "named_struct('block', l_orderkey DIV 1000, 'line', line) AS row_no", "cells"
     )
 
 
 @query
 def outreach_sheet_rows(spark, d):
     """Typed outreach export with the latest notes."""
-    typed = sheets.outreach_sheet(outreach_export(spark, d), skip_headerless=True)
+    typed = sheets.outreach_sheet(outreach_export(spark, d))
     return attach_notes(typed, notes_by_key(lens(spark, d)["notes"])).select(
         "row_key", "pro_name", "hours_to_start", "start_time", "pro_id", "gig_id", "market",
         "profile_match_source", "notes", "agent_name",

@@ -135,6 +135,15 @@ def _profiles(d) -> list[str]:
     ]
 
 
+def titled(group: str) -> str:
+    """The events, and after the first of each group a title row: every sheet has its header."""
+    return (
+        "(SELECT event_id * 2 AS line, event_id, user_id, ts, false AS title FROM events UNION ALL"
+        " SELECT min(event_id) * 2 + 1, min(event_id), max(user_id), min(ts), true FROM events"
+        f" GROUP BY {group}) AS e"
+    )
+
+
 def _roster(d) -> list[str]:
     codes = [d.pick(SHIFT_CODES, f"event_id * 3 + {i} * 5") for i in range(7)]
     header = ["'Name'", *[literal_day(i) for i in range(7)]]
@@ -144,9 +153,9 @@ def _roster(d) -> list[str]:
     blank = ["'TEAM'", *["''"] * 7]
     return [
         "CAST(CAST(ts AS DATE) AS STRING) AS sheet",
-        f"{d.div('event_id', 500)} AS block",
-        "event_id AS line",
-        f"CASE WHEN event_id % 131 = 7 THEN {d.array(header)}"
+        f"{d.div('line', 1000)} AS block",
+        "line",
+        f"CASE WHEN title OR event_id % 131 = 7 THEN {d.array(header)}"
         f" WHEN event_id % 37 = 0 THEN {d.array(blank)}"
         f" ELSE {d.array([name, *codes])} END AS cells",
     ]
@@ -168,9 +177,9 @@ def _clockins(d) -> list[str]:
         cells += [d.pick(CLOCK_INS, f"event_id * 7 + {i}"), out]
     return [
         f"CAST({sunday} AS STRING) AS sheet",
-        f"{d.div('event_id', 500)} AS block",
-        "event_id AS line",
-        f"CASE WHEN event_id % 211 = 11 THEN {d.array(header)} ELSE {d.array(cells)} END AS cells",
+        f"{d.div('line', 1000)} AS block",
+        "line",
+        f"CASE WHEN title OR event_id % 211 = 11 THEN {d.array(header)} ELSE {d.array(cells)} END AS cells",
     ]
 
 
@@ -289,8 +298,8 @@ DEFINITIONS = {
     ),
     "pro_snapshot": (_snapshot, "supplier"),
     "profiles": (_profiles, None),
-    "roster": (_roster, "events"),
-    "clockins": (_clockins, "events"),
+    "roster": (_roster, lambda d: titled("CAST(ts AS DATE)")),
+    "clockins": (_clockins, lambda d: titled(d.sunday("CAST(ts AS DATE)"))),
     "aliases": (_aliases, "(SELECT DISTINCT user_id FROM events) AS u"),
     "notes": (_notes, "lineitem"),
     "raw_sheet": (_raw_sheet, "events"),
@@ -300,6 +309,8 @@ DEFINITIONS = {
 
 def _statement(name: str, dialect) -> str:
     formulas, source = DEFINITIONS[name]
+    if callable(source):
+        source = source(dialect)
     if name == "profiles":
         source = f"(SELECT s_suppkey, {dialect.each(3)} AS version FROM supplier) AS v"
     return f"SELECT {', '.join(formulas(dialect))} FROM {source}"
