@@ -244,3 +244,17 @@ def tab_covers(title: Column, day: Column) -> Column:
     return F.coalesce(
         text.rlike(TAB_RANGE) & day.between(date_at(1, 2), date_at(3, 4)), F.lit(False)
     )
+
+
+def tab_days(title: Column) -> Column:
+    """The days 'MM-dd' of an 'M/d - M/d' tab title, as a leap year has them; null for any other title
+    and for a range that runs over the end of the year."""
+    text = strip(title)
+
+    def date_at(month: int, dom: int) -> Column:
+        parts = [F.lpad(F.regexp_extract(text, TAB_RANGE, g), 2, "0") for g in (month, dom)]
+        return F.concat_ws("-", F.lit("2024"), *parts).try_cast("date")
+
+    first, last = date_at(1, 2), date_at(3, 4)
+    days = F.transform(F.sequence(first, last), lambda day: F.date_format(day, "MM-dd"))
+    return F.when(text.rlike(TAB_RANGE) & (first <= last), days)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitmaps import may_repeat
+from .skew import hot_from_counts, spread_join
+
+REFUSED = "refusing to publish: "
+
 # What counts as a phone number, an address and an opaque key.
 PHONE = r"\+1\d{10}"
 EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
@@ -20,10 +25,29 @@ class GateError(ValueError):
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     if df.isEmpty():
-        raise GateError(f"refusing to publish: {name} is empty")
+        raise GateError(f"{REFUSED}{name} is empty")
     return df
 
 
+def guarded(df: DataFrame, needed: Mapping[str, DataFrame]) -> DataFrame:
+    """`df`, whose job fails by name if a needed table has no rows.
+
+    The checks are branches of the plan without rows, so building it runs no job; each task of a check
+    reads one row at most.
+    """
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
+    for name, table in needed.items():
+        found = table.limit(1).agg(F.count(F.lit(1)).alias("_found"))
+        failed = F.raise_error(F.lit(f"{REFUSED}{name} is empty")).cast("boolean")
+        df = df.unionByName(found.filter(F.when(F.col("_found") > 0, False).otherwise(failed)).select(*columns))
+    return df
+
+
+def offences(df: DataFrame, gates: Mapping[str, Column]) -> Column:
+    """The names of the gates that a row fails, in order; a gate is true for an offending row."""
+    return F.array_compact(F.array(*[F.when(F.coalesce(test, F.lit(False)), name) for name, test in gates.items()]))
+
+
 def require_per_sheet(per_sheet: DataFrame, column: str, what: str) -> DataFrame:
     """A table with one row per sheet, failing the job for a sheet in which `column` is null.
 
@@ -96,11 +120,23 @@ def emptied(df: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys of more than one row; only rows whose key may repeat are shuffled."""
     return (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+        may_repeat(df, key).groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
     )
 
 
+def with_copies(df: DataFrame, key: str, name: str = "copies") -> DataFrame:
+    """Each row with the number of rows of its key, for a gate on uniqueness; a key that cannot repeat is
+    not looked up by a shuffle of its own, and a hot one is no task's work alone."""
+    repeated = duplicate_keys(df, key).select(F.col(key).alias("_key"), F.col("copies").alias("_copies"))
+    hot = hot_from_counts(repeated, "_key", "_copies")
+    rows = df.withColumn("_key", F.col(key))
+    by = [F.xxhash64(*[F.col(c) for c in df.columns])]
+    met = spread_join(rows, repeated.filter(F.col("_key").isNotNull()), ["_key"], hot, "_key", by, "left")
+    return met.withColumn(name, F.coalesce("_copies", F.lit(1))).drop("_key", "_copies")
+
+
 def bad_format(df: DataFrame, key: str, pattern: str) -> DataFrame:
     """Rows whose key does not match; a missing key does not match."""
     return df.filter(~F.coalesce(F.col(key).rlike(pattern), F.lit(False)))

@@ -18,12 +18,13 @@ from ..functions.clock import (
     scheduled_start,
     shift_hours,
     tab_covers,
+    tab_days,
     week_label,
 )
 from ..functions.text import strip
 from ..functions.vocabulary import WEEKDAYS
 from ..sources.sheets import summary_per_sheet
-from .quality import require_per_sheet, require_rows
+from .quality import guarded, require_per_sheet
 from .ranking import latest_by
 from .skew import hot_from_counts, spread_join
 
@@ -151,9 +152,9 @@ def has_date_column(rows: DataFrame, day: date) -> Column:
 
 
 def open_clockins(rows: DataFrame, day: date, skip_headerless: bool = False) -> DataFrame:
-    """Open sessions of one day; fails when no sheet has a column for the day."""
-    require_rows(rows.filter(has_date_column(rows, day)), f"date column {day.isoformat()}")
-    return open_sessions(rows, skip_headerless).filter(F.col("work_date") == F.lit(day))
+    """Open sessions of one day; the job fails when no sheet has a column for the day."""
+    sessions = open_sessions(rows, skip_headerless).filter(F.col("work_date") == F.lit(day))
+    return guarded(sessions, {f"date column {day.isoformat()}": rows.filter(has_date_column(rows, day))})
 
 
 def week_tab(tabs: DataFrame, day: date) -> DataFrame:
@@ -171,6 +172,27 @@ def week_tab(tabs: DataFrame, day: date) -> DataFrame:
     )
 
 
+def week_tabs(days: DataFrame, tabs: DataFrame) -> DataFrame:
+    """(day, title) of every distinct day of `days` (day): the tab with the exact label of its week, else
+    the first by `tab_no` whose range covers it in the day's own year.
+
+    A join on ranges by buckets: each tab is exploded to the month-and-days of its range, at most 366, and
+    days meet them by equality; the exact labels are a second join by equality. A day without a tab fails
+    the job by name.
+    """
+    wanted = days.select("day").filter(F.col("day").isNotNull()).distinct()
+    exact = wanted.withColumn("title", week_label(F.col("day"))).join(tabs.select("title", "tab_no"), "title")
+    spans = tabs.select("title", "tab_no", F.explode(tab_days(F.col("title"))).alias("month_day"))
+    covering = wanted.withColumn("month_day", F.date_format("day", "MM-dd")).join(spans, "month_day")
+    fits = (
+        exact.select("day", "title", F.lit(0).alias("later"), "tab_no")
+        .unionByName(covering.filter(tab_covers(F.col("title"), F.col("day"))).select("day", "title", F.lit(1).alias("later"), "tab_no"))
+        .groupBy("day").agg(F.min_by("title", F.struct("later", "tab_no")).alias("title"))
+    )
+    missing = F.raise_error(F.concat(F.lit("no week tab for "), F.col("day").cast("string"))).cast("string")
+    return wanted.join(fits, "day", "left").select("day", F.coalesce("title", missing).alias("title"))
+
+
 def with_lateness(sessions: DataFrame, sheet_zone: str) -> DataFrame:
     """Scheduled start in the sheet's zone and whether the clock-in came after it."""
     start = scheduled_start(

@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import require_rows
+from ..operators.quality import guarded
 from ..operators.ranking import ordered
-from ..operators.roster import online, open_clockins, open_sessions, roster_long
+from ..operators.roster import has_date_column, online, open_sessions, roster_long
 
 
 def agents_online(
@@ -22,13 +22,15 @@ def agents_online(
 ) -> DataFrame:
     """Who is on shift on one day, or with `day` left out on every date the sheets hold.
 
+    An empty roster, or a day without a column, fails the job that reads the result.
     `skip_headerless` says that files without a header row or a row of dates are no sheets.
     """
     roster = roster_long(roster_rows, skip_headerless)
-    if day is None:
-        sessions = open_sessions(clockin_rows, skip_headerless)
-    else:
-        require_rows(roster, "roster")
-        sessions = open_clockins(clockin_rows, day, skip_headerless)
+    sessions = open_sessions(clockin_rows, skip_headerless)
+    if day is not None:
+        sessions = sessions.filter(F.col("work_date") == F.lit(day))
     found = online(roster, aliases, sessions, sheet_zone)
+    if day is not None:
+        dated = clockin_rows.filter(has_date_column(clockin_rows, day))
+        found = guarded(found, {"roster": roster, f"date column {day.isoformat()}": dated})
     return ordered(found, [F.col("work_date"), F.col("name")])

@@ -188,9 +188,9 @@ def snake_case(text: Column) -> Column:
 
 
 def summary_per_sheet(rows: DataFrame, *sums: Column) -> DataFrame:
-    """One row for each sheet with `sums` and `_rows`, its number of rows; written once, as its headers and
-    the list of very large sheets are both read from it."""
-    return staged(rows.groupBy("sheet").agg(*sums, F.count(F.lit(1)).alias("_rows")), "sheets")
+    """One row for each sheet with `sums` and `_rows`, its number of rows: its headers and the list of very
+    large sheets both start from this one aggregation."""
+    return rows.groupBy("sheet").agg(*sums, F.count(F.lit(1)).alias("_rows"))
 
 
 def _below_header(

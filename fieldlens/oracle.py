@@ -602,10 +602,41 @@ def _sections() -> str:
     WHERE mark IS NULL AND section <> ''"""
 
 
-def _json_rows() -> str:
-    cells = " || ',' || ".join(f"coalesce(CAST(to_json({c}) AS STRING), 'null')"
-                               for c in PAYMENT_COLUMNS)
-    return f"SELECT '[' || {cells} || ']' AS value FROM billing"
+def _json_rows(table: str = "billing", columns=PAYMENT_COLUMNS) -> str:
+    cells = " || ',' || ".join(f"coalesce(CAST(to_json({c}) AS STRING), 'null')" for c in columns)
+    return f"SELECT '[' || {cells} || ']' AS value FROM {table}"
+
+
+def _snapshot() -> str:
+    parts = {"PAYMENT_ROWS": _json_rows(), "NOTE_ROWS": _json_rows("last_notes", ["row_key", "notes", "agent_name"])}
+    return " UNION ALL ".join(
+        f"SELECT '1997-01-01T12:00:00Z' AS snapshot_utc, '{name}' AS table_name,"
+        f" count(*) OVER () AS table_rows, value FROM ({rows})"
+        for name, rows in parts.items()
+    )
+
+
+def _week_tabs() -> str:
+    def on(month: int, dom: int) -> str:
+        part = "lpad(regexp_extract(title, '^(\\d+)/(\\d+) - (\\d+)/(\\d+)$', {0}), 2, '0')"
+        return f"TRY_CAST(year(day) || '-' || {part.format(month)} || '-' || {part.format(dom)} AS DATE)"
+
+    sunday = "(day - CAST(isodow(day) % 7 AS INT))"
+    padded = f"strftime({sunday}, '%m/%d') || ' - ' || strftime({sunday} + 6, '%m/%d')"
+    return f"""
+    SELECT day, arg_min(title, (title <> {padded}, tab_no)) AS title
+    FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders) CROSS JOIN (
+      SELECT strftime({sunday}, '%-m/%-d') || ' - ' || strftime({sunday} + 6, '%-m/%-d') AS title,
+        min(o_orderkey) AS tab_no
+      FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders) WHERE year(day) = 1996 GROUP BY 1
+      UNION ALL
+      SELECT {padded}, min(o_orderkey) + 2000000000
+      FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders) WHERE year(day) = 1995 GROUP BY 1
+      UNION ALL SELECT m || '/1 - ' || m || '/28', 1000000000 + m FROM range(1, 13) AS months(m)
+      UNION ALL SELECT CASE WHEN m < 12 THEN m || '/28 - ' || (m + 1) || '/1' ELSE '12/28 - 12/31' END,
+        1000000000 + m FROM range(1, 13) AS months(m))
+    WHERE title = {padded} OR day BETWEEN {on(1, 2)} AND {on(3, 4)}
+    GROUP BY day"""
 
 
 PAID = "SELECT gigster_id, gig_id, location_id, start_time, rating, skill_key FROM"
@@ -627,6 +658,18 @@ STATEMENTS = {
     "positional_rows": _positional_rows(),
     "sheet_sections": _sections(),
     "snapshot_rows": _json_rows(),
+    "published_snapshot": _snapshot(),
+    "week_tabs_of_days": _week_tabs(),
+    "quarantined_keys": """
+      SELECT gate, doc_id, permanent_key FROM (
+        SELECT doc_id, permanent_key, unnest(['missing key', 'malformed key', 'repeated key']) AS gate,
+          unnest([permanent_key IS NULL, NOT regexp_matches(permanent_key, '^mb-[0-9a-f]{24}$'),
+            permanent_key IS NOT NULL AND count(*) OVER (PARTITION BY permanent_key) > 1]) AS offends
+        FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'mb-shared-' || CAST(doc_id % 10 AS STRING)
+            WHEN doc_id % 11 = 0 THEN upper('mb-' || md5(CAST(doc_id AS STRING)))
+            WHEN doc_id % 13 = 0 THEN 'mb-' || substr(md5(CAST(doc_id AS STRING)), 1, 23)
+            WHEN doc_id % 17 <> 0 THEN 'mb-' || substr(md5(CAST(doc_id AS STRING)), 1, 24)
+            END AS permanent_key FROM documents)) WHERE offends""",
     "ladder_usage": """
       SELECT track, l.skill_key, tier, count(a.app_id) AS applications FROM ladder l
       LEFT JOIN keyed_apps a ON a.skill_key = l.skill_key GROUP BY ALL""",

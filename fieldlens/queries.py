@@ -55,8 +55,9 @@ from crewlens.plans.qualification import (
     with_evidence,
 )
 from crewlens.plans.summary import snapshot_counts
-from crewlens.sources.publish import json_rows
+from crewlens.sources.publish import json_rows, publish_tables, read_quarantine, read_snapshot
 from crewlens.sources.sheets import rows_of, split_sections
+from crewlens.sources.staging import new_folder
 
 from . import tables as lens_tables
 from .dialect import Spark
@@ -251,6 +252,22 @@ def snapshot_rows(spark, d):
     return json_rows(billing_report(lens(spark, d), TODAY), PAYMENT_COLUMNS)
 
 
+@query
+def published_snapshot(spark, d):
+    """Payments and last notes published in two phases, then read through the newest manifest."""
+    folder = new_folder(spark, "snapshots")
+    notes = notes_by_key(lens(spark, d)["notes"])
+    publish_tables(
+        {
+            "PAYMENT_ROWS": (billing_report(lens(spark, d), TODAY), PAYMENT_COLUMNS),
+            "NOTE_ROWS": (notes, ["row_key", "notes", "agent_name"]),
+            "REVIEW_ROWS": (quality.emptied(notes), ["row_key"]),
+        },
+        folder, AS_OF, may_be_empty=["REVIEW_ROWS"],
+    )
+    return read_snapshot(spark, folder)
+
+
 # Standardization
 
 
@@ -689,6 +706,35 @@ def week_tab_title(spark, d):
     return roster.week_tab(weeks.select(title.alias("title"), "tab_no"), date(2024, 1, 17))
 
 
+@query
+def week_tabs_of_days(spark, d):
+    """The tab of every order day: weeks of one year, whose titles cover days of other years too, exact
+    labels of another year's weeks, and tabs of whole months last."""
+    orders = base(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    sunday, month = clock.week_start(F.col("day")), F.month("day")
+
+    def title(first: Column, last: Column, form: str) -> Column:
+        return F.concat(F.date_format(first, form), F.lit(" - "), F.date_format(last, form))
+
+    weeks = orders.filter(F.year("day") == 1996).groupBy(
+        title(sunday, F.date_add(sunday, 6), "M/d").alias("title")
+    ).agg(F.min("o_orderkey").alias("tab_no"))
+    labels = orders.filter(F.year("day") == 1995).groupBy(
+        title(sunday, F.date_add(sunday, 6), "MM/dd").alias("title")
+    ).agg((F.min("o_orderkey") + 2_000_000_000).alias("tab_no"))
+    months = orders.select(month.alias("month")).distinct().select(
+        "month",
+        F.explode(
+            F.array(
+                F.concat("month", F.lit("/1 - "), "month", F.lit("/28")),
+                F.when(F.col("month") < 12, F.concat("month", F.lit("/28 - "), F.col("month") + 1, F.lit("/1")))
+                .otherwise("12/28 - 12/31"),
+            )
+        ).alias("title"),
+    ).select("title", (F.col("month") + 1_000_000_000).cast("bigint").alias("tab_no"))
+    return roster.week_tabs(orders, weeks.unionByName(labels).unionByName(months))
+
+
 def outreach_export(spark, d):
     """The outreach rows as sheet cells, one sheet per ship year."""
     s = Spark()
@@ -742,7 +788,7 @@ def gated_shift_links(spark, d):
         F.col("current_confirmed_pros_count").alias("confirmed_pros"),
     )
     quality.require_columns(report, SHIFT_LINK_COLUMNS)
-    return quality.require_rows(report, "shift links")
+    return quality.guarded(report, {"shift links": report})
 
 
 @query
@@ -779,6 +825,28 @@ def malformed_keys(spark, d):
     return quality.bad_format(_permanent_keys(spark, d), "permanent_key", quality.OPAQUE_KEY)
 
 
+@query
+def quarantined_keys(spark, d):
+    """The rows that gates on keys hold back when a table is published, with the gates' names."""
+    # documents with one remainder share a key
+    keys = _permanent_keys(spark, d).withColumn(
+        "permanent_key",
+        F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("mb-shared-"), (F.col("doc_id") % 10).cast("string")))
+        .otherwise(F.col("permanent_key")),
+    )
+    key, folder = F.col("permanent_key"), new_folder(spark, "quarantine")
+    gates = {
+        "missing key": key.isNull(),
+        "malformed key": ~key.rlike(quality.OPAQUE_KEY),
+        "repeated key": F.col("copies") > 1,
+    }
+    table = (quality.with_copies(keys, "permanent_key"), ["doc_id", "permanent_key"])
+    manifest = publish_tables({"KEYS": table}, folder, AS_OF, gates={"KEYS": gates}, refuse=False)
+    held = read_quarantine(spark, manifest["tables"]["KEYS"])
+    cells = F.from_json("row", "array<string>")
+    return held.select("gate", cells[0].cast("bigint").alias("doc_id"), cells[1].alias("permanent_key"))
+
+
 @query
 def expected_gigs(spark, d):
     t = lens(spark, d)

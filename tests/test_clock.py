@@ -197,7 +197,30 @@ def test_agents_online(spark):
 
 
 def test_missing_day_column_fails(spark):
-    from crewlens.operators.quality import GateError
+    """When the result is read: building it runs no job."""
+    found = roster.open_clockins(sheet(spark, [["", "A", "", "8/17/26", ""]]), date(2026, 8, 20))
+    with pytest.raises(Exception, match="refusing to publish: date column 2026-08-20 is empty"):
+        found.collect()
 
-    with pytest.raises(GateError):
-        roster.open_clockins(sheet(spark, [["", "A", "", "8/17/26", ""]]), date(2026, 8, 20))
+
+def test_week_tabs_of_many_days(spark):
+    """Exact labels first, then the first range; leap days, ranges over the year's end, and a day without a tab."""
+    from datetime import date
+
+    from crewlens.operators.roster import week_tabs
+
+    tabs = spark.createDataFrame(
+        [("2/1 - 3/31", 5), ("2/26 - 3/3", 3), ("03/03 - 03/09", 9), ("12/29 - 1/4", 1), ("12/29 - 01/04", 2), ("2/29 - 3/6", 0), ("x", 4)],
+        "title string, tab_no int",
+    )
+
+    def found(*days):
+        rows = spark.createDataFrame([(d,) for d in (*days, *days, None)], "day date")
+        return {r.day: r.title for r in week_tabs(rows, tabs).collect()}
+
+    assert found(date(2023, 3, 1), date(2024, 2, 29), date(2024, 3, 1), date(2024, 3, 5), date(2025, 1, 1), date(2024, 12, 30)) == {
+        date(2023, 3, 1): "2/26 - 3/3", date(2024, 2, 29): "2/29 - 3/6", date(2024, 3, 1): "2/29 - 3/6",
+        date(2024, 3, 5): "03/03 - 03/09", date(2025, 1, 1): "12/29 - 01/04", date(2024, 12, 30): "12/29 - 01/04",
+    }
+    with pytest.raises(Exception, match="no week tab for 2024-05-01"):
+        found(date(2024, 5, 1))

@@ -128,3 +128,29 @@ def test_positions_and_qualifying(spark):
             assert qualifying[(pro, gig)] == n
         else:
             assert (pro, gig) not in qualifying
+
+
+def test_very_many_lookups_of_one_day(spark):
+    """A day's lookups are never held together: 100,000 of one pro, with points before, between and after."""
+    from pyspark.sql import functions as F
+
+    conf = spark.range(100_000).select(
+        F.col("id").alias("shift_id"), F.lit(7).cast("bigint").alias("pro_id"),
+        F.lit(10).cast("bigint").alias("location_id"),
+        F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00' + make_dt_interval(0, 0, 0, id % 86400)").alias("start_time"),
+        F.lit("dishwasher").alias("skill_key"),
+    )
+    hist = spark.range(50).select(
+        F.lit(7).cast("bigint").alias("gigster_id"), (F.col("id") + 10**6).alias("gig_id"),
+        F.lit(10).cast("bigint").alias("location_id"),
+        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, id, 0, 0)").alias("start_time"),
+        F.lit(4.0).alias("rating"), F.lit("dishwasher").alias("skill_key"),
+    )
+    found = prior_experience(conf, hist, qualifying_pairs(spark))
+    counts = found.groupBy("prior_paid_qualifying_skill_shifts").count().collect()
+    expected = defaultdict(int)
+    for i in range(100_000):
+        second = i % 86400
+        expected[24 + min(26, -(-second // 3600))] += 1
+    assert {r[0]: r[1] for r in counts if r[0] <= 50} == {min(k, 50): v for k, v in expected.items()}
+    assert "collect_list" not in found._jdf.queryExecution().toString()

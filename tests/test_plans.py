@@ -68,3 +68,58 @@ def test_report_from_stored_tables_matches_the_lens(spark, sf_dir, warehouse):
 
     stored = spark_table(first_five_qualification(warehouse, AS_OF))
     assert stored == spark_table(first_five_qualification(lens(spark, sf_dir), AS_OF))
+
+
+def scans(spark, build, table):
+    """Scans of a table that are planned, with exchanges reused."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return plan(spark, build(), "SIMPLE").count(f"/{table}.parquet]")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_report_reads_the_applications_three_times(spark, warehouse):
+    """Twice for the candidates, which are written once, and once for the history of their pros."""
+    from crewlens.plans.qualification import first_shift_candidates
+
+    assert scans(spark, lambda: first_shift_candidates(warehouse, AS_OF), "applications") == 2
+    assert scans(spark, lambda: first_five_qualification(warehouse, AS_OF), "applications") == 1
+
+
+def test_lines_of_sheets_are_scanned_once(spark, tmp_path):
+    """The plan reads written lines, never the files; nothing is split into lines again for headers."""
+    from crewlens.plans.sheets import payment_sheet
+    from crewlens.sources.sheets import read_rows
+
+    titles = "location_id,location_name,approval_status,has_payment_information,payment_information_scope"
+    (tmp_path / "a.csv").write_text(f'{titles}\n1,"x\ny",ok,Yes,z\n')
+    df = payment_sheet(read_rows(spark, str(tmp_path)))
+    text = plan(spark, df)
+    assert "a.csv" not in text and "Scan text" not in text
+    assert [tuple(r) for r in df.collect()] == [(1, "x\ny", "ok", "Yes", "z")]
+
+
+def test_no_job_runs_while_gated_plans_are_built(spark, sf_dir):
+    names = ["agents_one_day", "gated_shift_links", "open_clockins"]
+    for name in names:
+        QUERIES[name](spark, sf_dir)  # the test tables' schemas are read once
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        for name in names:
+            QUERIES[name](spark, sf_dir)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
+
+
+def test_repeated_keys_alone_are_shuffled(spark):
+    """One key in a thousand repeats: the keys' shuffle gets only rows whose hash slot repeats."""
+    from crewlens.operators import bitmaps, quality
+
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 1000 = 0 THEN 'twice' ELSE CAST(id AS STRING) END AS key")
+    assert [tuple(r) for r in quality.duplicate_keys(df, "key").collect()] == [("twice", 20)]
+    assert bitmaps.may_repeat(df, "key").count() < 60
+    counts = {r.key: r.copies for r in quality.with_copies(df.limit(3).union(df.filter("key = 'twice'")), "key").collect()}
+    assert counts["1"] == 1 and counts["twice"] == 21

@@ -97,3 +97,26 @@ def test_agents_of_one_day(spark, tmp_path):
     headless = sheet(spark, tmp_path, "r2.csv", [["North", "12-9", *["OFF"] * 6]])
     with pytest.raises(Exception, match="the row 'Name' is missing in sheet .*r2.csv"):
         refresh.refresh_agents(headless, clock, aliases, "Asia/Manila", day, path, LATER)
+
+
+def test_offending_rows_are_quarantined(spark, tmp_path):
+    """Each gate is counted in the write; offenders stand apart, and a later run changes no older manifest."""
+    from pyspark.sql import functions as F
+
+    from crewlens.sources.publish import publish_tables, read_quarantine, read_rows_of, read_snapshot
+
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([(1, "a"), (2, None), (-3, "b"), (-4, None)], "n int, t string")
+    gates = {"T": {"negative": F.col("n") < 0, "no text": F.col("t").isNull()}}
+    kept = publish_tables({"T": (df, ["n", "t"])}, path, AS_OF, gates=gates, refuse=False)
+    assert kept["tables"]["T"]["rows"] == 1 and kept["tables"]["T"]["failed"] == {"negative": 2, "no text": 2}
+    held = {tuple(r) for r in read_quarantine(spark, kept["tables"]["T"]).collect()}
+    assert held == {("no text", "[2,null]"), ("negative", '[-3,"b"]'), ("negative", "[-4,null]"), ("no text", "[-4,null]")}
+    manifests = sorted(str(f) for f in (tmp_path / "out/manifests").rglob("part-*"))
+    with pytest.raises(GateError, match="T fails {'negative': 2, 'no text': 2}"):
+        publish_tables({"T": (df, ["n", "t"])}, path, LATER, gates=gates)
+    assert sorted(str(f) for f in (tmp_path / "out/manifests").rglob("part-*")) == manifests
+    publish_tables({"T": (df.filter("n = 1"), ["n", "t"])}, path, LATER, gates=gates)
+    assert set(manifests) < {str(f) for f in (tmp_path / "out/manifests").rglob("part-*")}
+    assert [tuple(r) for r in read_snapshot(spark, path).collect()] == [("2026-01-02T00:00:00Z", "T", 1, '[1,"a"]')]
+    assert read_rows_of(spark, latest_manifest(spark, path)["tables"]["T"], "quarantined").collect() == []

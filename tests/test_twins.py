@@ -34,3 +34,13 @@ SPLITTING = [
 def test_hot_keys_do_not_change_results(spark, duck, sf_dir, name, monkeypatch):
     monkeypatch.setattr(skew, "EVEN_SHARES", 0.01)
     assert spark_table(QUERIES[name](spark, sf_dir)) == duck_table(duck, ORACLE[name])[1]
+
+
+def test_a_sheet_without_its_header_fails_by_name(spark, sf_dir):
+    from crewlens.plans import sheets
+    from crewlens.sources.sheets import rows_of
+    from fieldlens.queries import payment_lines
+
+    lines = payment_lines(spark, sf_dir).filter("sheet <> 'nation 3' OR NOT contains(value, 'location_id')")
+    with pytest.raises(Exception, match="header row 'location_id' is missing in sheet nation 3"):
+        sheets.payment_sheet(rows_of(lines)).collect()
