@@ -2,7 +2,8 @@
 
 Each step reads more of a text, and only of texts that the step before could not tell apart. The
 sets of ambiguous lengths and prefixes travel as bitmaps of fixed size, so no text is shuffled;
-a false hit costs one more hash and never changes a group.
+a false hit costs one more hash and never changes a group. Only keys meet their groups by a shuffle, and
+those of very large groups are dealt to several tasks.
 
 Defined cases: a null text counts as empty; empty texts form one group; rows that repeat both text
 and the largest doc_id all count as kept; a null doc_id is smaller than any other. An empty table
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import ascii_lower, flag_possible, key_bitmaps, only_possible, stored, whole
+from crewlens.llm.shared import ascii_lower, flag_possible, key_bitmaps, only_possible, stored, whole, with_groups
 
 PREFIX_CHARS = 64
 
@@ -46,14 +47,15 @@ def exact_groups(
     rows = stored(rows.withColumn("full", full).drop("text", "ambiguous"), "exact_keys")
 
     key = ["n", "head", "full"]
-    groups = (
+    groups = stored(
         rows.groupBy(*key)
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .filter("group_size > 1")
+        .filter("group_size > 1"),
+        "exact_groups",
     )
     alone = F.col("group_size").isNull()
     return (
-        rows.join(groups, key, "left")
+        with_groups(rows, groups, key, "group_size", F.xxhash64("doc_id"))
         .withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")))
         .withColumn("group_size", F.coalesce("group_size", F.lit(1)))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import stored, whole
+from crewlens.llm.shared import key_bitmaps, only_possible, stored, whole
 from crewlens.llm.wordhash import LOWER, blocks, hashes, mix
 
 BUCKETS = 4096
@@ -130,26 +130,32 @@ def word_vectors(sums: np.ndarray) -> np.ndarray:
     return (unit + 0.5 * own).astype(np.float32)
 
 
+def _means(values: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros((n, DIMENSIONS), np.float32)
+    full = np.flatnonzero(np.diff(first) > 0)
+    if len(full):
+        out[full] = np.add.reduceat(values, first[full], axis=0) / np.diff(first)[full][:, None]
+    return out
+
+
+def _pooled_batch(batch: pa.RecordBatch, table: np.ndarray) -> np.ndarray:
+    """The pooled vectors of a batch's texts, one row each."""
+    parts = [np.zeros((0, 2 * DIMENSIONS + 1), np.float32)]
+    for block in blocks(batch, lower=False):
+        words, shapes, first = _tokens(block)
+        length = np.log1p(np.diff(first)).astype(np.float32)[:, None]
+        word, shape = (_means(table[x], first, block.n) for x in (words, shapes))
+        parts.append(np.hstack([word, shape, length]))
+    return np.vstack(parts)
+
+
 def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     """doc_id and the pooled vector of every row."""
     table = docs.sparkSession.sparkContext.broadcast(vectors)  # BUCKETS x DIMENSIONS, half a megabyte
 
-    def means(values: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros((n, DIMENSIONS), np.float32)
-        full = np.flatnonzero(np.diff(first) > 0)
-        if len(full):
-            out[full] = np.add.reduceat(values, first[full], axis=0) / np.diff(first)[full][:, None]
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [np.zeros((0, 2 * DIMENSIONS + 1), np.float32)]
-            for block in blocks(batch, lower=False):
-                words, shapes, first = _tokens(block)
-                length = np.log1p(np.diff(first)).astype(np.float32)[:, None]
-                word, shape = (means(table.value[x], first, block.n) for x in (words, shapes))
-                parts.append(np.hstack([word, shape, length]))
-            flat = np.vstack(parts)
+            flat = _pooled_batch(batch, table.value)
             values = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32()), pa.array(flat.ravel())
             )
@@ -257,3 +263,27 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, with all their columns, that the classifier accepts, each judged by its own text.
+
+    Only documents that may be labelled are pooled to learn from. All rows are then scored and filtered where
+    they are read, without a shuffle of texts.
+    """
+    vectors = word_vectors(context_sums(docs))
+    key = F.xxhash64("doc_id").alias("label_key")
+    marked = key_bitmaps(labels.filter("doc_id IS NOT NULL").select(key), "label_key")
+    learnt = only_possible(docs.select("doc_id", "text", key), "label_key", marked).drop("label_key")
+    network = fit(*training_rows(pooled(learnt, vectors), labels, sample))
+    table = docs.sparkSession.sparkContext.broadcast(vectors)
+    text_at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column(text_at).fill_null("")], ["text"])
+            p = network.probabilities(_pooled_batch(texts, table.value).astype(np.float64))
+            yield batch.filter(pa.array(p >= threshold))
+
+    numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # a name may hold a dot
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

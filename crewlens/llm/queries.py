@@ -191,11 +191,11 @@ _QUALITY = f"""
                length(regexp_replace(text, '[^0-9]', '', 'g')) AS digit,
                length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_,
                length(regexp_replace(text, '[^!-/:-@\\[-`{{-~]', '', 'g')) AS marks,
-               strlen(text) - length(text) AS beyond,
+               length(regexp_replace(text, '[\\x00-\\x7F]', '', 'g')) AS beyond,
                CASE lang {_LISTS} END AS listed, [lower(x) FOR x IN words] AS low
         FROM split LEFT JOIN repeated USING (doc_id)
     ), listed AS (
-        SELECT *, [greatest(word_chars - upper_ - digit - marks - beyond, 0), upper_, digit,
+        SELECT *, [word_chars - upper_ - digit - marks - beyond, upper_, digit,
                    chars - word_chars, n_symbols, marks - n_symbols, beyond] AS classes,
                CASE WHEN listed IS NOT NULL THEN
                    [len(list_filter(low, lambda x: x = listed[i])) FOR i IN range(1, {_N_WORDS})] END AS common

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import shared_folder
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Java regex class of the white space that separates words.
@@ -19,17 +20,6 @@ BITMAP_BITS = 32_768  # bits of one bitmap of Spark's bitmap functions
 BITMAPS = 1_024
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="crewlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
 

@@ -1,67 +1,81 @@
 """The pipeline's stages: each takes documents and returns documents with the same columns.
 
-A stage calls one operator on all rows it is given and lets its decisions take effect. Rows keep all
-their columns. Rows with a null doc_id are kept by the filtering stages where nothing else is said.
+A stage calls one operator on all rows it is given and lets its decisions take effect, row by row: rows are
+told apart by a 128-bit digest of doc_id and text, never by doc_id alone. Columns travel as one struct beside
+that digest, whatever their names. The filtering stages ship the digests of the rows to drop, and texts only
+where a row may be one of them.
+
+Defined cases: a row with a null doc_id, or of a repeated one, is judged by its own text; a null text counts
+as empty; rows that are equal in doc_id and text share one fate (of exact copies one stays); an empty table
+stays empty.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crewlens.llm import bpe, exact_dedup, mixing, ngram_join, quality_classifier
+from crewlens.llm.shared import flag_possible, key_bitmaps, stored
 
+KEY = ["row1", "row2"]
 
-def _all(docs: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in docs.columns]
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """row1, row2 and the whole row as a struct."""
+    return docs.select(*ngram_join.row_keys(), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id is in `ids`, or null on both sides."""
-    kept = ids.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*_all(docs))
+
+def _rows(keyed: DataFrame, docs: DataFrame) -> DataFrame:
+    return keyed.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
+def _settled(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """`docs` without the rows that `verdicts` (row1, row2, kept) drops, and once those that it keeps.
+
+    Rows that are surely not in `verdicts` pass where they are read; only the others are shuffled.
+    """
+    flagged = flag_possible(_keyed(docs), "row1", key_bitmaps(verdicts, "row1"), "possible")
+    met = flagged.filter("possible").join(verdicts, KEY, "left")
+    turn = F.row_number().over(Window.partitionBy(*KEY).orderBy(*KEY))
+    once = met.withColumn("turn", turn).filter("kept IS NULL OR (kept AND turn = 1)")
+    return _rows(flagged.filter("NOT possible").select("row").unionByName(once.select("row")), docs)
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality_classifier.classify(docs, labels)
-    return _keep(docs, scored.filter("predicted = 1"))
+    return quality_classifier.accepted(docs, labels)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays, once."""
-    row_key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    kept = exact_dedup.exact_groups(docs, [row_key.alias("_row")]).filter("kept").select("_row").distinct()
-    rows = docs.withColumn("_row", row_key).join(kept, "_row", "left_semi")
-    once = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    return rows.withColumn("_turn", once).filter("_turn = 1").select(*_all(docs))
+    groups = exact_dedup.exact_groups(docs, ngram_join.row_keys()).filter("group_size > 1")
+    verdicts = groups.groupBy(*KEY).agg(F.max("kept").alias("kept"))
+    return _settled(docs, stored(verdicts, "exact_verdicts"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that n-gram Jaccard links connect, the one with the least doc_id stays. A row with a
     null id stays unless it is linked with one that has an id."""
-    joined = ngram_join.joined_rows(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = joined.select(F.col("row1").alias("_row1"), F.col("row2").alias("_row2")).distinct()
-    row1, row2 = ngram_join.row_keys()
-    rows = docs.withColumns({"_row1": row1, "_row2": row2})
-    return rows.join(kept, ["_row1", "_row2"], "left_semi").select(*_all(docs))
+    joined = ngram_join.joined_rows(docs).filter("NOT doc_id <=> class_id")
+    verdicts = joined.select(*KEY).distinct().withColumn("kept", F.lit(False))
+    return _settled(docs, stored(verdicts, "near_verdicts"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix, in whole documents: a document of which the mix takes `taken` of its `size` words
-    appears taken / size times, rounded up or down by a hash of its id so that each source's sum
+    appears taken / size times, rounded up or down by a hash of its digest so that each source's sum
     comes out as drawn. Documents of size 0 stay."""
-    drawn = mixing.mix(docs).select(
-        F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
-    ).dropDuplicates(["_id", "_size"])
-    size = mixing.word_count(F.col("text"))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
-    times = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.col("_size") + chance))
-    joined = docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("_id")) & (size == F.col("_size")))
-    repeated = joined.withColumn("_turn", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-    return repeated.select(*_all(docs))
+    source = F.col("source").alias("source") if "source" in docs.columns else F.lit(None).cast("string").alias("source")
+    sized = docs.select(F.struct(*ngram_join.row_keys()).alias("doc_id"), source, F.col("text").alias("text"))
+    drawn = mixing.mix(sized).groupBy("doc_id.row1", "doc_id.row2").agg(F.avg("taken").alias("taken"), F.max("size").alias("size"))
+    chance = F.pmod(F.xxhash64(*KEY, F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + chance))
+    counted = drawn.select(*KEY, times.cast("int").alias("times")).filter("times > 0")
+    repeated = _keyed(docs).join(counted, KEY).withColumn("turn", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
+    return _rows(repeated, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

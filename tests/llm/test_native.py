@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -121,6 +123,52 @@ def test_mixed_scripts_are_kept(spark):
     assert last < quality_rules.MAX_CLASS_DISTANCE
 
 
+def test_sql_counts_characters(spark, tmp_path):
+    """Query, SQL and plain Python agree in `kept` on texts of mixed scripts, near the limits as well."""
+    import duckdb
+
+    from crewlens.llm.queries import ORACLE, op10_quality_rules
+
+    rng = random.Random(2)
+    words = "winter rivers of the north carry stone and sand to wide plains where a town that is old rose there".split()
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(60, 160))), "en") for i in range(300)]
+    for i in range(60):
+        text = rows[rng.randrange(300)][1]
+        mark = rng.choice(["\u4e2d", "\U0001F600", "\u00e9"])
+        rows.append((300 + i, text + " " + mark * int(len(text) * rng.uniform(0.02, 0.6)), "en"))
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(path)
+    got = {r.doc_id: r.kept for r in op10_quality_rules(spark, str(tmp_path)).collect()}
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    told = base.sql(ORACLE["op10_quality_rules"])
+    at = {c: i for i, c in enumerate(told.columns)}
+    assert {r[at["doc_id"]]: r[at["kept"]] for r in told.fetchall()} == got
+    assert got == plain_verdicts(rows) and 0 < sum(not k for k in got.values()) < 60
+
+
+def plain_verdicts(rows):
+    """kept of texts of one language without base failures, by definition."""
+    def shares(counts):
+        return [c / sum(counts) if sum(counts) else 0.0 for c in counts]
+
+    def distance(p, q):
+        return math.sqrt(sum(a * math.log2(2 * a / (a + b)) for x, y in ((p, q), (q, p)) for a, b in zip(x, y) if a > 0) / 2)
+
+    listed, found = quality_rules.COMMON_WORDS["en"], {}
+    patterns = ["[a-z]", "[A-Z]", "[0-9]", "[ \t-\r]", "[#*$%&|<>]", "[!\"'()+,./:;=?@\\[\\\\\\]^_`{}~-]", "[^\x00-\x7f]"]
+    for i, text, _ in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        common = [sum(w.lower() == c for w in words) for c in listed]
+        repeated = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        covered = {j for k in range(len(words) - 7) if repeated[tuple(words[k : k + 8])] > 1 for j in range(k, k + 8)}
+        base = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+        found[i] = (base, shares([len(re.findall(p, text)) for p in patterns]), shares([*common, len(words) - sum(common)]))
+    means = [[sum(f[k][j] for f in found.values()) / len(found) for j in range(len(next(iter(found.values()))[k]))] for k in (1, 2)]
+    limits = (quality_rules.MAX_CLASS_DISTANCE, quality_rules.MAX_WORD_DISTANCE)
+    return {i: not f[0] and all(distance(f[k + 1], means[k]) <= limits[k] for k in (0, 1)) for i, f in found.items()}
+
+
 def test_js_distance(spark):
     row = spark.sql("SELECT array(1.0D, 0.0D) p, array(0.0D, 1.0D) q, array(0.5D, 0.5D) r")
     d = quality_rules.js_distance
