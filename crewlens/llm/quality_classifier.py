@@ -32,6 +32,7 @@ BUCKETS = 4096
 DIMENSIONS = 32
 NONZERO = 4
 REACH = 2  # neighbours on either side
+RETURNED_ROWS = 500  # whole rows returned at a time
 SAMPLE = 20_000
 HIDDEN = 24
 EPOCHS = 60
@@ -281,9 +282,11 @@ def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.RecordBatch.from_arrays([batch.column(text_at).fill_null("")], ["text"])
-            p = network.probabilities(_pooled_batch(texts, table.value).astype(np.float64))
-            yield batch.filter(pa.array(p >= threshold))
+            for begin in range(0, len(batch), RETURNED_ROWS):
+                part = batch.slice(begin, RETURNED_ROWS)
+                texts = pa.RecordBatch.from_arrays([part.column(text_at).fill_null("")], ["text"])
+                p = network.probabilities(_pooled_batch(texts, table.value).astype(np.float64))
+                yield part.filter(pa.array(p >= threshold))
 
     numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # a name may hold a dot
     return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
