@@ -252,7 +252,10 @@ def sheet_columns(
             absent = F.array_except(F.array(*map(F.lit, required)), F.col("header"))
             message = F.concat(F.lit("sheet lacks columns: "), F.array_join(absent, ", "))
             headers = headers.filter(
-                F.when(F.size(absent) == 0, True).otherwise(F.raise_error(message).cast("boolean"))
+                # a sheet without a header fails by its header's number
+                F.when(F.col("header").isNull() | (F.size(absent) == 0), True).otherwise(
+                    F.raise_error(message).cast("boolean")
+                )
             )
         from_end = [F.array_position(F.reverse("header"), c) for c in columns]
         places = [F.when(n > 0, F.size("header") - n).cast("int") for n in from_end]
