@@ -183,7 +183,10 @@ def test_empty_tables(spark):
     assert quality_rules.judge(none).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_join", "op5_line_dedup", "op9_exact_dedup", "op10_quality_rules"])
+@pytest.mark.parametrize("name", [
+    "op1_ngram_join", "op5_line_dedup", "op9_exact_dedup", "op10_quality_rules", "op11_vector_codes", "op12_periodic_runs",
+    "op13_substring_dedup",
+])
 def test_query_matches_sql(spark, duck, sf_dir, name):
     from crewlens.llm.queries import ORACLE, QUERIES
 
