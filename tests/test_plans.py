@@ -123,3 +123,27 @@ def test_repeated_keys_alone_are_shuffled(spark):
     assert bitmaps.may_repeat(df, "key").count() < 60
     counts = {r.key: r.copies for r in quality.with_copies(df.limit(3).union(df.filter("key = 'twice'")), "key").collect()}
     assert counts["1"] == 1 and counts["twice"] == 21
+
+
+def test_laid_out_history_is_pruned_and_not_shuffled(spark, warehouse, tmp_path):
+    """Periods after the moment are not read, and the latest row per pro and gig needs no exchange."""
+    import uuid
+
+    from crewlens.sources.layout import applications_of, paid_history_before, write_applications
+    from tests.support import spark_table
+
+    apps, table = warehouse["applications"], f"laid_out_{uuid.uuid4().hex}"
+    some = apps.filter("gig_start_time_local >= '1996-11-10' AND gig_start_time_local < '1997-02-20'").cache()
+    write_applications(some, table, str(tmp_path / "apps"), 4)
+    try:
+        df = paid_history_before(spark, table, AS_OF)
+        text = plan(spark, df)
+        assert "PartitionFilters: [isnotnull(start_period" in text and "<= 1997-01-01)" in text
+        assert "Exchange" not in text and "Bucketed: true" in text
+        assert spark_table(df) == spark_table(historical_paid(some, AS_OF)) and df.count() > 20
+        since = datetime(1996, 12, 30, 5)
+        kept = some.filter("gig_start_time_local >= '1996-12-30 05:00:00'")
+        assert spark_table(applications_of(spark, table, since=since)) == spark_table(kept)
+    finally:
+        some.unpersist()
+        spark.sql(f"DROP TABLE {table}")
