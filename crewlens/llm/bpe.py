@@ -34,11 +34,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import BITMAP_BITS, BITMAPS, key_bitmaps, whole
+from crewlens.llm.shared import BITMAP_BITS, BITMAPS, key_bitmaps, returning_memory, whole
 
 CUT_BITS = 10  # chunks of 2**10 bytes on average
 MIN_CHUNK = 256
-CACHE_WORDS = 400_000  # words a worker remembers before it starts anew
+CACHE_WORDS = 100_000  # words a worker remembers before it starts anew
 SEGMENT = 1 << 20  # bytes hashed at a time
 
 _BREAK = re.compile(r"[ \n]")
@@ -223,6 +223,7 @@ RESULT = ["n_tokens", "ids_sha256", "decoded_sha256"]
 def _shared_bits(rows: DataFrame) -> Broadcast:
     """Bitmaps of the chunks that occur in two documents or more; 4 MB whatever the input."""
 
+    @returning_memory
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = Texts(batch)
@@ -249,6 +250,7 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
         chunks = texts.chunks(i)
         return [(c, *(p := _pair(_digest(c))), p[0] in shared.value) for c in chunks]
 
+    @returning_memory
     def unshared_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = encoder(tokenizer)
         for batch in batches:
@@ -257,6 +259,7 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
             done = [_digests(engine, engine.ids(texts.text(i).decode())) for i in mine]
             yield _results(batch.column("doc_id"), mine, done)
 
+    @returning_memory
     def own_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs of unshared chunks of documents that also have shared ones, encoded."""
         ids = encoder(tokenizer).ids
@@ -279,6 +282,7 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
                     at = max(end, at + 1)
             yield _pieces(doc_ids, out)
 
+    @returning_memory
     def references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, out = Texts(batch), []
@@ -297,6 +301,7 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ["doc_id", "t1", "t2", "seq", "h1", "h2"],
             )
 
+    @returning_memory
     def shared_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every shared chunk once for each batch that holds it."""
         for batch in batches:
@@ -310,6 +315,7 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ["h1", "h2", "chunk"],
             )
 
+    @returning_memory
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = encoder(tokenizer).ids
         for batch in batches:
@@ -323,6 +329,7 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ["h1", "h2", "head", "body", "tail"],
             )
 
+    @returning_memory
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = encoder(tokenizer)
         for batch in batches:

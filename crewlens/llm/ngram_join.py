@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import key_bitmaps, only_possible, shuffle_partitions, stored, whole
+from crewlens.llm.shared import key_bitmaps, only_possible, returning_memory, shuffle_partitions, stored, whole
 from crewlens.llm.wordhash import WORD_BYTES, blocks, mix, word_hashes
 
 N = 5
@@ -96,6 +96,7 @@ def sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     weights = mix(np.arange(rows, dtype=np.uint64) + np.uint64(0x77A5)) | np.uint64(1)
     salts = mix(np.arange(bands, dtype=np.uint64) + np.uint64(0x51ED27))
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = np.zeros(len(batch), np.int32)
@@ -205,6 +206,7 @@ def candidate_edges(representatives: DataFrame, least: float) -> DataFrame:
     parts = F.ceil(F.col("rows") / BUCKET_ROWS)
     keys = ["bucket", "first", "second"]
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, keys):
             sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), -1)
@@ -320,6 +322,7 @@ def verified(docs: DataFrame, clusters: DataFrame, n: int, threshold: float) ->
     )
     keys = ["root", "first", "second"]
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, keys):
             table = table.combine_chunks()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import key_bitmaps, only_possible, stored, whole
+from crewlens.llm.shared import key_bitmaps, only_possible, returning_memory, stored, whole
 from crewlens.llm.wordhash import LOWER, blocks, hashes, mix
 
 BUCKETS = 4096
@@ -86,6 +86,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
     """The corpus sums of neighbours' index vectors for every bucket: at most BUCKETS rows."""
     names = [f"c{i}" for i in range(DIMENSIONS)]
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_vectors()
         sums = np.zeros(BUCKETS * DIMENSIONS)
@@ -154,6 +155,7 @@ def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     """doc_id and the pooled vector of every row."""
     table = docs.sparkSession.sparkContext.broadcast(vectors)  # BUCKETS x DIMENSIONS, half a megabyte
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = _pooled_batch(batch, table.value)
@@ -247,6 +249,7 @@ def training_rows(features: DataFrame, labels: DataFrame, sample: int) -> tuple[
 
 
 def score(features: DataFrame, network: Network) -> DataFrame:
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = batch.column("pooled").flatten().to_numpy(zero_copy_only=False)
@@ -280,6 +283,7 @@ def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     table = docs.sparkSession.sparkContext.broadcast(vectors)
     text_at = docs.columns.index("text")
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, len(batch), RETURNED_ROWS):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import reduce, wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,28 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return to the system what Arrow's pool and the C library (where it can) hold without use."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def returning_memory(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run` (for mapInArrow), which gives memory back at its partition's end: Spark keeps the worker for
+    tasks of other stages, which come on top of whatever the allocators still hold."""
+
+    @wraps(run)
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return held
+
+
 def whole(text: Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(text, F.lit(""))
