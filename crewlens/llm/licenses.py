@@ -7,7 +7,9 @@ A template is license wording with optional and replaceable regions:
 
 Compiling gives an automaton over words. It accepts a stretch of text only if all mandatory words
 stand there, in order and exactly; nothing is fuzzy. Every template is tried at every place of a
-text where it can begin, and the longest accepted stretch counts.
+text where it can begin, and the longest accepted stretch counts. TEMPLATES are phrases and grants by
+which texts name a license; WHOLE_LICENSES, under labels of their own, are met only by a text that has
+every clause and the disclaimer unchanged.
 
 Defined cases: a null or empty text has no words and no matches; repeated rows are scanned alike;
 an empty table gives an empty result; other columns are ignored.
@@ -96,6 +98,78 @@ TEMPLATES = [
     ("all-rights-reserved", "Copyright <<optional>>c<</optional>> <<any:12>> All rights reserved"),
 ]
 
+# Whole licenses and notices in common use, with what their users may leave out or replace.
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met:"
+    " <<optional>>1.<</optional>> Redistributions of source code must retain the above copyright notice,"
+    " this list of conditions and the following disclaimer."
+    " <<optional>>2.<</optional>> Redistributions in binary form must reproduce the above copyright notice,"
+    " this list of conditions and the following disclaimer in the documentation and/or other materials"
+    " provided with the distribution."
+)
+_BSD_NO_ENDORSEMENT = (
+    " <<optional>>3.<</optional>> Neither the name of <<any:20>> nor the names of its contributors may be used"
+    " to endorse or promote products derived from this software without specific prior written permission."
+)
+_BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY <<any:12>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT"
+    " NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL <<any:12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,"
+    " EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+    " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF"
+    " LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN"
+    " ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
+)
+_GPL_NOTICE = (
+    "free software: you can redistribute it and/or modify it under the terms"
+    " of the GNU General Public License as published by the Free Software Foundation,"
+    " either version {version} of the License, or (at your option) any later version."
+    " <<any:8>> is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+    " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License"
+    " for more details. <<optional>>You should have received a copy of the GNU General Public License along with"
+    " <<any:8>> if not, see <<any:1>> www.gnu.org/licenses<</optional>>"
+)
+WHOLE_LICENSES = [
+    (
+        "mit-text",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
+        " associated documentation files (the \"Software\"), to deal in the Software without restriction,"
+        " including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,"
+        " and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,"
+        " subject to the following conditions: The above copyright notice and this permission notice"
+        " <<optional>>(including the next paragraph)<</optional>> shall be included in all copies or substantial"
+        " portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR"
+        " IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE"
+        " AND NONINFRINGEMENT. IN NO EVENT SHALL <<any:12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,"
+        " WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE"
+        " SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    ),
+    ("bsd-2-clause", _BSD_HEAD + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD_HEAD + _BSD_NO_ENDORSEMENT + _BSD_DISCLAIMER),
+    (
+        "isc-text",
+        "Permission to use, copy, modify, and<<optional>>/or<</optional>> distribute this software for any purpose"
+        " with or without fee is hereby granted, provided that the above copyright notice and this permission notice"
+        " appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND <<any:12>> DISCLAIMS ALL WARRANTIES WITH"
+        " REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL"
+        " <<any:12>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER"
+        " RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS"
+        " ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
+    ),
+    (
+        "apache-2.0-notice",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use <<any:2>> except in"
+        " compliance with the License. You may obtain a copy of the License at <<any:1>> www.apache.org/licenses/LICENSE-2.0"
+        " <<optional>>.html<</optional>> Unless required by applicable law or agreed to in writing, software distributed"
+        " under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either"
+        " express or implied. See the License for the specific language governing permissions and limitations under"
+        " the License",
+    ),
+    ("gpl-3.0-or-later-notice", _GPL_NOTICE.format(version=3)),
+    ("gpl-2.0-or-later-notice", _GPL_NOTICE.format(version=2)),
+]
+
 
 def words_of(text: str | None) -> list[str]:
     """The words of a whole text, with A-Z lower-cased."""
@@ -219,7 +293,7 @@ def scanner(
     templates: list[tuple[str, str]] | None = None, phrases: list[tuple[str, str]] | None = None
 ) -> Scanner:
     """Phrases are templates without optional regions, told apart by their kind."""
-    templates = TEMPLATES if templates is None else templates
+    templates = TEMPLATES + WHOLE_LICENSES if templates is None else templates
     phrases = BASE_PHRASES if phrases is None else phrases
     return Scanner(
         [compile_template(label, markup) for label, markup in templates]

@@ -176,6 +176,59 @@ def test_full_grant_and_changed_wording():
     assert scan(text.replace("without restriction", "with restriction")) == []
 
 
+def filled(markup):
+    """The template's text with all optional words and a name in each replaceable region."""
+    return re.sub("<<any:[^>]*>>", " Ann ", re.sub("<</?optional>>", " ", markup))
+
+
+@pytest.mark.parametrize(("label", "markup"), licenses.WHOLE_LICENSES)
+def test_whole_licenses(label, markup):
+    """Met with and without optional words; not met once any mandatory word is changed or missing."""
+    scan = licenses.scanner().scan
+    full = licenses.words_of(filled(markup))
+    bare = licenses.words_of(re.sub("<<any:[^>]*>>", " Ann ", re.sub("<<optional>>.*?<</optional>>", " ", markup)))
+    for words in (full, bare):
+        found = [m for m in scan("Some Work. " + " ".join(words) + ". The end.") if m[0] == label]
+        assert len(found) == 1 and found[0][2] + found[0][3] == 2 + len(words)
+    for i in range(len(bare)):
+        if bare[i] != "ann":
+            for changed in (bare[:i] + ["qqq"] + bare[i + 1 :], bare[:i] + bare[i + 1 :]):
+                assert label not in {m[0] for m in scan(" ".join(changed))}, (label, i, bare[i])
+
+
+def test_license_variants_are_told_apart():
+    whole = dict(licenses.WHOLE_LICENSES)
+    labels = {name: {m[0] for m in licenses.scanner().scan(filled(text))} & set(whole) for name, text in whole.items()}
+    assert labels == {name: {name} for name in whole}
+
+
+def test_labels_and_scores_of_whole_texts(spark, sf_dir):
+    """The query's labels and score against regular expressions over all words of each text, without
+    anchors; licenses stand in some texts whole, in some with a word changed."""
+    rng = random.Random(7)
+    parts = licenses.TEMPLATES + licenses.WHOLE_LICENSES
+    forms = [(label, pattern(m), len(licenses.words_of(re.sub("<<optional>>.*?<</optional>>|<<any:[^>]*>>", " ", drop_nested(m))))) for label, m in parts]
+    forms += [(label, pattern(phrase), len(phrase.split())) for label, phrase in licenses.BASE_PHRASES]
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(150).collect()]
+    for i in range(60):
+        words = filled(rng.choice(parts)[1]).split()
+        if i % 3 == 0:
+            words[rng.randrange(len(words))] = "qqq"
+        rows.append((10**6 + i, "Some words before.\n" + " ".join(words) + "\nand behind."))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in licenses.summarise(licenses.scan_licenses(df)).collect()}
+    for doc_id, text in rows:
+        words = "".join(w + " " for w in licenses.words_of(text))
+        met = [(label, n) for label, form, n in forms if re.search(r"(?<!\S)" + form.pattern, words)]
+        score = max((1 - 1 / (1 + n) for _, n in met), default=0.0)
+        assert got[doc_id] == (",".join(sorted({label for label, _ in met})), round(score, 9)), doc_id
+
+
+def drop_nested(markup):
+    """The markup without optional regions that stand inside others."""
+    return re.sub("(<<optional>>(?:(?!<</?optional>>).)*)<<optional>>.*?<</optional>>", r"\1", markup)
+
+
 def test_empty_tables(spark):
     none = cases.empty(spark)
     assert token_counts.count_tokens(none, BYTE).count() == 0
