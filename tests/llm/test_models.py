@@ -125,22 +125,23 @@ def test_components(spark, seed):
 def expected_scores(data):
     tokens = [[*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOW)), None] for _, t in data]
     train = [d is not None and crc32(str(d).encode()) % 10 != 0 for d, _ in data]
-    one, two = Counter(), Counter()
+    one, two, three = Counter(), Counter(), Counter()
     for t, used in zip(tokens, train):
         if used:
             one.update(t)
             two.update(zip(["<begin>", *t], t))
+            three.update(zip(["<begin>", "<begin>", *t], ["<begin>", *t], t))
     n, v = sum(one.values()), len(one)
     context = Counter(one)
-    context["<begin>"] = sum(train)
+    context["<begin>"] = two["<begin>", "<begin>"] = sum(train)
     whole = n + 0.1 * (v + 1)
     out = []
     for (doc_id, _), t, used in zip(data, tokens, train):
         base = sum(math.log10((one[w] + 0.1) / whole) for w in t)
-        model = sum(
-            math.log10((two[u, w] + ngram_lm.PRIOR * (one[w] + 0.1) / whole) / (context[u] + ngram_lm.PRIOR))
-            for u, w in zip(["<begin>", *t], t)
-        )
+        model = 0.0
+        for u, v, w in zip(["<begin>", "<begin>", *t], ["<begin>", *t], t):
+            lower = ngram_lm.SHARE * (two[v, w] + ngram_lm.PRIOR * (one[w] + 0.1) / whole)
+            model += math.log10((three[u, v, w] + lower) / (two[u, v] + ngram_lm.SHARE * (context[v] + ngram_lm.PRIOR)))
         out.append((doc_id, not used, len(t), sum(one[w] > 0 for w in t), n, base, model))
     return out
 
@@ -190,11 +191,35 @@ def test_lm_without_rows(spark):
 def test_elias_fano(universe):
     rng = np.random.default_rng(3)
     values = np.sort(rng.integers(0, universe, 700))
-    search = ngram_lm.EliasFano.build(values, universe).directory()
+    search = ngram_lm.EliasFano.build(values, universe)
     assert (search.values(np.arange(700)) == values).all()
     wanted = np.concatenate([values[::7], rng.integers(0, universe, 300)])
-    assert (search.successor(wanted) == np.searchsorted(values, wanted)).all()
-    assert (ngram_lm.EliasFano.build(values[:0], universe).directory().successor(np.array([0])) == 0).all()
+    place, same = search.successor(wanted)
+    assert (place == np.searchsorted(values, wanted)).all() and (same == np.isin(wanted, values)).all()
+    least, most = rng.integers(0, 350, len(wanted)), rng.integers(350, 701, len(wanted))
+    place, same = search.successor(wanted, least, most)
+    expected = [a + np.searchsorted(values[a:b], w) for w, a, b in zip(wanted, least, most)]
+    assert (place == expected).all()
+    assert (same == [w in values[a:b] for w, a, b in zip(wanted, least, most)]).all()
+    place, same = ngram_lm.EliasFano.build(values[:0], universe).successor(np.array([0]))
+    assert (place == 0).all() and not same.any()
+
+
+def test_written_model_scores_other_documents(spark):
+    """From the written tries alone, as if the other documents had been held out of the same corpus."""
+    df = cases.frame(spark).select("doc_id", "text")
+    ids = [i for i in range(10**6, 10**6 + 2000) if crc32(str(i).encode()) % 10 == 0]
+    texts = [r.text for r in df.limit(30).collect()] + ["words that no text holds " * 3, "", None]
+    other = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    _, model = ngram_lm.fit_and_score(df)
+    got = ngram_lm.Model.load(spark, model.path).score(other)
+    expected = ngram_lm.score_documents(df.unionByName(other)).filter(f"doc_id >= {10**6}")
+    def rows(scored):
+        return sorted(map(tuple, scored.collect()))
+
+    for a, b in zip(rows(got), rows(expected), strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-4, abs=1e-3)
+    assert ngram_lm.Model.load(spark, model.path).score(other.limit(0)).count() == 0
 
 
 def test_packing():
