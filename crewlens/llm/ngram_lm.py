@@ -56,7 +56,7 @@ LEVELS = 65_535  # of quantised probabilities
 #: A shard's sums for a document travel as multiples of these.
 BASE_UNIT, MODEL_UNIT = 2.0**-34, 2.0**-16
 CONTEXT_SPACE = 1 << 40  # of a context's hash
-PIECE_BYTES = 1 << 23  # of texts whose tokens are packed together
+PIECE_BYTES = 1 << 25  # of texts whose tokens are packed together
 GROUP_TOKENS = 1 << 18  # asked at once
 CHUNK = 1 << 15  # numbers searched at once, within a core's cache
 
@@ -687,7 +687,7 @@ def fit_and_score(docs: DataFrame) -> tuple[DataFrame, Model]:
             yield _partial_batch(shard, held["batch"], list(_scored(image, held["payload"], corpus)), held["info"], image)
 
     tokens_of = _packed_tokens(rows, shards, corpus).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")
-    tokens_of.mapInArrow(learn, PARTIAL).write.parquet(f"{model.path}/shards")
+    tokens_of.mapInArrow(learn, PARTIAL).write.option("compression", "zstd").parquet(f"{model.path}/shards")
     model.save(spark)
     partial = spark.read.schema(PARTIAL).parquet(f"{model.path}/shards")
     return model.summed(partial, dict(docs.dtypes)["doc_id"]), model
