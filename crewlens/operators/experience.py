@@ -8,13 +8,14 @@ application looks up the few subtotals its skill accepts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import rounded
-from ..sources.staging import staged
+from ..sources.staging import by_rows, staged
 from .candidates import moment
 from .skew import PART, hot_keys, spread_copies, spread_join, spread_rows
 
@@ -22,6 +23,10 @@ ANYWHERE, SAME_PLACE = 0, 1
 BEGINNING = datetime(1, 1, 1)
 SERIES = ["pro_id", "matched_key", "scope", "place"]
 TOTALS = ["shifts", "rated", "rating_sum"]
+LOOKED_UP = ["shift_id", "pro_id", "location_id", "start_time", "skill_key"]
+LOOKUP = ["shift_id", "pro_id", "matched_key", "scope", "place", "day", "start_time"]
+# Applications that a task makes lookups of, up to fourteen each.
+APPLICATIONS = 50_000
 
 
 def _in_range(rating: Column) -> Column:
@@ -47,8 +52,8 @@ def _scoped(df: DataFrame) -> DataFrame:
     )
 
 
-def _sum_totals(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in TOTALS])
+def _sum_totals(df: DataFrame, keys: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in totals])
 
 
 def _with_day(df: DataFrame) -> DataFrame:
@@ -57,6 +62,7 @@ def _with_day(df: DataFrame) -> DataFrame:
 
 
 def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
+    """History rows as points in time, not yet told apart by scope."""
     start = F.col("start_time")
     if floor is not None:
         start = F.when(start < moment(floor), moment(BEGINNING)).otherwise(start)
@@ -70,24 +76,23 @@ def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
         # Decimals: their sum is the same in any order.
         F.when(_in_range(F.col("rating")), F.col("rating")).cast("decimal(18,10)").alias("rating_sum"),
     )
-    return _scoped(_with_day(rows))
+    return _with_day(rows)
 
 
 def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
-    """One row per application, accepted skill and scope; a skill off the ladder accepts itself."""
-    rows = conf.select("shift_id", "pro_id", "location_id", "start_time", "skill_key").join(
-        closure, "skill_key", "left"
-    )
+    """One row per application and accepted skill; a skill off the ladder accepts itself."""
+    rows = by_rows(conf.select(*LOOKED_UP), APPLICATIONS).join(closure, "skill_key", "left")
     rows = rows.withColumn("matched_key", F.coalesce("matched_key", "skill_key"))
-    return _scoped(
-        _with_day(rows.filter(F.col("pro_id").isNotNull() & F.col("matched_key").isNotNull()))
-    ).select(
-        "shift_id", "pro_id", "matched_key", "scope", "place", "day", "start_time",
-        (F.col("matched_key") == F.col("skill_key")).alias("own_skill"),
-    )
+    return _with_day(
+        rows.filter(F.col("pro_id").isNotNull() & F.col("matched_key").isNotNull())
+    ).withColumn("own_skill", F.col("matched_key") == F.col("skill_key"))
+
 
 
-def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[str]) -> DataFrame:
+
+def _with_totals_before(
+    lookups: DataFrame, per_start: DataFrame, series: list[str], totals: Sequence[str]
+) -> DataFrame:
     """Add to each lookup the totals of its series' points that start strictly earlier.
 
     A prefix sum in slices of a day: within a slice the rows run past in order of time, so neither a
@@ -95,7 +100,7 @@ def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[s
     ones in a table of its own, in which a series has at most one row per calendar day, and meets the
     slice's lookups by key. A hot series' points are thus never one task's work.
     """
-    zero = {c: F.lit(0).cast(per_start.schema[c].dataType) for c in TOTALS}
+    zero = {c: F.lit(0).cast(per_start.schema[c].dataType) for c in totals}
     timeline = per_start.withColumn("is_point", F.lit(1)).unionByName(
         lookups.withColumns({**zero, "is_point": F.lit(0)}), allowMissingColumns=True
     )
@@ -103,26 +108,35 @@ def _with_totals_before(lookups: DataFrame, per_start: DataFrame, series: list[s
     within = Window.partitionBy(*series, "day").orderBy("start_time", "is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    today = [F.coalesce(F.sum(c).over(within), zero[c]).alias(f"{c}_today") for c in TOTALS]
+    today = [F.coalesce(F.sum(c).over(within), zero[c]).alias(f"{c}_today") for c in totals]
     carried = [c for c in lookups.columns if c not in (*series, "day", "start_time")]
     probes = timeline.select("*", *today).filter(F.col("is_point") == 0)
 
-    slices = per_start.select(*series, "day", *TOTALS).unionByName(
-        lookups.select(*series, "day").distinct().withColumns(zero)
+    slices = per_start.select(*series, "day", *totals).unionByName(
+        lookups.select(*series, "day").withColumns(zero)
     )
     earlier = Window.partitionBy(*series).orderBy("day").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    before = [F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in TOTALS]
-    carry = _sum_totals(slices, *series, "day").select(*series, "day", *before)
+    before = [F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in totals]
+    carry = _sum_totals(slices, [*series, "day"], totals).select(*series, "day", *before)
     return probes.join(carry, [*series, "day"]).select(
         *series,
         *carried,
-        *[(F.col(f"{c}_today") + F.col(f"{c}_before")).alias(c) for c in TOTALS],
+        *[(F.col(f"{c}_today") + F.col(f"{c}_before")).alias(c) for c in totals],
     )
 
 
-LOOKED_UP = ["shift_id", "pro_id", "location_id", "start_time", "skill_key"]
+def _found(
+    lookups: DataFrame, points: DataFrame, hot: DataFrame, totals: Sequence[str]
+) -> DataFrame:
+    per_start = _sum_totals(points, [*SERIES, "day", "start_time"], totals)
+    return _with_totals_before(
+        spread_rows(lookups, hot, "pro_id", ["shift_id"]),
+        spread_copies(per_start, hot, "pro_id"),
+        [*SERIES, PART],
+        totals,
+    )
 
 
 def experience_totals(
@@ -138,13 +152,14 @@ def experience_totals(
     starts before: history older than it precedes every application, so each series' older points
     fold into one at the beginning of time before anything is shuffled. `hot_pros` lists pros with
     very many applications; their lookups are spread over parts, each with a copy of the points.
+    `conf` is a written table; its rows are counted by the files' footers.
     """
     hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
-    per_start = _sum_totals(_history_points(hist, floor), *SERIES, "day", "start_time")
-    found = _with_totals_before(
-        spread_rows(_lookups(conf, closure), hot, "pro_id", ["shift_id"]),
-        spread_copies(per_start, hot, "pro_id"),
-        [*SERIES, PART],
+    found = _found(
+        _scoped(_lookups(conf, closure)).select(*LOOKUP, "own_skill"),
+        _scoped(_history_points(hist, floor)),
+        hot,
+        TOTALS,
     )
 
     anywhere, own = F.col("scope") == ANYWHERE, F.col("own_skill")

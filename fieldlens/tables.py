@@ -322,6 +322,11 @@ BASE_TABLES = (
 
 
 _SCHEMAS: dict[str, dict[str, StructType]] = {}
+_ROWS: dict[tuple[str, str], int] = {}
+
+# Rows of both sides that a task of the applications' join sorts, and rows from which it is dealt so;
+# fewer are left to adaptive execution, which sizes tasks by compressed bytes, many rows each.
+JOINED_ROWS, FEW_JOINED_ROWS = 500_000, 4_000_000
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -332,6 +337,24 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load(spark, sf_dir, [name], known)[name]
 
 
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """The rows of a test table, by the files' footers, counted once."""
+    if (sf_dir, name) not in _ROWS:
+        _ROWS[sf_dir, name] = base(spark, sf_dir, name).count()
+    return _ROWS[sf_dir, name]
+
+
+def dealt(spark: SparkSession, sf_dir: str, name: str, used: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The test tables of a lens table, all rows of them, in as many partitions as their rows need."""
+    if name == "applications":
+        keys = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+        rows = sum(row_count(spark, sf_dir, table) for table in keys)
+        if rows > FEW_JOINED_ROWS:
+            parts = -(-rows // JOINED_ROWS)
+            return used | {table: used[table].repartition(parts, key) for table, key in keys.items()}
+    return used
+
+
 class Lens(Mapping):
     """The lens tables by name, each built as a lazy DataFrame when asked for.
 
@@ -359,7 +382,7 @@ class Lens(Mapping):
             named = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", statement)
             if named != statement:
                 statement, used[table] = named, base(self._spark, self._dir, table)
-        df = self._spark.sql(statement, **used)
+        df = self._spark.sql(statement, **dealt(self._spark, self._dir, name, used))
         if name in ("roster", "clockins"):
             df = df.selectExpr(
                 "sheet", "named_struct('block', block, 'line', line) AS row_no", "cells"
