@@ -29,6 +29,14 @@ def test_applications_are_joined_in_tasks_of_few_rows(spark, sf_dir, monkeypatch
     assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
 
 
+def test_distinct_gigs_stay_in_those_tasks(spark, sf_dir, monkeypatch):
+    """Nothing deals the join's rows into fewer tasks again before the gigs are told apart."""
+    _, dealt = applications_by_rows(spark, sf_dir, monkeypatch)
+    gigs = dealt.select("gig_id").distinct()
+    assert largest_task(gigs) < 500
+    assert gigs.count() == tables.base(spark, sf_dir, "lineitem").select("l_orderkey").distinct().count()
+
+
 def applications(spark, n):
     return spark.range(n).select(
         F.col("id").alias("shift_id"), (F.col("id") % 5).alias("pro_id"), F.lit(1).cast("bigint").alias("location_id"),
