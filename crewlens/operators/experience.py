@@ -23,6 +23,7 @@ ANYWHERE, SAME_PLACE = 0, 1
 BEGINNING = datetime(1, 1, 1)
 SERIES = ["pro_id", "matched_key", "scope", "place"]
 TOTALS = ["shifts", "rated", "rating_sum"]
+RATINGS = ["rated", "rating_sum"]
 LOOKED_UP = ["shift_id", "pro_id", "location_id", "start_time", "skill_key"]
 LOOKUP = ["shift_id", "pro_id", "matched_key", "scope", "place", "day", "start_time"]
 # Applications that a task makes lookups of, up to fourteen each.
@@ -43,6 +44,10 @@ def _scopes(location: Column) -> Column:
     )
 
 
+def _anywhere(df: DataFrame) -> DataFrame:
+    return df.withColumns({"scope": F.lit(ANYWHERE), "place": F.lit(0).cast("bigint")})
+
+
 def _scoped(df: DataFrame) -> DataFrame:
     return (
         df.withColumn("_scope", _scopes(F.col("location_id")))
@@ -175,6 +180,27 @@ def experience_totals(
     )
 
 
+def rating_totals(
+    conf: DataFrame,
+    hist: DataFrame,
+    closure: DataFrame,
+    floor: datetime | None = None,
+    hot_pros: DataFrame | None = None,
+) -> DataFrame:
+    """The ratings of `experience_totals` alone: they look up the own skill anywhere, and points without
+    a rating from 1 to 5 add nothing to them."""
+    hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
+    found = _found(
+        _anywhere(_lookups(conf, closure).filter("own_skill")).select(*LOOKUP),
+        _anywhere(_history_points(hist.filter(_in_range(F.col("rating"))), floor)),
+        hot,
+        RATINGS,
+    )
+    return found.groupBy("shift_id", "pro_id").agg(
+        F.sum("rated").alias("rated_shifts"), F.sum("rating_sum").alias("rating_sum")
+    )
+
+
 def _average(total: str, count: str) -> Column:
     return rounded(F.when(F.col(count) > 0, F.col(total).cast("double") / F.col(count)), 2)
 
@@ -209,7 +235,7 @@ def position_ratings(
 ) -> DataFrame:
     """Average and count of earlier ratings from 1 to 5 in the same skill, per (shift, pro)."""
     conf = staged(conf.select(*LOOKED_UP), "lookups")
-    totals = experience_totals(conf, hist, closure, floor, hot_pros)
+    totals = rating_totals(conf, hist, closure, floor, hot_pros)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
         "pro_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crewlens.functions.skills import qualifying_pairs
-from crewlens.operators.experience import prior_experience
+from crewlens.operators.experience import position_ratings, prior_experience
 from fieldlens import tables
 from fieldlens.tables import lens
 
@@ -51,6 +51,13 @@ def history(spark):
     ).withColumn("start_time", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"))
 
 
+def test_ratings_look_up_their_own_skill_alone(spark):
+    found = position_ratings(applications(spark, 10), history(spark), qualifying_pairs(spark))
+    assert {(float(r[2]), r[3]) for r in found.collect()} == {(4.0, 1)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_scope" not in plan and "shifts_today" not in plan
+
+
 def test_lookups_are_made_in_tasks_of_few_applications(spark):
     found = prior_experience(applications(spark, 200_001), history(spark), qualifying_pairs(spark))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
