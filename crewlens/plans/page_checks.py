@@ -93,29 +93,28 @@ def array_literal_is_empty(text: Column, name: str) -> Column:
 
 def without_array_rows(text: Column, name: str) -> Column:
     """The page with the rows of the named script array taken out; fails without such an array."""
-    declared = rf"(?s)const {name} = \[.*?\];"
-    start = F.regexp_instr(text, F.lit(declared))
-    length = F.length(F.regexp_substr(text, F.lit(declared)))
+    head = f"const {name} = ["
+    start = F.position(F.lit(head), text)
+    end = F.position(F.lit("];"), text, start + len(head))
     emptied = F.concat(
         F.substring(text, F.lit(1), start - 1),
         F.lit(f"const {name} = [];"),
-        F.substring(text, start + length, F.length(text)),
+        F.substring(text, end + 2, F.length(text)),
     )
     missing = F.raise_error(F.lit(f"refusing to publish: no array {name}")).cast("string")
-    return F.when(start > 0, emptied).otherwise(missing)
+    return F.when((start > 0) & (end > 0), emptied).otherwise(missing)
 
 
 def sanitized_pages(pages: DataFrame, text_col: str, *keep: str) -> DataFrame:
     """Pages with all person arrays emptied: whether each array was empty before, the page to write
     (null if it is blocked), and `blocked`: a phone number or e-mail address is left elsewhere."""
     text = F.col(text_col)
-    clean = text
-    for name in PERSON_ARRAYS:
-        clean = without_array_rows(clean, name)
     was_empty = [array_literal_is_empty(text, n).alias(f"{n.lower()}_empty") for n in PERSON_ARRAYS]
+    rows = pages.select(*keep, *was_empty, text.alias("_page"))
+    for name in PERSON_ARRAYS:  # a column for each step: nested, a step would be evaluated at each use
+        rows = rows.withColumn("_page", without_array_rows(F.col("_page"), name))
     return (
-        pages.select(*keep, *was_empty, clean.alias("_page"))
-        .withColumn("blocked", has_personal_data(F.col("_page")))
+        rows.withColumn("blocked", has_personal_data(F.col("_page")))
         .withColumn("page", F.when(~F.col("blocked"), F.col("_page")))
         .drop("_page")
     )

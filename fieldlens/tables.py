@@ -327,6 +327,8 @@ _ROWS: dict[tuple[str, str], int] = {}
 # Rows of both sides that a task of the applications' join sorts, and rows from which it is dealt so;
 # fewer are left to adaptive execution, which sizes tasks by compressed bytes, many rows each.
 JOINED_ROWS, FEW_JOINED_ROWS = 500_000, 4_000_000
+# Customers that a task makes pages of: a page is some hundred times as long as its customer in the file.
+PAGES = 20_000
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -352,6 +354,8 @@ def dealt(spark: SparkSession, sf_dir: str, name: str, used: dict[str, DataFrame
         if rows > FEW_JOINED_ROWS:
             parts = -(-rows // JOINED_ROWS)
             return used | {table: used[table].repartition(parts, key) for table, key in keys.items()}
+    if name == "markup" and (parts := -(-row_count(spark, sf_dir, "customer") // PAGES)) > 1:
+        return used | {"customer": used["customer"].repartition(parts)}
     return used
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from crewlens.functions.skills import qualifying_pairs
 from crewlens.operators.experience import position_ratings, prior_experience
+from crewlens.plans.page_checks import sanitized_pages
 from fieldlens import tables
 from fieldlens.tables import lens
 
@@ -37,6 +38,31 @@ def test_distinct_gigs_stay_in_those_tasks(spark, sf_dir, monkeypatch):
     assert gigs.count() == tables.base(spark, sf_dir, "lineitem").select("l_orderkey").distinct().count()
 
 
+def customers(spark, folder, n):
+    spark.range(n).selectExpr(
+        "id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 25 AS INT) AS c_nationkey",
+        "0D AS c_acctbal", "'BUILDING' AS c_mktsegment",
+    ).coalesce(1).write.parquet(f"{folder}/customer.parquet")
+
+
+def test_pages_of_a_small_file_are_made_by_many_tasks(spark, tmp_path):
+    customers(spark, tmp_path, 50_001)
+    pages = lens(spark, str(tmp_path))["markup"]
+    sizes = [r["count"] for r in pages.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 50_001 and len(sizes) == 3 and max(sizes) < 20_000
+
+
+def test_each_array_is_emptied_once(spark):
+    html = "a const REVIEW_ROWS = [[1,\n[2]]; b const REVIEW_ROWS = [3]; const OUTREACH_ROWS = []; ñ"
+    pages = sanitized_pages(spark.createDataFrame([(1, html)], "page_id int, html string"), "html", "page_id")
+    assert pages.first()["page"] == (
+        "a const REVIEW_ROWS = []; b const REVIEW_ROWS = [3]; const OUTREACH_ROWS = []; ñ"
+    )
+    plan = pages._jdf.queryExecution().optimizedPlan().toString()
+    # looked for once a step, not at each place that uses the step's page
+    assert "regexp" not in plan and plan.count("locate(const REVIEW_ROWS = [") <= 6
+
+
 def applications(spark, n):
     return spark.range(n).select(
         F.col("id").alias("shift_id"), (F.col("id") % 5).alias("pro_id"), F.lit(1).cast("bigint").alias("location_id"),
