@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import rounded
-from ..sources.staging import by_rows, staged
+from ..sources.staging import by_keys, by_rows, staged
 from .candidates import moment
 from .skew import PART, hot_keys, spread_copies, spread_join, spread_rows
 
@@ -28,6 +28,10 @@ LOOKED_UP = ["shift_id", "pro_id", "location_id", "start_time", "skill_key"]
 LOOKUP = ["shift_id", "pro_id", "matched_key", "scope", "place", "day", "start_time"]
 # Applications that a task makes lookups of, up to fourteen each.
 APPLICATIONS = 50_000
+# Lookups of an application: seven skills at most, each anywhere and at the same place.
+LOOKUPS_EACH = 14
+# Points and lookups that a task puts in order of time, and rows from which they are dealt so.
+TIMED_ROWS, FEW_TIMED_ROWS = 1_000_000, 4_000_000
 
 
 def _in_range(rating: Column) -> Column:
@@ -93,10 +97,17 @@ def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
     ).withColumn("own_skill", F.col("matched_key") == F.col("skill_key"))
 
 
+def _parts(rows: int) -> int | None:
+    """Tasks for so many timed rows; None leaves few rows to adaptive execution."""
+    return -(-rows // TIMED_ROWS) if rows > FEW_TIMED_ROWS else None
 
 
 def _with_totals_before(
-    lookups: DataFrame, per_start: DataFrame, series: list[str], totals: Sequence[str]
+    lookups: DataFrame,
+    per_start: DataFrame,
+    series: list[str],
+    totals: Sequence[str],
+    parts: int | None,
 ) -> DataFrame:
     """Add to each lookup the totals of its series' points that start strictly earlier.
 
@@ -109,6 +120,7 @@ def _with_totals_before(
     timeline = per_start.withColumn("is_point", F.lit(1)).unionByName(
         lookups.withColumns({**zero, "is_point": F.lit(0)}), allowMissingColumns=True
     )
+    timeline = by_keys(timeline, parts, *series, "day")
     # At equal start times probes sort ahead of points, which keeps "earlier" strict.
     within = Window.partitionBy(*series, "day").orderBy("start_time", "is_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -124,7 +136,8 @@ def _with_totals_before(
         Window.unboundedPreceding, -1
     )
     before = [F.coalesce(F.sum(c).over(earlier), zero[c]).alias(f"{c}_before") for c in totals]
-    carry = _sum_totals(slices, [*series, "day"], totals).select(*series, "day", *before)
+    slices = _sum_totals(by_keys(slices, parts, *series, "day"), [*series, "day"], totals)
+    carry = by_keys(slices, parts, *series).select(*series, "day", *before)
     return probes.join(carry, [*series, "day"]).select(
         *series,
         *carried,
@@ -133,15 +146,23 @@ def _with_totals_before(
 
 
 def _found(
-    lookups: DataFrame, points: DataFrame, hot: DataFrame, totals: Sequence[str]
+    lookups: DataFrame,
+    points: DataFrame,
+    hot: DataFrame,
+    totals: Sequence[str],
+    most_lookups: int,
+    most_points: int,
 ) -> DataFrame:
+    """The lookups with their totals, in tasks of few applications for the sums over each of them."""
     per_start = _sum_totals(points, [*SERIES, "day", "start_time"], totals)
-    return _with_totals_before(
+    found = _with_totals_before(
         spread_rows(lookups, hot, "pro_id", ["shift_id"]),
         spread_copies(per_start, hot, "pro_id"),
         [*SERIES, PART],
         totals,
+        _parts(most_lookups + most_points),
     )
+    return by_keys(found, _parts(most_lookups), "shift_id", "pro_id")
 
 
 def experience_totals(
@@ -150,6 +171,7 @@ def experience_totals(
     closure: DataFrame,
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
+    worked: int = 0,
 ) -> DataFrame:
     """Per (shift, pro): qualifying shifts, those at the same location, and own-skill ratings.
 
@@ -157,7 +179,9 @@ def experience_totals(
     starts before: history older than it precedes every application, so each series' older points
     fold into one at the beginning of time before anything is shuffled. `hot_pros` lists pros with
     very many applications; their lookups are spread over parts, each with a copy of the points.
-    `conf` is a written table; its rows are counted by the files' footers.
+    `conf` is a written table; its rows are counted by the files' footers. `worked` is about how many
+    rows the history has at most: with the lookups' number it sets the number of tasks, so that no task's
+    rows grow with the input; any number gives the same result.
     """
     hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
     found = _found(
@@ -165,6 +189,8 @@ def experience_totals(
         _scoped(_history_points(hist, floor)),
         hot,
         TOTALS,
+        LOOKUPS_EACH * conf.count(),
+        2 * worked,
     )
 
     anywhere, own = F.col("scope") == ANYWHERE, F.col("own_skill")
@@ -186,6 +212,7 @@ def rating_totals(
     closure: DataFrame,
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
+    worked: int = 0,
 ) -> DataFrame:
     """The ratings of `experience_totals` alone: they look up the own skill anywhere, and points without
     a rating from 1 to 5 add nothing to them."""
@@ -195,6 +222,8 @@ def rating_totals(
         _anywhere(_history_points(hist.filter(_in_range(F.col("rating"))), floor)),
         hot,
         RATINGS,
+        conf.count(),
+        worked,
     )
     return found.groupBy("shift_id", "pro_id").agg(
         F.sum("rated").alias("rated_shifts"), F.sum("rating_sum").alias("rating_sum")
@@ -211,11 +240,12 @@ def prior_experience(
     closure: DataFrame,
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
+    worked: int = 0,
 ) -> DataFrame:
     """Qualifying earlier shifts per (shift, pro); pros without history get zeros. `conf` is written
     once, for the lookups, the list of hot pros and the result."""
     conf = staged(conf.select(*LOOKED_UP), "lookups")
-    totals = experience_totals(conf, hist, closure, floor, hot_pros)
+    totals = experience_totals(conf, hist, closure, floor, hot_pros, worked)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
         "pro_id",
@@ -232,10 +262,11 @@ def position_ratings(
     closure: DataFrame,
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
+    worked: int = 0,
 ) -> DataFrame:
     """Average and count of earlier ratings from 1 to 5 in the same skill, per (shift, pro)."""
     conf = staged(conf.select(*LOOKED_UP), "lookups")
-    totals = rating_totals(conf, hist, closure, floor, hot_pros)
+    totals = rating_totals(conf, hist, closure, floor, hot_pros, worked)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
         "pro_id",
@@ -250,9 +281,10 @@ def experience_and_ratings(
     closure: DataFrame,
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
+    worked: int = 0,
 ) -> DataFrame:
     """Both reports from one pass; only (shift, pro) with a usable skill are present."""
-    return experience_totals(conf, hist, closure, floor, hot_pros).select(
+    return experience_totals(conf, hist, closure, floor, hot_pros, worked).select(
         "shift_id",
         "pro_id",
         "qualifying_shifts",

@@ -21,7 +21,7 @@ from ..operators.candidates import confirmed_applications, historical_paid, rest
 from ..operators.experience import experience_and_ratings
 from ..operators.profiles import pro_profiles
 from ..operators.ranking import first_shifts, ordered, shift_level
-from ..operators.skew import hot_keys, spread_join
+from ..operators.skew import hot_from_counts, hot_keys, spread_join
 from ..sources.staging import staged
 
 # Report columns and the names they are published under.
@@ -117,23 +117,29 @@ def first_shift_candidates(tables: Mapping[str, DataFrame], as_of: datetime) ->
     return confirmed_applications(tables["applications"], shifts, as_of)
 
 
-def first_five_qualification(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
+def first_five_qualification(
+    tables: Mapping[str, DataFrame], as_of: datetime, worked: int | None = None
+) -> DataFrame:
     """Evidence, experience, ratings and reliability of each confirmed first-shifts pro.
 
     The applications are read three times: for the shifts and for the candidates, which are written
     once, and for the history of the candidates' pros. Lookups, hot pros and the report itself start
-    from the written candidates.
+    from the written candidates. The candidates' pros are written as well: a file so small can be broadcast,
+    and the history then stays in the tasks in which its latest rows are found. `worked` is about how many
+    applications there are; without it they are counted, which a stored table does by its files' footers.
     """
     apps = tables["applications"]
     confirmed = staged(first_shift_candidates(tables, as_of), "candidates")
-    hot_pros = hot_keys(confirmed, "pro_id")
-    pros = confirmed.select(F.col("pro_id").alias("gigster_id")).distinct()
+    pros = staged(confirmed.groupBy("pro_id").agg(F.count(F.lit(1)).alias("rows")), "pros")
+    hot_pros = hot_from_counts(pros, "pro_id", "rows")
+    history = historical_paid(apps)
     experience = experience_and_ratings(
         confirmed,
-        historical_paid(restrict_to_keys(apps, pros, "gigster_id")),
+        restrict_to_keys(history, pros.withColumnRenamed("pro_id", "gigster_id"), "gigster_id"),
         qualifying_pairs(apps.sparkSession),
         as_of,
         hot_pros,
+        apps.count() if worked is None else worked,
     )
     profiles = pro_profiles(tables["pro_snapshot"], tables["profiles"])
     rows = with_evidence(

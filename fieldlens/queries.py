@@ -61,7 +61,7 @@ from crewlens.sources.staging import new_folder
 
 from . import tables as lens_tables
 from .dialect import Spark
-from .tables import base, lens
+from .tables import base, lens, row_count
 
 AS_OF = datetime(1997, 1, 1, 12, 0, 0)
 TODAY = date(1997, 1, 1)
@@ -94,7 +94,7 @@ def joined(values: Column) -> Column:
 
 @query
 def first_five_report(spark, d):
-    return plain(first_five_qualification(lens(spark, d), AS_OF))
+    return plain(first_five_qualification(lens(spark, d), AS_OF, row_count(spark, d, "lineitem")))
 
 
 @query
@@ -426,12 +426,14 @@ def _history_inputs(spark, d):
 
 @query
 def earlier_experience(spark, d):
-    return prior_experience(*_history_inputs(spark, d), floor=AS_OF)
+    worked = row_count(spark, d, "lineitem")
+    return prior_experience(*_history_inputs(spark, d), floor=AS_OF, worked=worked)
 
 
 @query
 def earlier_ratings(spark, d):
-    return plain(position_ratings(*_history_inputs(spark, d), floor=AS_OF))
+    worked = row_count(spark, d, "lineitem")
+    return plain(position_ratings(*_history_inputs(spark, d), floor=AS_OF, worked=worked))
 
 
 @query

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crewlens.functions.skills import qualifying_pairs
-from crewlens.operators.experience import position_ratings, prior_experience
+from crewlens.operators import experience
+from crewlens.operators.experience import experience_totals, position_ratings, prior_experience
 from crewlens.plans.page_checks import sanitized_pages
+from crewlens.plans.qualification import first_five_qualification
 from fieldlens import tables
+from fieldlens.queries import AS_OF
 from fieldlens.tables import lens
 
 
@@ -90,3 +93,22 @@ def test_lookups_are_made_in_tasks_of_few_applications(spark):
     assert "Repartition 5" in plan
     counts = found.groupBy("pro_id", "prior_paid_qualifying_skill_shifts").count().collect()
     assert {(r[0], r[1]) for r in counts} == {(0, 2), (1, 1), (2, 1), (3, 1), (4, 1)}
+
+
+def test_timed_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """Not by the shuffle partitions, of which the tests have four."""
+    conf, pairs = applications(spark, 20_000), qualifying_pairs(spark)
+    plain = experience_totals(conf, history(spark), pairs, worked=6)
+    monkeypatch.setattr(experience, "FEW_TIMED_ROWS", 0)
+    monkeypatch.setattr(experience, "TIMED_ROWS", 10_000)
+    dealt = experience_totals(conf, history(spark), pairs, worked=6)
+    assert largest_task(dealt) < 1_500 < largest_task(plain)
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+
+
+def test_history_is_not_dealt_by_pro(spark, sf_dir):
+    """The candidates' pros are a small file, which is broadcast to the tasks of the latest rows."""
+    report = first_five_qualification(lens(spark, sf_dir), AS_OF, 6_000)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "/pros]" in plan and "SortMergeJoin [gigster_id" not in plan
+    assert any("BroadcastHashJoin [gigster_id" in line and "LeftSemi" in line for line in plan.splitlines())
