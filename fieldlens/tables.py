@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from crewlens.functions.vocabulary import BADGES, SKILL_ALIASES, SKILL_PHRASES
@@ -271,8 +272,9 @@ def _markup(d) -> list[str]:
     return ["c_custkey AS page_id", f"{' || '.join(parts)} AS html"]
 
 
+CUSTOMER_JOIN = " JOIN customer ON o_custkey = c_custkey"
 APPLICATION_JOIN = (
-    "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
+    f"lineitem JOIN orders ON l_orderkey = o_orderkey{CUSTOMER_JOIN}"
     " JOIN nation ON c_nationkey = n_nationkey"
 )
 
@@ -327,6 +329,8 @@ _ROWS: dict[tuple[str, str], int] = {}
 # Rows of both sides that a task of the applications' join sorts, and rows from which it is dealt so;
 # fewer are left to adaptive execution, which sizes tasks by compressed bytes, many rows each.
 JOINED_ROWS, FEW_JOINED_ROWS = 500_000, 4_000_000
+# Customers from which their join with the orders is dealt so as well; fewer may be broadcast.
+FEW_CUSTOMERS = 2_000_000
 # Customers that a task makes pages of: a page is some hundred times as long as its customer in the file.
 PAGES = 20_000
 
@@ -346,14 +350,28 @@ def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
     return _ROWS[sf_dir, name]
 
 
+def many_applications(spark: SparkSession, sf_dir: str) -> bool:
+    return sum(row_count(spark, sf_dir, table) for table in ("lineitem", "orders")) > FEW_JOINED_ROWS
+
+
+def with_customers(spark: SparkSession, sf_dir: str, used: dict[str, DataFrame]) -> DataFrame:
+    """The orders with their customers. They meet before the line items do: customers that are too many to be
+    broadcast would otherwise have the whole applications dealt by customer, in tasks sized by bytes."""
+    sides = {"orders": "o_custkey", "customer": "c_custkey"}
+    orders, customers = (used[table] for table in sides)
+    if row_count(spark, sf_dir, "customer") > FEW_CUSTOMERS:
+        parts = -(-sum(row_count(spark, sf_dir, table) for table in sides) // JOINED_ROWS)
+        orders, customers = (used[table].repartition(parts, key) for table, key in sides.items())
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+
+
 def dealt(spark: SparkSession, sf_dir: str, name: str, used: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The test tables of a lens table, all rows of them, in as many partitions as their rows need."""
-    if name == "applications":
+    if name == "applications" and many_applications(spark, sf_dir):
         keys = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-        rows = sum(row_count(spark, sf_dir, table) for table in keys)
-        if rows > FEW_JOINED_ROWS:
-            parts = -(-rows // JOINED_ROWS)
-            return used | {table: used[table].repartition(parts, key) for table, key in keys.items()}
+        parts = -(-sum(row_count(spark, sf_dir, table) for table in keys) // JOINED_ROWS)
+        found = used | {"orders": with_customers(spark, sf_dir, used)}
+        return found | {table: found[table].repartition(parts, key) for table, key in keys.items()}
     if name == "markup" and (parts := -(-row_count(spark, sf_dir, "customer") // PAGES)) > 1:
         return used | {"customer": used["customer"].repartition(parts)}
     return used
@@ -386,6 +404,8 @@ class Lens(Mapping):
             named = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", statement)
             if named != statement:
                 statement, used[table] = named, base(self._spark, self._dir, table)
+        if name == "applications" and many_applications(self._spark, self._dir):
+            statement = statement.replace(CUSTOMER_JOIN.replace("customer", "{customer}"), "")
         df = self._spark.sql(statement, **dealt(self._spark, self._dir, name, used))
         if name in ("roster", "clockins"):
             df = df.selectExpr(

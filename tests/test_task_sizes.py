@@ -41,6 +41,19 @@ def test_distinct_gigs_stay_in_those_tasks(spark, sf_dir, monkeypatch):
     assert gigs.count() == tables.base(spark, sf_dir, "lineitem").select("l_orderkey").distinct().count()
 
 
+def test_customers_too_many_to_broadcast_leave_those_tasks_as_they_are(spark, sf_dir, monkeypatch):
+    """The applications are not dealt by customer, in tasks sized by bytes."""
+    plain, _ = applications_by_rows(spark, sf_dir, monkeypatch)
+    monkeypatch.setattr(tables, "FEW_CUSTOMERS", 0)
+    dealt = lens(spark, sf_dir)["applications"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")  # the nations alone
+    try:
+        assert largest_task(dealt) < 1_500
+        assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def customers(spark, folder, n):
     spark.range(n).selectExpr(
         "id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 25 AS INT) AS c_nationkey",
