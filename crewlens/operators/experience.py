@@ -4,6 +4,10 @@ No operator here pairs a pro's applications with the pro's history. History is u
 (pro, gig) and the ladder closure has no duplicate pairs, so every count of distinct gigs is a sum
 of per-skill subtotals: history is summed per (pro, skill, place) with map-side combine, and each
 application looks up the few subtotals its skill accepts.
+
+Applications and sums are dealt by their pro once, and lookups are made where they are put in order
+of time: an application travels as one row, not as one for each skill and scope. Pros with more rows
+than such a task should hold are taken in slices of a day instead, whose lookups do travel.
 """
 
 from __future__ import annotations
@@ -22,15 +26,19 @@ from .skew import PART, hot_keys, spread_copies, spread_join, spread_rows
 ANYWHERE, SAME_PLACE = 0, 1
 BEGINNING = datetime(1, 1, 1)
 SERIES = ["pro_id", "matched_key", "scope", "place"]
-TOTALS = ["shifts", "rated", "rating_sum"]
+SHIFTS = ["shifts"]
 RATINGS = ["rated", "rating_sum"]
+TOTALS = [*SHIFTS, *RATINGS]
+RATING_SUM = "decimal(38,10)"
 LOOKED_UP = ["shift_id", "pro_id", "location_id", "start_time", "skill_key"]
 LOOKUP = ["shift_id", "pro_id", "matched_key", "scope", "place", "day", "start_time"]
 # Applications that a task makes lookups of, up to fourteen each.
 APPLICATIONS = 50_000
 # Lookups of an application: seven skills at most, each anywhere and at the same place.
-LOOKUPS_EACH = 14
-# Points and lookups that a task puts in order of time, and rows from which they are dealt so.
+SKILLS_EACH = 7
+LOOKUPS_EACH = 2 * SKILLS_EACH
+# Points and lookups that a task puts in order of time, and rows from which they are dealt so. A pro with
+# more of them is taken in slices of a day.
 TIMED_ROWS, FEW_TIMED_ROWS = 1_000_000, 4_000_000
 
 
@@ -70,8 +78,9 @@ def _with_day(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.col("start_time").cast("date")).filter(F.col("day").isNotNull())
 
 
-def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
-    """History rows as points in time, not yet told apart by scope."""
+def _history_points(hist: DataFrame, floor: datetime | None, keys: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """History as points in time, not yet told apart by scope: its totals per skill and start, older than
+    `floor` as one. Every use of them reads the same columns, so that they are summed once."""
     start = F.col("start_time")
     if floor is not None:
         start = F.when(start < moment(floor), moment(BEGINNING)).otherwise(start)
@@ -84,17 +93,24 @@ def _history_points(hist: DataFrame, floor: datetime | None) -> DataFrame:
         _in_range(F.col("rating")).cast("bigint").alias("rated"),
         # Decimals: their sum is the same in any order.
         F.when(_in_range(F.col("rating")), F.col("rating")).cast("decimal(18,10)").alias("rating_sum"),
-    )
-    return _with_day(rows)
+    ).filter(F.col("start_time").isNotNull())
+    return _sum_totals(rows, keys, totals)
 
 
-def _lookups(conf: DataFrame, closure: DataFrame) -> DataFrame:
-    """One row per application and accepted skill; a skill off the ladder accepts itself."""
-    rows = by_rows(conf.select(*LOOKED_UP), APPLICATIONS).join(closure, "skill_key", "left")
-    rows = rows.withColumn("matched_key", F.coalesce("matched_key", "skill_key"))
-    return _with_day(
-        rows.filter(F.col("pro_id").isNotNull() & F.col("matched_key").isNotNull())
-    ).withColumn("own_skill", F.col("matched_key") == F.col("skill_key"))
+def _asking(conf: DataFrame) -> DataFrame:
+    """The applications that can have earlier work."""
+    return conf.select(*LOOKED_UP).dropna(subset=["pro_id", "skill_key", "start_time"])
+
+
+def _accepting(rows: DataFrame, closure: DataFrame, asks: Column | None = None) -> DataFrame:
+    """One row per row that asks and accepted skill; a skill off the ladder accepts itself, and so do rows
+    that do not ask."""
+    ladder = closure.withColumnRenamed("skill_key", "_wanted")
+    wanted = F.col("skill_key") == F.col("_wanted")
+    found = rows.join(F.broadcast(ladder), wanted if asks is None else asks & wanted, "left").drop("_wanted")
+    return found.withColumn("matched_key", F.coalesce("matched_key", "skill_key")).withColumn(
+        "own_skill", F.col("matched_key") == F.col("skill_key")
+    )
 
 
 def _parts(rows: int) -> int | None:
@@ -145,6 +161,53 @@ def _with_totals_before(
     )
 
 
+def _long_pros(asking: DataFrame, points: DataFrame, totals: Sequence[str]) -> DataFrame:
+    """Pros with more points and lookups than a task puts in order of time: at most one for each such task."""
+    asked = asking.groupBy("pro_id").agg((SKILLS_EACH * F.count(F.lit(1))).alias("_rows"))
+    # Counted by the totals, one of which is never missing, so that the points have the same columns as elsewhere.
+    known = points.groupBy("pro_id").agg(F.count(F.coalesce(*totals)).alias("_rows"))
+    rows = _sum_totals(asked.unionByName(known), ["pro_id"], ["_rows"])
+    return rows.filter(F.col("_rows") > TIMED_ROWS).select(F.col("pro_id").alias("long_pro"))
+
+
+def _of_pros(rows: DataFrame, pros: DataFrame, how: str) -> DataFrame:
+    return rows.join(F.broadcast(pros), F.col("pro_id") == F.col("long_pro"), how)
+
+
+def _summed_at_once(
+    asking: DataFrame, points: DataFrame, closure: DataFrame, long: DataFrame, most_rows: int
+) -> DataFrame:
+    """The totals of pros whose rows a task puts in order of time, per application.
+
+    One exchange, by pro, serves the lookups, which are made behind it, their running totals and the
+    sums over each application. Rows run past in order of time and are never held together.
+    """
+    here = [c for c in ("location_id",) if c in points.columns]
+    timeline = points.withColumnRenamed("matched_key", "skill_key").withColumn("is_point", F.lit(1)).unionByName(
+        asking.select("shift_id", "pro_id", "skill_key", *here, "start_time").withColumn("is_point", F.lit(0)),
+        allowMissingColumns=True,
+    )
+    parts = _parts(most_rows)
+    timeline = _of_pros(timeline, long, "left_anti").repartition(*([parts] if parts else []), "pro_id")
+    rows = _accepting(timeline, closure, F.col("is_point") == 0)
+    rows = rows if here else rows.filter("own_skill")
+
+    def before(total: str, *keys: str) -> Column:
+        # At equal start times lookups sort ahead of points, which keeps "earlier" strict.
+        series = Window.partitionBy("pro_id", "matched_key", *keys).orderBy("start_time", "is_point")
+        return F.sum(total).over(series.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    counted = {c: before(c) for c in TOTALS if c in points.columns}
+    if here:
+        counted["same_place"] = F.when(F.col("location_id").isNotNull(), before("shifts", "location_id"))
+    found = rows.select("shift_id", "pro_id", "is_point", "own_skill", *[v.alias(c) for c, v in counted.items()])
+    own = {c: F.when(F.col("own_skill"), F.col(c)) for c in RATINGS}
+    sums = {c: F.sum(own.get(c, F.col(c))) for c in counted}
+    return found.filter(F.col("is_point") == 0).groupBy("shift_id", "pro_id").agg(
+        *[v.alias(c) for c, v in sums.items()]
+    )
+
+
 def _found(
     lookups: DataFrame,
     points: DataFrame,
@@ -165,6 +228,53 @@ def _found(
     return by_keys(found, _parts(most_lookups), "shift_id", "pro_id")
 
 
+def _earlier(
+    conf: DataFrame,
+    hist: DataFrame,
+    closure: DataFrame,
+    floor: datetime | None,
+    hot_pros: DataFrame | None,
+    worked: int,
+    totals: Sequence[str],
+) -> DataFrame:
+    """The totals of earlier history per (shift, pro): shifts, those at the same place, own-skill ratings.
+
+    Pros with many rows are taken in slices of a day, all others at once. Without shifts among the totals
+    places make no difference.
+    """
+    asking, shifts = _asking(conf), "shifts" in totals
+    keys = ["pro_id", "matched_key", *(["location_id"] if shifts else []), "start_time"]
+    points = _history_points(hist, floor, keys, totals)
+    long = _long_pros(asking, points, totals)
+    applied = conf.count()
+    # Of rows in order of time, each counted for the order at its place as well.
+    most_lookups, most_points = (LOOKUPS_EACH * applied, 2 * worked) if shifts else (applied, worked)
+    at_once = _summed_at_once(asking, points, closure, long, most_lookups + most_points)
+
+    hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
+    lookups = by_rows(_of_pros(asking, long, "left_semi"), APPLICATIONS, applied)
+    lookups = _with_day(_accepting(lookups, closure))
+    scoped = _scoped if shifts else _anywhere
+    found = _found(
+        scoped(lookups if shifts else lookups.filter("own_skill")).select(*LOOKUP, "own_skill"),
+        scoped(_with_day(_of_pros(points, long, "left_semi"))),
+        hot,
+        totals,
+        most_lookups,
+        most_points,
+    )
+    anywhere, own = F.col("scope") == ANYWHERE, F.col("own_skill")
+    sums = {c: F.sum(F.when(anywhere & own if c in RATINGS else anywhere, F.col(c))) for c in totals}
+    if shifts:
+        sums["same_place"] = F.sum(F.when(~anywhere, F.col("shifts")))
+    in_slices = found.groupBy("shift_id", "pro_id").agg(*[v.alias(c) for c, v in sums.items()])
+
+    columns = [F.col(c).cast(RATING_SUM) if c == "rating_sum" else F.coalesce(c, F.lit(0)).alias(c) for c in sums]
+    return at_once.select("shift_id", "pro_id", *columns).unionByName(
+        in_slices.select("shift_id", "pro_id", *columns)
+    )
+
+
 def experience_totals(
     conf: DataFrame,
     hist: DataFrame,
@@ -172,8 +282,9 @@ def experience_totals(
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
     worked: int = 0,
+    totals: Sequence[str] = TOTALS,
 ) -> DataFrame:
-    """Per (shift, pro): qualifying shifts, those at the same location, and own-skill ratings.
+    """Per (shift, pro): qualifying shifts, those at the same location, and own-skill ratings, if asked for.
 
     Only history starting strictly before the application counts. `floor` is a time no application
     starts before: history older than it precedes every application, so each series' older points
@@ -183,26 +294,12 @@ def experience_totals(
     rows the history has at most: with the lookups' number it sets the number of tasks, so that no task's
     rows grow with the input; any number gives the same result.
     """
-    hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
-    found = _found(
-        _scoped(_lookups(conf, closure)).select(*LOOKUP, "own_skill"),
-        _scoped(_history_points(hist, floor)),
-        hot,
-        TOTALS,
-        LOOKUPS_EACH * conf.count(),
-        2 * worked,
-    )
-
-    anywhere, own = F.col("scope") == ANYWHERE, F.col("own_skill")
-    sums = found.groupBy("shift_id", "pro_id").agg(
-        F.sum(F.when(anywhere, F.col("shifts"))).alias("qualifying_shifts"),
-        F.sum(F.when(~anywhere, F.col("shifts"))).alias("qualifying_shifts_same_place"),
-        F.sum(F.when(anywhere & own, F.col("rated"))).alias("rated_shifts"),
-        F.sum(F.when(anywhere & own, F.col("rating_sum"))).alias("rating_sum"),
-    )
-    return sums.withColumns(
-        {c: F.coalesce(c, F.lit(0)) for c in
-         ("qualifying_shifts", "qualifying_shifts_same_place", "rated_shifts")}
+    return _earlier(conf, hist, closure, floor, hot_pros, worked, totals).withColumnsRenamed(
+        {
+            "shifts": "qualifying_shifts",
+            "same_place": "qualifying_shifts_same_place",
+            "rated": "rated_shifts",
+        }
     )
 
 
@@ -216,17 +313,9 @@ def rating_totals(
 ) -> DataFrame:
     """The ratings of `experience_totals` alone: they look up the own skill anywhere, and points without
     a rating from 1 to 5 add nothing to them."""
-    hot = hot_keys(conf, "pro_id") if hot_pros is None else hot_pros
-    found = _found(
-        _anywhere(_lookups(conf, closure).filter("own_skill")).select(*LOOKUP),
-        _anywhere(_history_points(hist.filter(_in_range(F.col("rating"))), floor)),
-        hot,
-        RATINGS,
-        conf.count(),
-        worked,
-    )
-    return found.groupBy("shift_id", "pro_id").agg(
-        F.sum("rated").alias("rated_shifts"), F.sum("rating_sum").alias("rating_sum")
+    rated = hist.filter(_in_range(F.col("rating")))
+    return _earlier(conf, rated, closure, floor, hot_pros, worked, RATINGS).withColumnRenamed(
+        "rated", "rated_shifts"
     )
 
 
@@ -241,11 +330,12 @@ def prior_experience(
     floor: datetime | None = None,
     hot_pros: DataFrame | None = None,
     worked: int = 0,
+    written: bool = False,
 ) -> DataFrame:
     """Qualifying earlier shifts per (shift, pro); pros without history get zeros. `conf` is written
-    once, for the lookups, the list of hot pros and the result."""
-    conf = staged(conf.select(*LOOKED_UP), "lookups")
-    totals = experience_totals(conf, hist, closure, floor, hot_pros, worked)
+    once, for the lookups, the lists of pros and the result, unless it is a `written` table already."""
+    conf = conf if written else staged(conf.select(*LOOKED_UP), "lookups")
+    totals = experience_totals(conf, hist, closure, floor, hot_pros, worked, SHIFTS)
     return conf.select("shift_id", "pro_id").join(totals, ["shift_id", "pro_id"], "left").select(
         "shift_id",
         "pro_id",

@@ -28,6 +28,7 @@ from crewlens.operators.candidates import (
     upcoming_locations,
 )
 from crewlens.operators.experience import (
+    LOOKED_UP,
     position_ratings,
     prior_experience,
     prior_position,
@@ -40,6 +41,7 @@ from crewlens.operators.ranking import (
     shift_level,
     with_group_count,
 )
+from crewlens.operators.skew import hot_keys
 from crewlens.plans import sheets
 from crewlens.plans.agents import agents_online
 from crewlens.plans.billing import PAYMENT_COLUMNS, billing_report
@@ -57,7 +59,7 @@ from crewlens.plans.qualification import (
 from crewlens.plans.summary import snapshot_counts
 from crewlens.sources.publish import json_rows, publish_tables, read_quarantine, read_snapshot
 from crewlens.sources.sheets import rows_of, split_sections
-from crewlens.sources.staging import new_folder
+from crewlens.sources.staging import new_folder, staged
 
 from . import tables as lens_tables
 from .dialect import Spark
@@ -511,7 +513,17 @@ def badge_labels(spark, d):
 
 @query
 def experience_flags(spark, d):
-    rows = _evidence(spark, d).join(earlier_experience(spark, d), ["shift_id", "pro_id"], "left")
+    t = lens(spark, d)
+    confirmed, history, pairs = _history_inputs(spark, d)
+    # Written once, for the evidence and for the earlier experience.
+    confirmed = staged(confirmed.select(*LOOKED_UP, "skill"), "confirmed")
+    hot = hot_keys(confirmed, "pro_id")
+    experience = prior_experience(
+        confirmed, history, pairs, AS_OF, hot, row_count(spark, d, "lineitem"), written=True
+    )
+    rows = with_evidence(confirmed, pro_profiles(t["pro_snapshot"], t["profiles"]), hot).join(
+        experience, ["shift_id", "pro_id"], "left"
+    )
     flags = experience_labels(
         F.col("profile_experience_qualifying_flag"),
         F.col("confirmed_skill_badged_flag"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -354,13 +354,20 @@ def many_applications(spark: SparkSession, sf_dir: str) -> bool:
     return sum(row_count(spark, sf_dir, table) for table in ("lineitem", "orders")) > FEW_JOINED_ROWS
 
 
+def joined_parts(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> int:
+    """Partitions for a join of these tables, as many as there are shuffle partitions at least: a join deals its sides
+    anew if they have fewer, and adaptive execution then no longer knows the dealt rows again and deals them twice."""
+    parts = -(-sum(row_count(spark, sf_dir, table) for table in names) // JOINED_ROWS)
+    return max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def with_customers(spark: SparkSession, sf_dir: str, used: dict[str, DataFrame]) -> DataFrame:
     """The orders with their customers. They meet before the line items do: customers that are too many to be
     broadcast would otherwise have the whole applications dealt by customer, in tasks sized by bytes."""
     sides = {"orders": "o_custkey", "customer": "c_custkey"}
     orders, customers = (used[table] for table in sides)
     if row_count(spark, sf_dir, "customer") > FEW_CUSTOMERS:
-        parts = -(-sum(row_count(spark, sf_dir, table) for table in sides) // JOINED_ROWS)
+        parts = joined_parts(spark, sf_dir, sides)
         orders, customers = (used[table].repartition(parts, key) for table, key in sides.items())
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
@@ -369,7 +376,7 @@ def dealt(spark: SparkSession, sf_dir: str, name: str, used: dict[str, DataFrame
     """The test tables of a lens table, all rows of them, in as many partitions as their rows need."""
     if name == "applications" and many_applications(spark, sf_dir):
         keys = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-        parts = -(-sum(row_count(spark, sf_dir, table) for table in keys) // JOINED_ROWS)
+        parts = joined_parts(spark, sf_dir, keys)
         found = used | {"orders": with_customers(spark, sf_dir, used)}
         return found | {table: found[table].repartition(parts, key) for table, key in keys.items()}
     if name == "markup" and (parts := -(-row_count(spark, sf_dir, "customer") // PAGES)) > 1:

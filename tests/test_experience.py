@@ -10,7 +10,7 @@ import pytest
 
 from crewlens.functions.skills import qualifying_pairs
 from crewlens.functions.vocabulary import SKILL_PHRASES, qualifying_skills
-from crewlens.operators import skew
+from crewlens.operators import experience, skew
 from crewlens.operators.experience import (
     position_ratings,
     position_summary,
@@ -107,6 +107,35 @@ def test_against_pairing(spark, monkeypatch, floor, hot_rows):
         assert got_ratings[key][0] == pytest.approx(average, abs=0.0051)
 
 
+@pytest.mark.parametrize("rows", [0, 300])
+def test_pros_with_many_rows_are_counted_alike(spark, monkeypatch, rows):
+    """All pros in slices of a day, or only pro 1, who holds a third of the rows."""
+    conf, hist = make(13)
+    hist |= {(1, 5000 + i): (10, START - timedelta(days=i), 4.0, "dishwasher") for i in range(1, 9)}
+    c, h = frames(spark, conf, hist)
+    monkeypatch.setattr(experience, "TIMED_ROWS", rows)
+    counts = prior_experience(c, h, qualifying_pairs(spark), START).collect()
+    ratings = position_ratings(c, h, qualifying_pairs(spark), START).collect()
+    rated = {(r[0], r[1]): (r[3], r[2]) for r in ratings}
+    expected = brute(conf, hist)
+    assert {(r[0], r[1]): (r[2], r[3]) for r in counts} == {k: v[:2] for k, v in expected.items()}
+    assert {k: v[0] for k, v in rated.items()} == {k: v[3] for k, v in expected.items()}
+    for key, (_, _, average, _) in expected.items():
+        got = rated[key][1]
+        assert got == average if average is None else float(got) == pytest.approx(average, abs=0.0051)
+
+
+def test_long_pros_are_those_with_many_rows(spark, monkeypatch):
+    """Of applications or of history."""
+    conf, hist = make(13)
+    c, h = frames(spark, {k: v for k, v in conf.items() if k[1] != 2}, hist)
+    points = h.selectExpr("gigster_id AS pro_id", "1 AS shifts")
+    monkeypatch.setattr(experience, "TIMED_ROWS", 300)
+    assert [r[0] for r in experience._long_pros(c, points, ["shifts"]).collect()] == [1]
+    many = points.union(spark.range(301).selectExpr("2", "1"))
+    assert sorted(r[0] for r in experience._long_pros(c, many, ["shifts"]).collect()) == [1, 2]
+
+
 def test_positions_and_qualifying(spark):
     conf, hist = make(11)
     c, h = frames(spark, conf, hist)

@@ -10,7 +10,7 @@ from crewlens.operators.experience import experience_totals, position_ratings, p
 from crewlens.plans.page_checks import sanitized_pages
 from crewlens.plans.qualification import first_five_qualification
 from fieldlens import tables
-from fieldlens.queries import AS_OF
+from fieldlens.queries import AS_OF, QUERIES
 from fieldlens.tables import lens
 
 
@@ -119,6 +119,47 @@ def test_timed_rows_are_dealt_by_their_number(spark, monkeypatch):
     assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
 
 
+def shuffled_rows(plan):
+    """Rows that the exchanges of a plan that has run have written; a reused one counts once."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "ReusedExchangeExec":
+        return 0
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    children = plan.children()
+    return own + sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_an_application_is_not_shuffled_for_each_skill_and_scope(spark):
+    """Once for the lookups, its totals and the result each, and never with each skill and scope."""
+    conf, pairs = applications(spark, 3_000), qualifying_pairs(spark)
+    accepted = pairs.filter("skill_key = 'dishwasher'").count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = prior_experience(conf, history(spark), pairs)
+        assert found.count() == 3_000
+        found = prior_experience(conf, history(spark), pairs)
+        found.collect()
+        rows = shuffled_rows(found._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert accepted > 1 and 9_000 <= rows < 10_000
+
+
+def test_confirmed_applications_are_written_once(spark, sf_dir):
+    """For the evidence and for the earlier experience; neither reads the applications for them again."""
+    plan = QUERIES["experience_flags"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # confirmed applications are told by their latest confirmation, history by its latest rating
+    assert "confirmation_timestamp" not in plan and "rating_timestamp" in plan
+
+
+def test_joins_do_not_deal_the_dealt_rows_anew(spark, sf_dir, monkeypatch):
+    """Sides dealt to fewer partitions than the shuffle has would be."""
+    monkeypatch.setattr(tables, "FEW_JOINED_ROWS", 0)
+    plan = lens(spark, sf_dir)["applications"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan
+    assert all(line.rstrip().endswith(", 4") for line in plan.splitlines() if "RepartitionByExpression" in line)
+
+
 def test_history_is_not_dealt_by_pro(spark, sf_dir):
     """The candidates' pros are a small file, which is broadcast to the tasks of the latest rows."""
     report = first_five_qualification(lens(spark, sf_dir), AS_OF, 6_000)
